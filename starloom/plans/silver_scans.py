@@ -34,6 +34,7 @@ class ScanSkew:
 
     ticket: HotKeys = field(default_factory=HotKeys)
     fan_at_match: HotKeys = field(default_factory=HotKeys)
+    repaired_ticket: HotKeys = field(default_factory=HotKeys)
 
 
 @dataclass(frozen=True)
@@ -44,16 +45,28 @@ class FillSkew:
     match: HotKeys = field(default_factory=HotKeys)
 
 
-def scan_skew(raw: DataFrame, **limits) -> ScanSkew:
-    """Look for oversize groups in the raw scans, before any shuffle of theirs.
+def ticket_skew(raw: DataFrame, **limits) -> HotKeys:
+    """Oversize groups of one ticket id, looked for in the raw scans.
 
-    Groups there are at least as large as the ones the rankings meet.
+    Groups there are at least as large as the ones a ranking meets after dedup, and the
+    raw scans are a file scan of the key columns.
     """
+    return hot_keys(raw, TICKET, where=F.col("ticket_id").isNotNull(), **limits)
+
+
+def fan_skew(raw: DataFrame, **limits) -> HotKeys:
+    """Oversize groups of one identified fan at one match."""
     fan = text.code_or(F.col("fan_id"), rules.ANONYMOUS_FAN)
-    return ScanSkew(
-        hot_keys(raw, TICKET, where=F.col("ticket_id").isNotNull(), **limits),
-        hot_keys(raw, ["match_id", fan], where=fan != rules.ANONYMOUS_FAN, **limits),
-    )
+    return hot_keys(raw, ["match_id", fan], where=fan != rules.ANONYMOUS_FAN, **limits)
+
+
+def scan_skew(raw: DataFrame, policy: ScanPolicy | None = None, **limits) -> ScanSkew:
+    """Oversize groups of every ranking that the policy asks for."""
+    repaired = HotKeys()
+    if policy is not None and policy.dedup_after_repair:
+        fixed = repair.repair_ticket_id(text.code(F.col("ticket_id")))
+        repaired = hot_keys(raw, [fixed], where=fixed.isNotNull(), **limits)
+    return ScanSkew(ticket_skew(raw, **limits), fan_skew(raw, **limits), repaired)
 
 
 def fill_skew(scans: DataFrame, **limits) -> FillSkew:
@@ -269,14 +282,37 @@ def classify_scans(
         SCAN,
     )
     final = F.when(F.col("__entry") > 1, F.lit("fan_id_doublons")).otherwise(F.col("__early"))
+    placed = entered.withColumn("audit_table", final)
+    if policy.dedup_after_repair:
+        placed = _reject_repaired_copies(placed, skew.repaired_ticket)
     placed = (
-        entered.withColumn("audit_table", final)
+        placed
         .withColumn("row_num", F.when(F.col("audit_table") == "ticket_id_doublons", F.col("row_num")))
         .drop("__early", "__entry")
     )
     return with_business_rules(placed, policy)
 
 
+def _reject_repaired_copies(placed: DataFrame, hot: HotKeys) -> DataFrame:
+    """Of accepted rows whose ids were repaired to the same one, keep the earliest."""
+    ranked = rank_rows(
+        placed,
+        ["ticket_id_fixed"],
+        FIRST_SCAN,
+        "__again",
+        F.col("audit_table") == ACCEPTED,
+        hot,
+        ties=[*SCAN, "ticket_id_fixed"],
+    )
+    again = F.col("__again") > 1
+    return ranked.withColumns(
+        {
+            "audit_table": F.when(again, "ticket_id_doublons").otherwise(F.col("audit_table")),
+            "row_num": F.when(again, F.col("__again")).otherwise(F.col("row_num")),
+        }
+    ).drop("__again")
+
+
 def accepted_of(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("audit_table") == ACCEPTED)
 
