@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,16 +31,18 @@ def outcome(reasons: Sequence[tuple[str, Column]], accepted: str = rules.ACCEPTE
 
 def split(
     df: DataFrame,
-    valid: Column,
+    accept: Column,
     reasons: Sequence[tuple[str, Column]],
+    judge: Callable[[DataFrame], DataFrame] = lambda df: df,
     column: str = "audit_table",
 ) -> Split:
-    """Rows whose flag is true, and the others with the first reason that holds.
+    """Rows that ``accept`` holds for, and the others with the first reason that does.
 
-    A NULL flag rejects, and ``reasons`` must name every way of being rejected.
+    NULL rejects, and ``reasons`` must name every way of being rejected. ``judge`` adds
+    the columns that reasons refer to; it is applied after the rows have parted.
     """
-    rejected = df.filter(~F.coalesce(valid, F.lit(False)))
-    return Split(df.filter(valid), rejected.withColumn(column, outcome(reasons)))
+    rejected = judge(df.filter(~F.coalesce(accept, F.lit(False))))
+    return Split(judge(df.filter(accept)), rejected.withColumn(column, outcome(reasons)))
 
 
 def id_reasons(kind: str, valid: Column) -> list[tuple[str, Column]]:

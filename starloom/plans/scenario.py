@@ -89,8 +89,9 @@ class Scenario:
         )
 
     def scans(self) -> DataFrame:
+        # Both tables grow, so the join is a merge at every size, as it is at full scale.
         lines = self.table("lineitem").join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+            self.table("orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
         )
         serial = "(l_orderkey * 10 + l_linenumber)"
         return lines.selectExpr(

@@ -82,21 +82,24 @@ def fill_skew(scans: DataFrame, **limits) -> FillSkew:
 # ---- row rules --------------------------------------------------------------------
 def with_ticket_id(df: DataFrame) -> DataFrame:
     """Normalised, repaired and judged ticket id."""
-    normal = text.code(F.col("ticket_id"))
-    return (
-        df.withColumn("ticket_id", normal)
-        .withColumn("ticket_id_fixed", repair.repair_ticket_id(F.col("ticket_id")))
-        .withColumn("ticket_id_valide", checks.ticket_id_valid(F.col("ticket_id_fixed")))
+    return _judge_ticket(df.withColumn("ticket_id", text.code(F.col("ticket_id"))))
+
+
+def _judge_ticket(normal: DataFrame) -> DataFrame:
+    return normal.withColumn("ticket_id_fixed", repair.repair_ticket_id(F.col("ticket_id"))).withColumn(
+        "ticket_id_valide", checks.ticket_id_valid(F.col("ticket_id_fixed"))
     )
 
 
 def with_fan_id(df: DataFrame) -> DataFrame:
     """Normalised, repaired and judged fan id; NULL becomes the anonymous mark."""
     normal = text.code_or(F.col("fan_id"), rules.ANONYMOUS_FAN)
-    return (
-        df.withColumn("fan_id", normal)
-        .withColumn("fan_id_fixed", repair.repair_fan_id(F.col("fan_id")))
-        .withColumn("fan_id_valide", checks.fan_id_valid(F.col("fan_id_fixed")))
+    return _judge_fan(df.withColumn("fan_id", normal))
+
+
+def _judge_fan(normal: DataFrame) -> DataFrame:
+    return normal.withColumn("fan_id_fixed", repair.repair_fan_id(F.col("fan_id"))).withColumn(
+        "fan_id_valide", checks.fan_id_valid(F.col("fan_id_fixed"))
     )
 
 
@@ -190,14 +193,21 @@ def with_business_rules(df: DataFrame, policy: ScanPolicy | None = None) -> Data
 
 # ---- quarantine steps -------------------------------------------------------------
 def ticket_split(df: DataFrame) -> Split:
-    """Judge ticket ids; rejected rows carry the audit table they belong to."""
-    valid = F.col("ticket_id_valide")
-    return split(with_ticket_id(df), valid, id_reasons("ticket_id", valid))
+    """Judge ticket ids; rejected rows carry the audit table they belong to.
+
+    Rows are accepted by the shape of the normalised id, before its repair: a filter on
+    the flag would repeat the whole repair, once as predicate and once as column.
+    """
+    normal = df.withColumn("ticket_id", text.code(F.col("ticket_id")))
+    good = F.col("ticket_id").rlike(rules.ACCEPTED_TICKET)
+    reasons = id_reasons("ticket_id", F.col("ticket_id_valide"))
+    return split(normal, good, reasons, _judge_ticket)
 
 
 def fan_split(df: DataFrame) -> Split:
-    valid = F.col("fan_id_valide")
-    return split(with_fan_id(df), valid, id_reasons("fan_id", valid))
+    normal = df.withColumn("fan_id", text.code_or(F.col("fan_id"), rules.ANONYMOUS_FAN))
+    good = F.col("fan_id").rlike(rules.ACCEPTED_FAN)
+    return split(normal, good, id_reasons("fan_id", F.col("fan_id_valide")), _judge_fan)
 
 
 def is_identified() -> Column:
