@@ -26,13 +26,13 @@ def total_order(
     return [F.col(f"`{c}`").asc_nulls_first() for c in [*order_by, *rest]]
 
 
-def _groups(keys: Sequence[str], *more: str) -> list[Column]:
+def _groups(keys: Sequence[Column]) -> list[Column]:
     """Partition columns of a ranking, led by a hash of the keys.
 
     Rows are sorted by these first. A leading number settles almost every comparison on
     the sort's eight-byte prefix; identifiers with a common beginning settle none there.
     """
-    return [F.xxhash64(*keys), *[F.col(c) for c in [*keys, *more]]]
+    return [F.xxhash64(*keys), *keys]
 
 
 def keep_first(
@@ -40,15 +40,27 @@ def keep_first(
     keys: Sequence[str],
     order_by: Sequence[str],
     ties: Sequence[str] | None = None,
+    only: Column | None = None,
+    row_id: str | None = None,
 ) -> DataFrame:
-    """First row of each group.
+    """First row of each group; every row for which ``only`` is not true.
 
     The rank filter sits directly on the window, so Spark keeps one row per group in
     every map task before the shuffle: a group of any size sends one row per task.
+
+    With ``only``, a column ``row_id`` unique among the other rows makes each of them a
+    group of its own, and one pass does. Without it they bypass the ranking by a union,
+    which runs what comes before the shuffle twice.
     """
+    if only is not None and row_id is None:
+        kept = keep_first(df.filter(only), keys, order_by, ties)
+        return kept.unionByName(df.filter(~F.coalesce(only, F.lit(False))))
     frame = df.select(*ties) if ties is not None else df
     order = total_order(frame, order_by, without=keys)
-    window = Window.partitionBy(*_groups(keys)).orderBy(*order)
+    groups = [F.col(k) for k in keys]
+    if only is not None:
+        groups.append(F.when(F.coalesce(only, F.lit(False)), None).otherwise(F.col(row_id)))
+    window = Window.partitionBy(*_groups(groups)).orderBy(*order)
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
@@ -94,10 +106,10 @@ def _window_rank(df, keys, order_by, name, take_part, spread, ties) -> DataFrame
     frame = df.select(*ties) if ties is not None else df
     order = total_order(frame, order_by, without=keys)
     if not spread:
-        window = Window.partitionBy(*_groups(keys)).orderBy(*order)
+        window = Window.partitionBy(*_groups([F.col(k) for k in keys])).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window))
     apart = F.when(take_part, F.lit(0)).otherwise(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    window = Window.partitionBy(*_groups(keys, _SPREAD)).orderBy(*order)
+    window = Window.partitionBy(*_groups([F.col(k) for k in [*keys, _SPREAD]])).orderBy(*order)
     return (
         df.withColumn(_SPREAD, apart)
         .withColumn(name, F.row_number().over(window))

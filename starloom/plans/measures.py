@@ -76,10 +76,8 @@ def fill_rates(
         fact = fact.filter(where)
     fact_keys = [RELATIONS[dim][0] for dim, _ in attributes.values()]
     level = list(dict.fromkeys([*by, *fact_keys, "stadium_key"]))
-    counted = tickets(fact, *level)
-    seats = star["dim_stadium"].select("stadium_key", "seating_capacity")
-    located = lookup_join(counted, seats, {"stadium_key": F.col("stadium_key")})
-    described = with_attributes(located, star, attributes)
+    seats = {"seating_capacity": ("dim_stadium", "seating_capacity")}
+    described = with_attributes(tickets(fact, *level), star, {**attributes, **seats})
     grouped = described.groupBy(*by, *attributes).agg(
         F.sum("tickets").alias("tickets"), F.max("seating_capacity").alias("capacity")
     )

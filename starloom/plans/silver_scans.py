@@ -225,13 +225,9 @@ def repeated_tickets(df: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     return rank_rows(known, TICKET, FIRST_SCAN, hot=hot, ties=SCAN).filter("row_num > 1")
 
 
-def first_per_fan_at_match(df: DataFrame) -> DataFrame:
-    """Earliest entry of each identified fan at each match, and every anonymous entry.
-
-    Anonymous rows take no part in the shuffle.
-    """
-    identified = keep_first(df.filter(is_identified()), FAN_AT_MATCH, FIRST_SCAN, ties=SCAN)
-    return identified.unionByName(df.filter(~is_identified()))
+def first_per_fan_at_match(df: DataFrame, row_id: str | None = None) -> DataFrame:
+    """Earliest entry of each identified fan at each match, and every anonymous entry."""
+    return keep_first(df, FAN_AT_MATCH, FIRST_SCAN, SCAN, only=is_identified(), row_id=row_id)
 
 
 def repeated_fans(df: DataFrame, hot: HotKeys | None = None) -> DataFrame:
@@ -243,15 +239,19 @@ def repeated_fans(df: DataFrame, hot: HotKeys | None = None) -> DataFrame:
 
 # ---- whole plans ------------------------------------------------------------------
 def judged_scans(raw: DataFrame) -> DataFrame:
-    """Rows up to the last quarantine but one: distinct, first per ticket, both ids valid."""
+    """Rows up to the last quarantine but one: distinct, first per ticket, both ids valid.
+
+    ``ticket_id_raw``, the id as typed, is unique among them.
+    """
     first = first_per_ticket(profile.distinct_rows(raw))
-    return fan_split(ticket_split(first).accepted).accepted
+    kept = first.withColumn("ticket_id_raw", F.col("ticket_id"))
+    return fan_split(ticket_split(kept).accepted).accepted
 
 
 def accepted_scans(raw: DataFrame, policy: ScanPolicy | None = None) -> DataFrame:
     """Accepted rows with every rule column."""
     policy = policy or ScanPolicy()
-    kept = first_per_fan_at_match(judged_scans(raw))
+    kept = first_per_fan_at_match(judged_scans(raw), "ticket_id_raw").drop("ticket_id_raw")
     if policy.dedup_after_repair:
         kept = keep_first(kept, ["ticket_id_fixed"], FIRST_SCAN, ties=[*SCAN, "ticket_id_fixed"])
     return with_business_rules(kept, policy)
@@ -400,9 +400,18 @@ def short_names(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def fact_match_skew(raw: DataFrame, **limits) -> HotKeys:
+    """Oversize groups among the match ids that scans bring along."""
+    return hot_keys(raw, ["match_id"], where=F.col("match_id").isNotNull(), **limits)
+
+
 def lookup_is_small(matches: DataFrame) -> bool:
-    """Whether the columns of the matches that scans look up may be broadcast."""
-    return is_small(matches.select("match_id", "match_date", "stadium_id"))
+    """Whether what scans look up in the matches may be broadcast, in silver and in gold."""
+    return is_small(
+        matches.select(
+            "match_id", "match_date", "stadium_id", "home_team_code", "away_team_code"
+        )
+    )
 
 
 def enrich_scans(

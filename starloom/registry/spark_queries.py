@@ -67,8 +67,11 @@ def silver(spark: SparkSession, folder: str) -> DataFrame:
 
 def unkeyed_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Fact rows for measures, which use neither surrogate key."""
-    linked = gold.link_teams(silver(spark, folder), matches_clean(spark, folder))
-    return gold.fact_rows(linked)
+    raw, matches = copied_scans(spark, folder), matches_clean(spark, folder)
+    small = plan.lookup_is_small(matches)
+    hot = None if small else plan.fact_match_skew(raw)
+    filled = plan.silver_scans(raw, matches, small=small)
+    return gold.fact_rows(gold.link_teams(filled, matches, small=small, hot=hot))
 
 
 def stadium_dim(spark: SparkSession, folder: str) -> DataFrame:
