@@ -11,14 +11,14 @@ from starloom import rules
 from starloom.functions.numbers import capped, safe_divide
 from starloom.operators.lookup import lookup_join
 
-# How the fact refers to its dimensions: fact column, dimension key.
-RELATIONS = {
-    "dim_stadium": ("stadium_key", "stadium_key"),
-    "dim_match": ("match_key", "match_key"),
-    "dim_time": ("date_key", "date_key"),
-    "dim_fan": ("fan_key", "fan_key"),
-    "dim_home_team": ("home_team_key", "team_key"),
-    "dim_away_team": ("away_team_key", "team_key"),
+# Roles the dimensions play for the fact: stored dimension, fact column, dimension key.
+ROLES = {
+    "dim_stadium": ("dim_stadium", "stadium_key", "stadium_key"),
+    "dim_match": ("dim_match", "match_key", "match_key"),
+    "dim_time": ("dim_time", "date_key", "date_key"),
+    "dim_fan": ("dim_fan", "fan_key", "fan_key"),
+    "home_team": ("dim_team", "home_team_key", "team_key"),
+    "away_team": ("dim_team", "away_team_key", "team_key"),
 }
 
 
@@ -35,12 +35,12 @@ def tickets(fact: DataFrame, *by: str) -> DataFrame:
 def with_attributes(
     rows: DataFrame, star: Mapping[str, DataFrame], attributes: Mapping[str, tuple[str, str]]
 ) -> DataFrame:
-    """Add dimension attributes, named ``{new name: (dimension, attribute)}``."""
-    by_dim: dict[str, dict[str, str]] = {}
-    for name, (dim, attribute) in attributes.items():
-        by_dim.setdefault(dim, {})[name] = attribute
-    for dim, wanted in by_dim.items():
-        fact_key, dim_key = RELATIONS[dim]
+    """Add dimension attributes, named ``{new name: (role, attribute)}``."""
+    by_role: dict[str, dict[str, str]] = {}
+    for name, (role, attribute) in attributes.items():
+        by_role.setdefault(role, {})[name] = attribute
+    for role, wanted in by_role.items():
+        dim, fact_key, dim_key = ROLES[role]
         side = star[dim].select(
             F.col(dim_key).alias("__dim_key"),
             *[F.col(attribute).alias(name) for name, attribute in wanted.items()],
@@ -74,7 +74,7 @@ def fill_rates(
     attributes = dict(attributes or {})
     if where is not None:
         fact = fact.filter(where)
-    fact_keys = [RELATIONS[dim][0] for dim, _ in attributes.values()]
+    fact_keys = [ROLES[role][1] for role, _ in attributes.values()]
     level = list(dict.fromkeys([*by, *fact_keys, "stadium_key"]))
     seats = {"seating_capacity": ("dim_stadium", "seating_capacity")}
     described = with_attributes(tickets(fact, *level), star, {**attributes, **seats})
