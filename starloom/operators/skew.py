@@ -88,3 +88,21 @@ def is_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20)
     )
     row = seen.first()
     return row["rows"] <= max_rows and row["bytes"] <= max_bytes
+
+
+def gather(df: DataFrame, keys: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+    """Bring the rows of each key together, an oversize key's in several pieces.
+
+    For writing one folder per key: a key fills one file, or one per ``GROUP_ROWS`` rows,
+    and files are opened by all tasks alike, few large keys or many small ones.
+    """
+    columns = [F.col(k) for k in keys]
+    if hot is None:
+        hot = hot_keys(df, columns)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not hot:
+        return df.repartition(tasks, *columns)
+    own_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    marked = df.withColumn(HASH, key_hash(columns)).join(hot.table(df.sparkSession), HASH, "left")
+    piece = F.pmod(own_hash, F.coalesce(F.col(PIECES), F.lit(1)))
+    return marked.repartition(tasks, *columns, piece).select(*df.columns)

@@ -16,6 +16,7 @@ from starloom.functions.numbers import percent
 from starloom.operators import profile
 from starloom.operators.quarantine import stamp
 from starloom.operators.ranking import dense_key
+from starloom.operators.skew import gather
 from starloom.plans import gold, measures, silver_dims
 from starloom.plans import run as full_run
 from starloom.plans import silver_scans as plan
@@ -525,9 +526,9 @@ def config_ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Scans landed as CSV folders per stadium, copied to bronze by configuration, read back."""
     base = scratch_path(spark, "ingest")
     site = F.coalesce("stadium_id", F.lit("NO_STADIUM"))
-    landed = scans(spark, folder).withColumn("site", site)
+    landed = materialize(scans(spark, folder).withColumn("site", site), "landed")
     (
-        landed.hint("rebalance", "site").write.partitionBy("site")
+        gather(landed, ["site"]).write.partitionBy("site")
         .options(header=True, escape="\\", ignoreLeadingWhiteSpace=False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(f"{base}/landing/scans")
@@ -550,9 +551,9 @@ def config_ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Fact rows stored by day and read back with the day as text."""
     path = scratch_path(spark, "fact")
-    written = writers.write_table(unkeyed_fact(spark, folder), path, partition_by=["scan_day"])
-    writers.reconcile(spark, path, written)
-    return readers.read_table(spark, path, text_columns=["scan_day"])
+    fact = materialize(unkeyed_fact(spark, folder), "fact_rows")
+    written = writers.write_table(fact, path, partition_by=["scan_day"])
+    return writers.reconcile(readers.read_table(spark, path, schema=fact.schema), written)
 
 
 @query
@@ -565,8 +566,7 @@ def append_audit_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     written = writers.append(tickets.rejected.select(*columns), path)
     fans = plan.fan_split(tickets.accepted).rejected.select(*columns, "fan_id_fixed")
     written += writers.append(fans, path)
-    writers.reconcile(spark, path, written)
-    return readers.read_table(spark, path, merge_schema=True)
+    return writers.reconcile(readers.read_table(spark, path, merge_schema=True), written)
 
 
 @query

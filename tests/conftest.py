@@ -21,8 +21,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(work))
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
-        # Small tables would otherwise be rebalanced into one task.
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

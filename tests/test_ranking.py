@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom.operators.ranking import dense_key, keep_first, rank_rows, total_order
-from starloom.operators.skew import HotKeys, hot_keys, is_small
+from starloom.operators.skew import HotKeys, gather, hot_keys, is_small
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +102,14 @@ def test_is_small_checks_rows_and_bytes(spark):
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("v"))
     assert not is_small(wide, max_bytes=9_000)
     assert is_small(spark.range(0))
+
+
+def test_gather_keeps_rows_and_splits_oversize_keys(skewed):
+    hot = hot_keys(skewed, ["k"], group_rows=100, sample=1.0)
+    tasks = F.spark_partition_id().alias("p")
+    for how, pieces in ((HotKeys(), 1), (hot, 2)):
+        got = gather(skewed, ["k"], how)
+        assert rows(got) == rows(skewed)
+        per_key = got.select("k", tasks).distinct().groupBy("k").count()
+        assert per_key.filter("k = 'hot'").first()["count"] >= pieces
+        assert per_key.filter("k = 'k1'").first()["count"] == 1
