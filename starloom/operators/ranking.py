@@ -119,7 +119,11 @@ def _window_rank(df, keys, order_by, name, take_part, spread, ties) -> DataFrame
 
 
 def dense_key(
-    df: DataFrame, order_by: Sequence[str], name: str, row_id: str | None = None
+    df: DataFrame,
+    order_by: Sequence[str],
+    name: str,
+    row_id: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Number all rows 1..n in the given order, as one global ``row_number`` would.
 
@@ -132,12 +136,16 @@ def dense_key(
     last sort key, so even equal rows split over range boundaries instead of piling up
     in one partition. Without it the rows are stored once first to get one, which also
     spares the boundary sampling a second run of the upstream plan. ``row_id`` is dropped.
+    Rows known to be ``unique`` in ``order_by`` need neither.
     """
-    if row_id is None:
+    if row_id is None and not unique:
         row_id = "__row_id"
         df = materialize(df, "numbered", row_id=row_id)
-    order = [*total_order(df, order_by, without=[row_id]), F.col(row_id)]
-    placed = materialize(df.orderBy(*order).drop(row_id), "sorted", row_id=_SLOT)
+    order = total_order(df, order_by, without=[row_id] if row_id else [])
+    if row_id:
+        order.append(F.col(row_id))
+    ordered = df.orderBy(*order)
+    placed = materialize(ordered.drop(row_id) if row_id else ordered, "sorted", row_id=_SLOT)
 
     part = F.shiftright(_SLOT, _SLOT_BITS)
     sizes = placed.groupBy(part.alias("part")).count().collect()  # one row per sort partition

@@ -49,30 +49,45 @@ def hot_keys(
     df: DataFrame,
     keys: Sequence[Column | str],
     where: Column | None = None,
-    group_rows: int = GROUP_ROWS,
+    group_rows: float = GROUP_ROWS,
     sample: float = SAMPLE,
 ) -> HotKeys:
-    """Groups of ``keys`` with more than ``group_rows`` rows, estimated from a sample.
+    """Groups of ``keys`` with more than ``group_rows`` rows, estimated from a sample."""
+    return hot_keys_of(df, [(keys, where)], group_rows, sample)[0]
 
-    One job that reads only the key columns; hashes are counted map-side, and what the
-    driver receives is bounded by ``MAX_HOT``. Groups beyond it or missed by the sample
-    take the ordinary path, which is exact too.
+
+def hot_keys_of(
+    df: DataFrame,
+    groupings: Sequence[tuple[Sequence[Column | str], Column | None]],
+    group_rows: float = GROUP_ROWS,
+    sample: float = SAMPLE,
+) -> list[HotKeys]:
+    """Oversize groups of several keys, each among the rows its condition holds for.
+
+    One job that reads only the columns named; hashes are counted map-side, and what the
+    driver receives is bounded by ``MAX_HOT`` per grouping. Groups beyond it or missed by
+    the sample take the ordinary path, which is exact too.
     """
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
-    if where is not None:
-        df = df.filter(where)
-    hashes = df.select(key_hash(columns).alias(HASH))
     if sample < 1.0:
-        hashes = hashes.sample(fraction=sample, seed=7)
-    top = (
-        hashes.groupBy(HASH)
+        df = df.sample(fraction=sample, seed=7)
+    hashes = []
+    for keys, where in groupings:
+        columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+        hashes.append(key_hash(columns) if where is None else F.when(where, key_hash(columns)))
+    counted = (
+        df.select(F.posexplode(F.array(*hashes)).alias("grouping", HASH))
+        .filter(F.col(HASH).isNotNull())
+        .groupBy("grouping", HASH)
         .count()
         .filter(F.col("count") > group_rows * sample)
-        .orderBy(F.desc("count"), HASH)
-        .limit(MAX_HOT)
-        .collect()
     )
-    return HotKeys({r[HASH]: max(2, math.ceil(r["count"] / sample / group_rows)) for r in top})
+    largest = counted.orderBy(F.desc("count"), "grouping", HASH).limit(MAX_HOT * len(groupings))
+    found: list[dict[int, int]] = [{} for _ in groupings]
+    for row in largest.collect():
+        pieces = max(2, math.ceil(row["count"] / sample / group_rows))
+        if len(found[row["grouping"]]) < MAX_HOT:
+            found[row["grouping"]][row[HASH]] = pieces
+    return [HotKeys(pieces) for pieces in found]
 
 
 def is_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20) -> bool:

@@ -108,7 +108,7 @@ def dim_fan(scans: DataFrame, at: Column | None = None) -> DataFrame:
     """Identified fans numbered 1..n by fan id, and the anonymous fan as number 0."""
     valid = (F.col("fan_id") != rules.ANONYMOUS_FAN) & F.col("is_fan_id_valid")
     fans = scans.filter(valid).select("fan_id").distinct()
-    keyed = dense_key(fans, ["fan_id"], "fan_key")
+    keyed = dense_key(fans, ["fan_id"], "fan_key", unique=True)
     category, kind = rules.IDENTIFIED_FAN
     identified = keyed.select(
         F.col("fan_key").cast("bigint").alias("fan_key"),

@@ -18,7 +18,7 @@ from starloom.operators import profile
 from starloom.operators.lookup import fill_from_lookup
 from starloom.operators.quarantine import Split, id_reasons, outcome, split, stamp
 from starloom.operators.ranking import keep_first, rank_rows
-from starloom.operators.skew import HotKeys, hot_keys, is_small
+from starloom.operators.skew import HotKeys, hot_keys, hot_keys_of, is_small
 from starloom.rules import ACCEPTED, ScanPolicy
 
 # A scan in its twelve columns: what ties between equal timestamps are decided on.
@@ -45,38 +45,47 @@ class FillSkew:
     match: HotKeys = field(default_factory=HotKeys)
 
 
+def _ticket_groups():
+    return TICKET, F.col("ticket_id").isNotNull()
+
+
+def _fan_groups():
+    fan = text.code_or(F.col("fan_id"), rules.ANONYMOUS_FAN)
+    return ["match_id", fan], fan != rules.ANONYMOUS_FAN
+
+
 def ticket_skew(raw: DataFrame, **limits) -> HotKeys:
     """Oversize groups of one ticket id, looked for in the raw scans.
 
     Groups there are at least as large as the ones a ranking meets after dedup, and the
     raw scans are a file scan of the key columns.
     """
-    return hot_keys(raw, TICKET, where=F.col("ticket_id").isNotNull(), **limits)
+    return hot_keys(raw, *_ticket_groups(), **limits)
 
 
 def fan_skew(raw: DataFrame, **limits) -> HotKeys:
     """Oversize groups of one identified fan at one match."""
-    fan = text.code_or(F.col("fan_id"), rules.ANONYMOUS_FAN)
-    return hot_keys(raw, ["match_id", fan], where=fan != rules.ANONYMOUS_FAN, **limits)
+    return hot_keys(raw, *_fan_groups(), **limits)
 
 
 def scan_skew(raw: DataFrame, policy: ScanPolicy | None = None, **limits) -> ScanSkew:
-    """Oversize groups of every ranking that the policy asks for."""
-    repaired = HotKeys()
+    """Oversize groups of every ranking that the policy asks for, in one look."""
+    groupings = [_ticket_groups(), _fan_groups()]
     if policy is not None and policy.dedup_after_repair:
         fixed = repair.repair_ticket_id(text.code(F.col("ticket_id")))
-        repaired = hot_keys(raw, [fixed], where=fixed.isNotNull(), **limits)
-    return ScanSkew(ticket_skew(raw, **limits), fan_skew(raw, **limits), repaired)
+        groupings.append(([fixed], fixed.isNotNull()))
+    return ScanSkew(*hot_keys_of(raw, groupings, **limits))
 
 
 def fill_skew(scans: DataFrame, **limits) -> FillSkew:
     """The same for the lookups, among the rows that need one."""
     day = F.to_date("scan_timestamp")
     lacks_match, lacks_stadium = F.col("match_id").isNull(), F.col("stadium_id").isNull()
-    return FillSkew(
-        hot_keys(scans, ["stadium_id", day], where=lacks_match & ~lacks_stadium, **limits),
-        hot_keys(scans, ["match_id"], where=lacks_stadium & ~lacks_match, **limits),
-    )
+    groupings = [
+        (["stadium_id", day], lacks_match & ~lacks_stadium),
+        (["match_id"], lacks_stadium & ~lacks_match),
+    ]
+    return FillSkew(*hot_keys_of(scans, groupings, **limits))
 
 
 # ---- row rules --------------------------------------------------------------------

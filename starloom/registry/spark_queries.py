@@ -62,13 +62,18 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return plan.cleaned_columns(plan.accepted_scans(copied_scans(spark, folder)))
 
 
+def stored_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned matches as stored: several lookups read them, and a size check."""
+    return materialize(matches_clean(spark, folder), "matches")
+
+
 def silver(spark: SparkSession, folder: str) -> DataFrame:
-    return plan.silver_scans(copied_scans(spark, folder), matches_clean(spark, folder))
+    return plan.silver_scans(copied_scans(spark, folder), stored_matches(spark, folder))
 
 
 def unkeyed_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Fact rows for measures, which use neither surrogate key."""
-    raw, matches = copied_scans(spark, folder), matches_clean(spark, folder)
+    raw, matches = copied_scans(spark, folder), stored_matches(spark, folder)
     small = plan.lookup_is_small(matches)
     hot = None if small else plan.fact_match_skew(raw)
     filled = plan.silver_scans(raw, matches, small=small)
@@ -85,9 +90,14 @@ def match_dim(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stored_silver(spark: SparkSession, folder: str) -> DataFrame:
-    """The silver table as the gold layer finds it: stored, with a stored row id."""
-    return materialize(silver(spark, folder), "silver", row_id=gold.ROW_ID)
+def keyed_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact from silver scans as the gold layer finds them: stored, with a row id."""
+    raw, matches = copied_scans(spark, folder), stored_matches(spark, folder)
+    small = plan.lookup_is_small(matches)
+    scans_clean = plan.silver_scans(raw, matches, small=small)
+    stored = materialize(scans_clean, "silver", row_id=gold.ROW_ID)
+    fans = gold.dim_fan(stored)
+    return gold.fact_ticket_scan(stored, matches, fans, small_matches=small)
 
 
 def zoneless(df: DataFrame, *columns: str) -> DataFrame:
@@ -359,7 +369,7 @@ def match_enrichment_delta(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stadium_enrichment(spark: SparkSession, folder: str) -> DataFrame:
-    matches = matches_clean(spark, folder)
+    matches = stored_matches(spark, folder)
     small = plan.lookup_is_small(matches)
     filled = plan.fill_match_ids(plan.short_names(cleaned(spark, folder)), matches, small)
     located = plan.fill_stadium_ids(filled, matches, small)
@@ -368,7 +378,7 @@ def stadium_enrichment(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stadium_enrichment_delta(spark: SparkSession, folder: str) -> DataFrame:
-    matches = matches_clean(spark, folder)
+    matches = stored_matches(spark, folder)
     small = plan.lookup_is_small(matches)
     filled = plan.fill_match_ids(plan.short_names(cleaned(spark, folder)), matches, small)
     before = filled.withColumn("missing_before", F.col("stadium_id").isNull())
@@ -424,15 +434,12 @@ def dim_fan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_ticket_scan(spark: SparkSession, folder: str) -> DataFrame:
-    stored = stored_silver(spark, folder)
-    fact = gold.fact_ticket_scan(stored, matches_clean(spark, folder), gold.dim_fan(stored))
-    return fact.drop("load_ts")
+    return keyed_fact(spark, folder).drop("load_ts")
 
 
 @query
 def fact_key_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
-    stored = stored_silver(spark, folder)
-    fact = gold.fact_ticket_scan(stored, matches_clean(spark, folder), gold.dim_fan(stored))
+    fact = keyed_fact(spark, folder)
     return profile.key_uniqueness(fact, "ticket_scan_key")
 
 
