@@ -146,6 +146,7 @@ def test_partition_values_stay_text_and_prune(spark, tmp_path):
 
 def test_registered_tables(spark, tmp_path):
     database = f"db_{uuid.uuid4().hex[:8]}"
+    spark.range(1).createOrReplaceTempView("not_a_table")
     plain, parts = str(tmp_path / "plain"), str(tmp_path / "parts")
     writers.write_table(spark.range(4), plain)
     writers.write_table(spark.range(6).withColumn("p", F.col("id") % 2), parts, partition_by=["p"])
