@@ -7,30 +7,21 @@ that could pick other rows.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_local_folders: dict[str, str] = {}
-
 
 def work_folder(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables.
+    """Shared folder for intermediate tables: the session's setting, else the warehouse.
 
-    The session's setting wins. A temporary folder is made only for a local master,
-    where driver and executors are one process on one machine.
+    Both are folders that the deployment shares between the driver and all executors.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="starloom-")
-    return _local_folders[app]
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

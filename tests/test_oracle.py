@@ -3,7 +3,8 @@
 import compare
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from starloom.registry.oracle import ORACLES
+from starloom.registry.spark_queries import REGISTRY
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +13,10 @@ def con(folder):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, con, folder, name):
     ok, text = compare.compare(spark, con, folder, name)
     assert ok, text
