@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import line_dedup
+from starloom.llm import decontaminate, line_dedup, near_dup
 from starloom.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,94 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, folder, "documents"), shingle=3, percent=85)
+
+
+ORACLES["op6_minhash_near_dedup"] = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[pos : pos + size - 1], ' ') AS shingle
+    FROM (SELECT doc_id, words, least(3, len(words)) AS size,
+            unnest(range(1, len(words) - least(3, len(words)) + 2)) AS pos
+          FROM split WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles AS a JOIN shingles AS b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT c.a, c.b FROM common AS c JOIN sizes AS x ON x.doc_id = c.a JOIN sizes AS y ON y.doc_id = c.b
+    WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+), edges AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS seen FROM documents
+    UNION SELECT r.doc_id, e.b FROM reach AS r JOIN edges AS e ON e.a = r.seen
+)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(seen) AS component_id,
+    r.doc_id = min(seen) AS kept
+FROM reach AS r LEFT JOIN sizes AS s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
+@query
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, folder, "benchmark"))
+    items = F.array_join("item_ids", ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(items, 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLES["op9_decontamination"] = r"""
+WITH texts AS (
+    SELECT 'd' AS kind, doc_id AS id, text FROM documents
+    UNION ALL SELECT 'b', item_id, text FROM benchmark
+), split AS (
+    SELECT kind, id, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+    FROM texts
+), windows AS (
+    SELECT kind, id, pos, size, array_to_string(words[pos : pos + size - 1], ' ') AS phrase
+    FROM (
+        SELECT kind, id, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+        FROM split, (SELECT DISTINCT least(10, len(words)) AS size FROM split
+                     WHERE kind = 'b' AND len(words) > 0) AS sizes
+        WHERE len(words) >= size AND (kind = 'd' OR size = least(10, len(words)))
+    )
+), phrases AS (
+    SELECT DISTINCT size, phrase, id AS item FROM windows WHERE kind = 'b'
+), found AS (
+    SELECT w.id, w.pos, w.size, p.item
+    FROM windows AS w JOIN phrases AS p USING (size, phrase) WHERE w.kind = 'd'
+), hit AS (
+    SELECT id, count(DISTINCT place) AS n_hit
+    FROM (SELECT id, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY id
+), items AS (
+    SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM found) GROUP BY id
+)
+SELECT s.id AS doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM split AS s LEFT JOIN hit ON hit.id = s.id LEFT JOIN items ON items.id = s.id
+WHERE s.kind = 'd'
+"""
+
+
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
