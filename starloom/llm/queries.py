@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, line_dedup, near_dup, packing
+from starloom.llm import decontaminate, line_dedup, near_dup, packing, quality
 from starloom.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,13 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), keep_ids=False)
 
 
+@query
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = quality.quality_rules(docs, table(spark, folder, "labels"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "p_good", "p_toxic")
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"), shingle=3, percent=85)
