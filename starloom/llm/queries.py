@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, line_dedup, near_dup, packing, quality
+from starloom.llm import chat, decontaminate, line_dedup, near_dup, packing, quality, warc
 from starloom.llm.common import table
+from starloom.session import scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +32,80 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "p_good", "p_toxic")
 
 
+@query
+def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, folder, "conversations").select(*extra.columns).unionByName(extra)
+    made = chat.format_conversations(turns)
+    read = made.withColumn("turns", chat.read_turns(F.col("formatted")))
+    read = read.withColumn("learned", chat.loss_text(F.col("segments")))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
+ORACLES["op2_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), moved AS (
+    SELECT *, lag(role, 1, '-') OVER w AS before, lead(role, 1, '-') OVER w AS after
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), escaped AS (
+    SELECT *, length('<|turn|>' || role || '<|text|><|end|>') + length(text)
+        + len(regexp_extract_all(text, '\\|<\|turn\|>|<\|text\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<\|endoftext\|>'))
+        AS chars,
+        before || '>' || role IN ('->system', '->user', 'system>user', 'user>assistant',
+            'assistant>user', 'assistant>tool', 'tool>assistant')
+        AND (after <> '-' OR role = 'assistant') AS fine
+    FROM moved
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(CAST(sum(length(text)) FILTER (role = 'assistant') AS BIGINT), 0) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(fine) AS valid
+FROM escaped GROUP BY conv_id
+"""
+
+
+@query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = scratch_path(spark, "archive")
+    warc.write_archive(table(spark, folder, "pages"), archive)
+    return warc.describe(spark, archive)
+
+
+ORACLES["op5_warc"] = r"""
+WITH records AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+), coded AS (
+    SELECT page_id, payload, array_to_string(list_transform(range(0, 32), lambda i:
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + CAST(
+            (CAST('0x' || digest[CAST(1 + i * 5 // 4 AS INT) : CAST(2 + i * 5 // 4 AS INT)] AS INT)
+            // CAST(power(2, 3 - i * 5 % 4) AS INT)) % 32 AS INT)]), '') AS payload_digest,
+        min(page_id) OVER (PARTITION BY payload) AS original
+    FROM records
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
+    CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> original THEN original END AS refers_to
+FROM coded
+"""
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"), shingle=3, percent=85)
