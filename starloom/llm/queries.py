@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontaminate, line_dedup, near_dup, packing, quality, warc
+from starloom.llm import (
+    chat,
+    decontaminate,
+    html_text,
+    line_dedup,
+    near_dup,
+    packing,
+    quality,
+    url_graph,
+    warc,
+)
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -25,6 +35,11 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), keep_ids=False)
 
 
+@query
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(table(spark, folder, "pages").select("page_id", "html"))
+
+
 @query
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -142,6 +157,12 @@ FROM reach AS r LEFT JOIN sizes AS s ON s.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
 
+@query
+def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_graph.filter_urls(table(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
