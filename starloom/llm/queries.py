@@ -14,6 +14,7 @@ from starloom.llm import (
     line_dedup,
     near_dup,
     packing,
+    pii,
     quality,
     url_graph,
     warc,
@@ -163,6 +164,21 @@ def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, folder, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+        pii.spans_text(pii.by_start(F.concat("base", "found"))).alias("spans"),
+    )
+
+
 @query
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
