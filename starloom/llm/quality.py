@@ -114,25 +114,21 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.a * score + self.b, -30, 30)))
 
 
-def _presence(buckets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of each row: where rows end, and the buckets."""
-    sets = [np.unique(b) for b in buckets]
-    return np.cumsum([s.size for s in sets]), np.concatenate(sets or [np.zeros(0, np.int64)])
+def _stack(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse rows (buckets, values) one after the other: where they end, buckets, values."""
+    none = np.zeros(0, np.int32), np.zeros(0, np.float32)
+    ends = np.cumsum([at.size for at, _ in rows], dtype=np.int64)
+    return ends, *(np.concatenate([r[i] for r in rows] or [none[i]]) for i in (0, 1))
 
 
-def _shares(buckets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct buckets of each row and the share that each has of its row."""
-    pairs = [np.unique(b, return_counts=True) for b in buckets]
-    ends = np.cumsum([p[0].size for p in pairs])
-    return (
-        ends,
-        np.concatenate([p[0] for p in pairs] or [np.zeros(0, np.int64)]),
-        np.concatenate([p[1] / p[1].sum() for p in pairs if p[1].size] or [np.zeros(0)]),
-    )
+def _shares(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text and the share that each has of all."""
+    at, n = np.unique(buckets.astype(np.int32), return_counts=True)
+    return at, (n / max(1, n.sum())).astype(np.float32)
 
 
 def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(values)])
+    total = np.concatenate([[0.0], np.cumsum(values, dtype=float)])
     return total[ends] - total[np.concatenate([[0], ends[:-1]])]
 
 
@@ -144,7 +140,7 @@ def _descend(parts, y: np.ndarray, weight: np.ndarray, epochs: int, rate: float,
     n = y.size
     w = [np.zeros(BUCKETS) for _ in parts] + [np.zeros(1)]
     m, v = [x.copy() for x in w], [x.copy() for x in w]
-    owner = [np.repeat(np.arange(n), np.diff(ends, prepend=0)) for ends, _, _ in parts]
+    owner = [np.repeat(np.arange(n, dtype=np.int32), np.diff(ends, prepend=0)) for ends, _, _ in parts]
     for epoch in range(1, epochs + 1):
         off = (1 / (1 + np.exp(-np.clip(_score(parts, w), -30, 30))) - y) * weight / weight.sum()
         grads = [
@@ -191,19 +187,19 @@ def train_models(texts: list[str | None], good: np.ndarray, toxic: np.ndarray) -
     Where the labels do not differ, the usual answer stands: good, not toxic. Every fifth row is held out of the descent and calibrates the score.
     """
     reader = Reader()
-    words = [reader.words(t) for t in texts]
-    chars = [reader.chars(t) for t in texts]
+    words = [_shares(reader.words(t)) for t in texts]
+    chars = [_shares(reader.chars(t)) for t in texts]
     held = np.arange(len(texts)) % 5 == 4
     models = []
     fit, rest = np.flatnonzero(~held), np.flatnonzero(held)
-    seen = np.bincount(_presence([words[i] for i in fit])[1], minlength=BUCKETS)
+    seen = np.bincount(_stack([words[i] for i in fit])[1], minlength=BUCKETS)
 
     def shares(rows):
-        return [_shares([words[i] for i in rows]), _shares([chars[i] for i in rows])]
+        return [_stack([words[i] for i in rows]), _stack([chars[i] for i in rows])]
 
     def presence(rows):
-        ends, at = _presence([words[i][seen[words[i]] >= MIN_SEEN] for i in rows])
-        return [(ends, at, np.ones(at.size))]
+        often = [words[i][0][seen[words[i][0]] >= MIN_SEEN] for i in rows]
+        return [_stack([(at, np.ones(at.size, np.float32)) for at in often])]
 
     none = np.zeros(BUCKETS)
     for y, parts, settings, usual in (
