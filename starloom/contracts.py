@@ -78,7 +78,7 @@ AUDIT = contract(
     "ticket_id string, match_id string, stadium_id string, fan_id string, ticket_category string, "
     "ticket_price_mad int, purchase_channel string, purchase_date date, entry_time string, "
     "entry_gate string, scan_status string, scan_timestamp timestamp, ticket_id_fixed string, "
-    "ticket_id_valide boolean, fan_id_fixed string, fan_id_valide boolean, row_num int, "
+    "ticket_id_valide boolean, fan_id_fixed string, fan_id_valide boolean, row_num bigint, "
     "count bigint, audit_table string, audit_reason string, audit_date timestamp"
 )
 

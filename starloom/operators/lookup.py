@@ -75,7 +75,7 @@ def lookup_join(
             hot = hot_keys(probe, probe_keys, where=matchable)
         own_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
         if hot:
-            table = hot.table(left.sparkSession)
+            table = hot.table()
             probe = probe.withColumn(HASH, key_hash(probe_keys)).join(table, HASH, "left")
             piece = F.pmod(own_hash, F.coalesce(F.col(PIECES), F.lit(1)))
             side = (

@@ -13,6 +13,7 @@ from starloom.session import materialize
 _SLOT = "__slot"
 _SLOT_BITS = 33
 _SPREAD = "__spread"
+_OWN = "__own_row"
 
 
 def total_order(
@@ -49,12 +50,12 @@ def keep_first(
     every map task before the shuffle: a group of any size sends one row per task.
 
     With ``only``, a column ``row_id`` unique among the other rows makes each of them a
-    group of its own, and one pass does. Without it they bypass the ranking by a union,
-    which runs what comes before the shuffle twice.
+    group of its own, and one pass does. Without it the rows are stored once to get one.
     """
     if only is not None and row_id is None:
-        kept = keep_first(df.filter(only), keys, order_by, ties)
-        return kept.unionByName(df.filter(~F.coalesce(only, F.lit(False))))
+        numbered = materialize(df, "numbered", row_id=_OWN)
+        tied = df.columns if ties is None else ties
+        return keep_first(numbered, keys, order_by, tied, only, _OWN).drop(_OWN)
     frame = df.select(*ties) if ties is not None else df
     order = total_order(frame, order_by, without=keys)
     groups = [F.col(k) for k in keys]
@@ -73,17 +74,19 @@ def rank_rows(
     hot: HotKeys | None = None,
     ties: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Number the rows of each group from 1; NULL for rows that are not eligible.
+    """Number the rows of each group from 1, as bigint; NULL for rows that are not eligible.
 
     Rows not eligible pass through spread by their own hash, so that, say, NULL keys do
     not meet in one task. Groups in ``hot`` are numbered by one distributed sort over all
-    of them (:func:`dense_key`) less the number before their first row.
+    of them (:func:`dense_key`) less the number before their first row. The input is stored
+    once then, as it is read for both kinds of groups.
     """
     take_part = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     if not hot:
         return _window_rank(df, keys, order_by, name, take_part, eligible is not None, ties)
 
-    hot_table = hot.table(df.sparkSession).select(HASH)
+    hot_table = hot.table().select(HASH)
+    df = materialize(df, "ranked")
     marked = df.withColumn(HASH, F.when(take_part, key_hash([F.col(k) for k in keys])))
     cold = marked.join(hot_table, HASH, "left_anti").drop(HASH).select(*df.columns)
     large = marked.join(hot_table, HASH, "left_semi").drop(HASH).select(*df.columns)
@@ -95,24 +98,30 @@ def rank_rows(
         F.min("__place").alias("__first")
     )
     same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    numbered = placed.join(F.broadcast(firsts), same, "inner").select(
-        *df.columns, (F.col("__place") - F.col("__first") + 1).cast("int").alias(name)
+    side = F.broadcast(firsts) if hot.fits() else firsts
+    numbered = placed.join(side, same, "inner").select(
+        *df.columns, (F.col("__place") - F.col("__first") + 1).alias(name)
     )
     usual = _window_rank(cold, keys, order_by, name, take_part, eligible is not None, ties)
     return usual.unionByName(numbered)
 
 
+def _position(window) -> Column:
+    """Row number as bigint; ``row_number`` itself ends at 2^31."""
+    return F.count(F.lit(1)).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
 def _window_rank(df, keys, order_by, name, take_part, spread, ties) -> DataFrame:
     frame = df.select(*ties) if ties is not None else df
     order = total_order(frame, order_by, without=keys)
     if not spread:
         window = Window.partitionBy(*_groups([F.col(k) for k in keys])).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window))
+        return df.withColumn(name, _position(window))
     apart = F.when(take_part, F.lit(0)).otherwise(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     window = Window.partitionBy(*_groups([F.col(k) for k in [*keys, _SPREAD]])).orderBy(*order)
     return (
         df.withColumn(_SPREAD, apart)
-        .withColumn(name, F.row_number().over(window))
+        .withColumn(name, _position(window))
         .withColumn(name, F.when(take_part, F.col(name)))
         .drop(_SPREAD)
     )

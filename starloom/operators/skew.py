@@ -6,20 +6,23 @@ the operators using them are the same, so a sample is enough here.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import materialize
+
 HASH = "__key_hash"
 PIECES = "__pieces"
 SALT = "__salt"
 
+#: Rows of a group beyond which it is split, and the share of rows looked at to find such groups.
 GROUP_ROWS = 5_000_000
-MAX_HOT = 10_000
 SAMPLE = 0.001
+#: Oversize groups up to which their table is broadcast.
+BROADCAST_GROUPS = 100_000
 
 
 def key_hash(keys: Sequence[Column]) -> Column:
@@ -29,20 +32,24 @@ def key_hash(keys: Sequence[Column]) -> Column:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hash of each oversize group, and into how many pieces to split it.
+    """Hash of each oversize group, and into how many pieces to split it, as a stored table.
 
-    At most ``MAX_HOT`` entries, and at most rows/``GROUP_ROWS`` pieces beyond one each,
-    so the table is always safe to broadcast.
+    It has at most rows / ``GROUP_ROWS`` rows, however many that is, and is broadcast while
+    it has few.
     """
 
-    pieces: dict[int, int] = field(default_factory=dict)
+    frame: DataFrame | None = None
+    groups: int = 0
 
     def __bool__(self) -> bool:
-        return bool(self.pieces)
+        return self.groups > 0
+
+    def fits(self) -> bool:
+        """Whether one row per group may be sent to every executor."""
+        return self.groups <= BROADCAST_GROUPS
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(h, n) for h, n in self.pieces.items()]
-        return F.broadcast(spark.createDataFrame(rows, f"{HASH} bigint, {PIECES} int"))
+    def table(self) -> DataFrame:
+        return F.broadcast(self.frame) if self.fits() else self.frame
 
 
 def hot_keys(
@@ -64,9 +71,9 @@ def hot_keys_of(
 ) -> list[HotKeys]:
     """Oversize groups of several keys, each among the rows its condition holds for.
 
-    One job that reads only the columns named; hashes are counted map-side, and what the
-    driver receives is bounded by ``MAX_HOT`` per grouping. Groups beyond it or missed by
-    the sample take the ordinary path, which is exact too.
+    One job that reads only the columns named; hashes are counted map-side, and what is
+    found is stored. The driver receives one number per grouping. Groups missed by the
+    sample take the ordinary path, which is exact too.
     """
     if sample < 1.0:
         df = df.sample(fraction=sample, seed=7)
@@ -81,13 +88,15 @@ def hot_keys_of(
         .count()
         .filter(F.col("count") > group_rows * sample)
     )
-    largest = counted.orderBy(F.desc("count"), "grouping", HASH).limit(MAX_HOT * len(groupings))
-    found: list[dict[int, int]] = [{} for _ in groupings]
-    for row in largest.collect():
-        pieces = max(2, math.ceil(row["count"] / sample / group_rows))
-        if len(found[row["grouping"]]) < MAX_HOT:
-            found[row["grouping"]][row[HASH]] = pieces
-    return [HotKeys(pieces) for pieces in found]
+    pieces = F.greatest(F.lit(2), F.ceil(F.col("count") / (sample * group_rows)).cast("int"))
+    found = materialize(counted.select("grouping", HASH, pieces.alias(PIECES)), "hot")
+    sizes = {r["grouping"]: r["count"] for r in found.groupBy("grouping").count().collect()}
+    return [
+        HotKeys(found.filter(F.col("grouping") == i).select(HASH, PIECES), sizes[i])
+        if i in sizes
+        else HotKeys()
+        for i in range(len(groupings))
+    ]
 
 
 def is_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20) -> bool:
@@ -105,19 +114,10 @@ def is_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20)
     return row["rows"] <= max_rows and row["bytes"] <= max_bytes
 
 
-def gather(df: DataFrame, keys: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
-    """Bring the rows of each key together, an oversize key's in several pieces.
+def gather(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bring the rows of each key together, for writing one folder per key.
 
-    For writing one folder per key: a key fills one file, or one per ``GROUP_ROWS`` rows,
-    and files are opened by all tasks alike, few large keys or many small ones.
+    Adaptive execution splits keys over the advisory size into several tasks and merges
+    small ones, by the sizes it measures while the rows are shuffled.
     """
-    columns = [F.col(k) for k in keys]
-    if hot is None:
-        hot = hot_keys(df, columns)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if not hot:
-        return df.repartition(tasks, *columns)
-    own_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    marked = df.withColumn(HASH, key_hash(columns)).join(hot.table(df.sparkSession), HASH, "left")
-    piece = F.pmod(own_hash, F.coalesce(F.col(PIECES), F.lit(1)))
-    return marked.repartition(tasks, *columns, piece).select(*df.columns)
+    return df.hint("rebalance", *[F.col(f"`{k}`") for k in keys])

@@ -9,7 +9,7 @@ from starloom import contracts, rules
 from starloom.functions.dates import date_key, day_type
 from starloom.operators.lookup import lookup_join, one_per_key
 from starloom.operators.ranking import dense_key
-from starloom.operators.skew import HotKeys
+from starloom.operators.skew import HotKeys, hot_keys, is_small
 
 ROW_ID = "__row_id"
 
@@ -191,24 +191,34 @@ def fact_ticket_scan(
     """The fact: six foreign keys and a surrogate key 1..n by ticket and time.
 
     ``scans`` may carry the stored row id of ``materialize`` as ``__row_id``, which saves
-    storing them a second time.
+    storing them a second time. Oversize groups are looked for in them, not in what is
+    already joined.
     """
-    linked = link_fans(link_teams(scans, matches, strict, small_matches), fans)
+    small_fans = is_small(fans.select("fan_id", "fan_key"))
+    known = F.col("fan_id") != rules.ANONYMOUS_FAN
+    hot_fans = HotKeys() if small_fans else hot_keys(scans, ["fan_id"], where=known)
+    teams = link_teams(scans, matches, strict, small_matches)
+    linked = link_fans(teams, fans, small_fans, hot_fans)
     rows = fact_rows(linked)
     row_id = ROW_ID if ROW_ID in rows.columns else None
     keyed = dense_key(rows, ["ticket_id", "scan_timestamp"], "ticket_scan_key", row_id)
     return keyed.withColumn("load_ts", _load_ts(at)).select(*contracts.FACT_TICKET_SCAN.names)
 
 
-def build_star(silver: dict[str, DataFrame], at: Column | None = None) -> dict[str, DataFrame]:
-    """All gold tables from the silver ones: scans, matches, stadiums, teams, cities."""
+def build_star(
+    silver: dict[str, DataFrame], at: Column | None = None, strict: bool = False
+) -> dict[str, DataFrame]:
+    """All gold tables from the silver ones: scans, matches, stadiums, teams, cities.
+
+    With ``strict`` a lookup key that two rows share raises instead of taking the smallest.
+    """
     scans, matches = silver["scans"], silver["matches"]
     fans = dim_fan(scans, at)
     return {
-        "dim_stadium": dim_stadium(silver["stadiums"], silver["cities"], at),
+        "dim_stadium": dim_stadium(silver["stadiums"], silver["cities"], at, strict),
         "dim_team": dim_team(silver["teams"], at),
-        "dim_match": dim_match(matches, silver["stadiums"], silver["teams"], at),
+        "dim_match": dim_match(matches, silver["stadiums"], silver["teams"], at, strict),
         "dim_time": dim_time(scans, matches, at),
         "dim_fan": fans,
-        "fact_ticket_scan": fact_ticket_scan(scans, matches, fans, at),
+        "fact_ticket_scan": fact_ticket_scan(scans, matches, fans, at, strict),
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom import rules
 from starloom.functions.numbers import capped, safe_divide
 from starloom.operators.lookup import lookup_join
+from starloom.operators.skew import HotKeys
 
 # Roles the dimensions play for the fact: stored dimension, fact column, dimension key.
 ROLES = {
@@ -33,9 +34,15 @@ def tickets(fact: DataFrame, *by: str) -> DataFrame:
 
 
 def with_attributes(
-    rows: DataFrame, star: Mapping[str, DataFrame], attributes: Mapping[str, tuple[str, str]]
+    rows: DataFrame,
+    star: Mapping[str, DataFrame],
+    attributes: Mapping[str, tuple[str, str]],
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Add dimension attributes, named ``{new name: (role, attribute)}``."""
+    """Add dimension attributes, named ``{new name: (role, attribute)}``.
+
+    ``hot``: no oversize groups (``HotKeys()``) where ``rows`` are already one per key.
+    """
     by_role: dict[str, dict[str, str]] = {}
     for name, (role, attribute) in attributes.items():
         by_role.setdefault(role, {})[name] = attribute
@@ -45,7 +52,7 @@ def with_attributes(
             F.col(dim_key).alias("__dim_key"),
             *[F.col(attribute).alias(name) for name, attribute in wanted.items()],
         )
-        rows = lookup_join(rows, side, {"__dim_key": F.col(fact_key)})
+        rows = lookup_join(rows, side, {"__dim_key": F.col(fact_key)}, hot=hot)
     return rows
 
 
@@ -77,7 +84,8 @@ def fill_rates(
     fact_keys = [ROLES[role][1] for role, _ in attributes.values()]
     level = list(dict.fromkeys([*by, *fact_keys, "stadium_key"]))
     seats = {"seating_capacity": ("dim_stadium", "seating_capacity")}
-    described = with_attributes(tickets(fact, *level), star, {**attributes, **seats})
+    counted = tickets(fact, *level)
+    described = with_attributes(counted, star, {**attributes, **seats}, HotKeys())
     grouped = described.groupBy(*by, *attributes).agg(
         F.sum("tickets").alias("tickets"), F.max("seating_capacity").alias("capacity")
     )

@@ -347,7 +347,7 @@ def audit_of(classified: DataFrame, at: Column | None = None) -> DataFrame:
     )
     copies = (
         classified.filter(F.col("count") > 1)
-        .withColumn("row_num", F.lit(None).cast("int"))
+        .withColumn("row_num", F.lit(None).cast("bigint"))
         .withColumn("audit_table", F.lit("complets_doublons"))
     )
     table = F.col("audit_table")

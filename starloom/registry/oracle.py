@@ -18,24 +18,23 @@ team_raw AS (
  FROM nation JOIN region ON n_regionkey=r_regionkey),
 stadium_raw AS (
  SELECT 'STD_'||s_suppkey AS stadium_id, ' '||s_name AS stadium_name,
-        lower('C'||s_nationkey)||' ' AS city_code, ' '||s_suppkey||' Main St ' AS full_address,
+        CASE WHEN s_suppkey%11=4 THEN 'c99' ELSE lower('C'||s_nationkey)||' ' END AS city_code,
+        ' '||s_suppkey||' Main St ' AS full_address,
         CAST(20000+(s_suppkey%7)*5000 AS INT) AS seating_capacity,
         CASE WHEN s_suppkey%2=0 THEN 'natural ' ELSE ' Hybrid' END AS pitch_type,
         '+212 5 '||s_suppkey AS contact_phone, ' Info'||s_suppkey||'@X.ORG' AS email
- FROM supplier WHERE s_suppkey < 10),
-match_all AS (
- SELECT o_orderkey, CAST(o_orderdate AS DATE) AS match_date, o_custkey%10 AS sid, o_orderpriority,
-        row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE), o_custkey%10
-                           ORDER BY o_orderkey) AS rn
- FROM orders),
+ FROM supplier),
+order_sited AS (
+ SELECT *, CASE WHEN (o_custkey//15)%13=7 THEN o_custkey//15-1 ELSE o_custkey//15 END AS sid FROM orders),
 match_raw AS (
- SELECT 'M'||o_orderkey AS match_id, match_date,
+ SELECT 'M'||o_orderkey AS match_id, CAST(o_orderdate AS DATE) AS match_date,
         '1899-12-30T'||CASE WHEN o_orderkey%2=0 THEN '17:00:00' ELSE '20:30:00' END||'.0000000'
           AS match_time,
         ' '||o_orderpriority||' ' AS stage, substr('abcdef', CAST(o_orderkey%6 AS INT)+1, 1) AS group_code,
-        ' std_'||sid AS stadium_id, 't'||(o_orderkey%25) AS home_team_code,
+        CASE WHEN o_orderkey%37=5 THEN ' nowhere' ELSE ' std_'||sid END AS stadium_id,
+        't'||(o_orderkey%27) AS home_team_code,
         't'||((o_orderkey+7)%25)||' ' AS away_team_code, ' calm ' AS weather_notes
- FROM match_all WHERE rn=1),
+ FROM order_sited),
 scan_raw AS (
  SELECT CASE WHEN l_suppkey%50=7 THEN NULL ELSE CASE CAST(l_partkey%8 AS INT)
           WHEN 0 THEN 'TICKET_'||(l_orderkey*10+l_linenumber) WHEN 1 THEN 'ticket_'||(l_orderkey*10+l_linenumber)
@@ -44,7 +43,7 @@ scan_raw AS (
           WHEN 6 THEN 'XX-'||(l_orderkey*10+l_linenumber)
           ELSE 'TICKET_A'||(l_orderkey*10+l_linenumber) END END AS ticket_id,
         CASE WHEN l_partkey%11=0 THEN NULL ELSE 'M'||l_orderkey END AS match_id,
-        CASE WHEN l_partkey%13=0 THEN NULL ELSE 'STD_'||(o_custkey%10) END AS stadium_id,
+        CASE WHEN l_partkey%13=0 THEN NULL ELSE 'STD_'||sid END AS stadium_id,
         CASE CAST(l_suppkey%6 AS INT) WHEN 0 THEN NULL WHEN 1 THEN 'FAN_'||(100000+o_custkey)
           WHEN 2 THEN 'fan'||(100000+o_custkey) WHEN 3 THEN ' fan_'||(100000+o_custkey)||' '
           WHEN 4 THEN CASE WHEN l_linenumber=1 THEN 'F#'||o_custkey ELSE 'FAN_'||(100000+o_custkey) END
@@ -61,7 +60,7 @@ scan_raw AS (
         CASE WHEN l_linestatus='F' THEN 'SCANNED' ELSE 'REJECTED' END AS scan_status,
         CASE WHEN l_partkey%4=0 THEN l_shipdate ELSE o_orderdate + INTERVAL '1' HOUR * l_linenumber END
           AS scan_timestamp
- FROM lineitem JOIN orders ON l_orderkey=o_orderkey),
+ FROM lineitem JOIN order_sited ON l_orderkey=o_orderkey),
 scan_in AS (
  SELECT * FROM scan_raw UNION ALL
  SELECT * FROM scan_raw WHERE stadium_id='STD_3' AND purchase_channel='kiosk')
@@ -126,7 +125,7 @@ COHERENT = """CASE
   ELSE false END"""
 SCAN_DAY = "CAST(scan_timestamp AS DATE)"
 ORDER_OK = f"(purchase_date <= {SCAN_DAY})"
-PERIOD_OK = "(year(scan_timestamp)=2025 AND month(scan_timestamp)=12)"
+PERIOD_OK = "(year(scan_timestamp)=1997 AND month(scan_timestamp) BETWEEN 3 AND 9)"
 PURCHASE_FIXED = f"CASE WHEN purchase_date > {SCAN_DAY} THEN {SCAN_DAY} ELSE purchase_date END"
 INITCAP = (
     "array_to_string(list_transform(string_split(lower(trim({0})),' '),"
@@ -201,7 +200,8 @@ d_match AS (
 FILLED = f"""
 match_filled AS (
  SELECT t.* REPLACE (coalesce(t.match_id, m.match_id) AS match_id), t.match_id IS NULL AS match_was_null
- FROM accepted t LEFT JOIN match_clean m
+ FROM accepted t LEFT JOIN
+  (SELECT stadium_id, match_date, min(match_id) AS match_id FROM match_clean GROUP BY ALL) m
    ON t.stadium_id=m.stadium_id AND CAST(t.scan_timestamp AS DATE)=m.match_date),
 both_filled AS (
  SELECT t.* REPLACE (coalesce(t.stadium_id, m.stadium_id) AS stadium_id),
@@ -275,19 +275,19 @@ raw_fans AS ({_fan_rules('scan_raw')})
 
 NO_TICKET = "NULL::VARCHAR AS ticket_id_fixed, NULL::BOOLEAN AS ticket_id_valide"
 NO_FAN = "NULL::VARCHAR AS fan_id_fixed, NULL::BOOLEAN AS fan_id_valide"
-NO_NUM = "NULL::INT AS row_num, NULL::BIGINT AS \"count\""
+NO_NUM = "NULL::BIGINT AS row_num, NULL::BIGINT AS \"count\""
 WITH_IDS = f"{SCAN_LIST}, ticket_id_fixed, ticket_id_valide"
 AUDIT = f"""
 ticket_rejected AS (SELECT *, {TICKET_TABLE} FROM ticket_judged WHERE ticket_id_valide IS NOT TRUE),
 fan_rejected AS (SELECT *, {FAN_TABLE} FROM fan_judged WHERE fan_id_valide IS NOT TRUE),
 audited AS (
- SELECT {SCAN_LIST}, {NO_TICKET}, {NO_FAN}, NULL::INT AS row_num, copies AS "count",
+ SELECT {SCAN_LIST}, {NO_TICKET}, {NO_FAN}, NULL::BIGINT AS row_num, copies AS "count",
         'complets_doublons' AS audit_table FROM scan_distinct WHERE copies > 1
  UNION ALL
  SELECT {SCAN_LIST}, {NO_TICKET}, {NO_FAN}, {NO_NUM}, 'ticket_id_null' FROM scan_distinct
  WHERE ticket_id IS NULL
  UNION ALL
- SELECT {SCAN_LIST}, {NO_TICKET}, {NO_FAN}, CAST(rn AS INT), NULL::BIGINT, 'ticket_id_doublons'
+ SELECT {SCAN_LIST}, {NO_TICKET}, {NO_FAN}, rn, NULL::BIGINT, 'ticket_id_doublons'
  FROM ticket_ranked WHERE rn > 1
  UNION ALL
  SELECT {WITH_IDS}, {NO_FAN}, {NO_NUM}, audit_table FROM ticket_rejected
@@ -298,11 +298,29 @@ audited AS (
 """
 
 
+TIME = """SELECT CAST(strftime(event_date, '%Y%m%d') AS INT) AS date_key, event_date,
+ CAST(year(event_date) AS INT) AS year, CAST(month(event_date) AS INT) AS month,
+ strftime(event_date, '%B') AS month_name, CAST(day(event_date) AS INT) AS day,
+ CASE WHEN dayofweek(event_date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type
+ FROM (SELECT CAST(scan_timestamp AS DATE) AS event_date FROM silver
+       UNION SELECT CAST(match_datetime AS DATE) FROM match_clean)
+ WHERE event_date IS NOT NULL"""
+
+
 def _orphan(key: str, dim: str, dim_key: str) -> str:
     return f"""SELECT '{key}' AS foreign_key, count(*) AS orphan_rows, count(DISTINCT {key}) AS orphan_keys
  FROM f_rows WHERE {key} NOT IN (SELECT {dim_key} FROM {dim})"""
 
 
+def _by_role(name: str, join: str) -> str:
+    """Attendance by an attribute of a dimension; ``join`` ties it to the fact as ``f``."""
+    return _sql(
+        f"SELECT {name}, {RATE} FROM fact_seats f LEFT JOIN {join} GROUP BY 1",
+        CHAIN, DIMS, FILLED, GOLD,
+        f"d_time AS ({TIME})",
+    )
+
+
 ORACLES: dict[str, str] = {
     "ticket_normalize_repair": _sql(
         "SELECT * FROM ticket_out",
@@ -361,7 +379,7 @@ ORACLES: dict[str, str] = {
     ),
     "ticket_duplicate_audit": _sql(
         f"""SELECT *, {REASON_OF} FROM (
-        SELECT *, CAST(row_number() OVER {BY_TICKET} AS INT) AS row_num,
+        SELECT *, row_number() OVER {BY_TICKET} AS row_num,
         'ticket_id_doublons' AS audit_table FROM scan_raw WHERE ticket_id IS NOT NULL)
         WHERE row_num > 1"""
     ),
@@ -493,16 +511,7 @@ ORACLES: dict[str, str] = {
     "dim_stadium": _sql("SELECT * FROM d_stadium", DIMS),
     "dim_team": _sql("SELECT team_code AS team_key, * EXCLUDE (team_code) FROM team_clean", DIMS),
     "dim_match": _sql("SELECT * FROM d_match", DIMS),
-    "dim_time": _sql(
-        """SELECT CAST(strftime(event_date, '%Y%m%d') AS INT) AS date_key, event_date,
-        CAST(year(event_date) AS INT) AS year, CAST(month(event_date) AS INT) AS month,
-        strftime(event_date, '%B') AS month_name, CAST(day(event_date) AS INT) AS day,
-        CASE WHEN dayofweek(event_date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type
-        FROM (SELECT CAST(scan_timestamp AS DATE) AS event_date FROM silver
-              UNION SELECT CAST(match_datetime AS DATE) FROM match_clean)
-        WHERE event_date IS NOT NULL""",
-        CHAIN, DIMS, FILLED,
-    ),
+    "dim_time": _sql(TIME, CHAIN, DIMS, FILLED),
     "dim_fan": _sql("SELECT * FROM d_fan", CHAIN, DIMS, FILLED, GOLD),
     "fact_ticket_scan": _sql("SELECT * FROM fact", CHAIN, DIMS, FILLED, GOLD),
     "fact_key_uniqueness": _sql(
@@ -516,11 +525,19 @@ ORACLES: dict[str, str] = {
             [
                 _orphan("stadium_key", "d_stadium", "stadium_key"),
                 _orphan("match_key", "match_clean", "match_id"),
+                _orphan("date_key", "d_time", "date_key"),
+                _orphan("fan_key", "d_fan", "fan_key"),
                 _orphan("home_team_key", "team_clean", "team_code"),
                 _orphan("away_team_key", "team_clean", "team_code"),
             ]
         ),
         CHAIN, DIMS, FILLED, GOLD,
+        f"d_time AS ({TIME})",
+    ),
+    "lookup_duplicates": _sql(
+        """SELECT stadium_id, match_date, count(*) AS n_rows FROM match_clean
+        WHERE stadium_id IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""",
+        DIMS,
     ),
     "dense_key_scaled": """SELECT o_orderpriority, o_orderkey,
         row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS order_number FROM orders""",
@@ -542,6 +559,14 @@ ORACLES: dict[str, str] = {
         WHERE purchase_channel <> 'INVALID' GROUP BY 1""",
         CHAIN, DIMS, FILLED, GOLD,
     ),
+    "attendance_by_day_type": _by_role("day_type", "d_time d ON f.date_key=d.date_key"),
+    "attendance_by_fan_type": _by_role("fan_type", "d_fan d ON f.fan_key=d.fan_key"),
+    "attendance_by_home_team": _by_role(
+        "home_team", "(SELECT team_code, team_name AS home_team FROM team_clean) d ON f.home_team_key=d.team_code"
+    ),
+    "attendance_by_away_team": _by_role(
+        "away_team", "(SELECT team_code, team_name AS away_team FROM team_clean) d ON f.away_team_key=d.team_code"
+    ),
     "attended_stadiums": _sql(
         """SELECT stadium_key, seating_capacity FROM d_stadium WHERE stadium_key IN
         (SELECT stadium_key FROM f_rows WHERE upper(scan_status)='SCANNED')""",
@@ -587,3 +612,7 @@ ORACLES: dict[str, str] = {
         CHAIN, DIMS, FILLED, GOLD,
     ),
 }
+
+# Other physical paths to the same rows.
+ORACLES["ticket_duplicate_audit_split"] = ORACLES["ticket_duplicate_audit"]
+ORACLES["match_enrichment_salted"] = ORACLES["match_enrichment"]

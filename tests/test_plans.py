@@ -58,7 +58,8 @@ def test_large_lookup_is_hashed_and_small_one_broadcast(spark, raw):
     on = {"match_id": F.col("match_id")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        salted = physical(lookup_join(raw, side, on, small=False, hot=HotKeys({1: 2})))
+        one = spark.sql("SELECT bigint(1) AS __key_hash, 2 AS __pieces")
+        salted = physical(lookup_join(raw, side, on, small=False, hot=HotKeys(one, 1)))
         assert "SortMergeJoin" in salted and "__salt" in salted
         assert "BroadcastHashJoin" in physical(lookup_join(raw, side, on))
     finally:

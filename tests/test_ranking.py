@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom.operators.ranking import dense_key, keep_first, rank_rows, total_order
-from starloom.operators.skew import HotKeys, gather, hot_keys, is_small
+from starloom.operators.skew import HotKeys, gather, hot_keys, hot_keys_of, is_small
 
 
 @pytest.fixture(scope="module")
@@ -23,15 +23,29 @@ def skewed(spark):
 
 def expected_ranks(df, keys, order):
     window = Window.partitionBy(*keys).orderBy(*total_order(df, order, keys))
-    return df.withColumn("n", F.row_number().over(window).cast("int"))
+    return df.withColumn("n", F.row_number().over(window).cast("bigint"))
 
 
 def test_hot_keys_are_found_and_bounded(skewed):
     found = hot_keys(skewed, ["k"], group_rows=500, sample=1.0)
-    assert list(found.pieces.values()) == [2]
+    assert [r["__pieces"] for r in found.table().collect()] == [2]
     assert not hot_keys(skewed, ["k"])
 
 
+def test_one_grouping_does_not_crowd_out_another(spark):
+    """Twenty thousand oversize keys of one kind leave the one of another kind found."""
+    data = spark.range(60_000).select((F.col("id") % 20_000).alias("a"), F.lit(1).alias("b"))
+    many, one = hot_keys_of(data, [(["a"], None), (["b"], None)], group_rows=2, sample=1.0)
+    assert (many.groups, one.groups) == (20_000, 1)
+    assert many.table().count() == 20_000
+
+
+def test_ranks_are_bigint(skewed):
+    hot = hot_keys(skewed, ["k"], group_rows=300, sample=1.0)
+    for how in (None, hot):
+        assert dict(rank_rows(skewed, ["k"], ["t"], "n", hot=how).dtypes)["n"] == "bigint"
+
+
 @pytest.mark.parametrize("keys", [["k"], ["k", "g"]])
 def test_hot_groups_are_ranked_like_the_others(skewed, keys):
     hot = hot_keys(skewed, keys, group_rows=300, sample=1.0)
@@ -45,7 +59,7 @@ def test_rows_not_eligible_pass_without_a_rank(skewed):
     known = F.col("k").isNotNull()
     expected = rows(
         expected_ranks(skewed.filter(known), ["k"], ["t"]).unionByName(
-            skewed.filter(~known).withColumn("n", F.lit(None).cast("int"))
+            skewed.filter(~known).withColumn("n", F.lit(None).cast("bigint"))
         )
     )
     hot = hot_keys(skewed, ["k"], where=known, group_rows=300, sample=1.0)
@@ -70,9 +84,9 @@ def test_keep_first_leaves_other_rows_alone(skewed):
     data = skewed.withColumn("u", F.monotonically_increasing_id().cast("string"))
     only = F.col("g") == 1
     ties = ["k", "g", "t", "v"]
-    by_union = keep_first(data, ["k"], ["t"], ties, only=only)
+    stored = keep_first(data, ["k"], ["t"], ties, only=only)
     in_one = keep_first(data, ["k"], ["t"], ties, only=only, row_id="u")
-    assert rows(by_union, *ties) == rows(in_one, *ties)
+    assert rows(stored, *ties) == rows(in_one, *ties)
     assert in_one.filter(~only).count() == data.filter(~only).count()
 
 
@@ -104,12 +118,8 @@ def test_is_small_checks_rows_and_bytes(spark):
     assert is_small(spark.range(0))
 
 
-def test_gather_keeps_rows_and_splits_oversize_keys(skewed):
-    hot = hot_keys(skewed, ["k"], group_rows=100, sample=1.0)
-    tasks = F.spark_partition_id().alias("p")
-    for how, pieces in ((HotKeys(), 1), (hot, 2)):
-        got = gather(skewed, ["k"], how)
-        assert rows(got) == rows(skewed)
-        per_key = got.select("k", tasks).distinct().groupBy("k").count()
-        assert per_key.filter("k = 'hot'").first()["count"] >= pieces
-        assert per_key.filter("k = 'k1'").first()["count"] == 1
+def test_gather_rebalances_by_key(skewed):
+    got = gather(skewed, ["k"])
+    assert rows(got) == rows(skewed)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan

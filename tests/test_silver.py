@@ -29,8 +29,8 @@ def classified(raw):
 
 def test_stage_counts(raw, classified):
     by_table = dict(rows(classified.groupBy("audit_table").count()))
-    assert raw.count() == 6037
-    assert profile.duplicate_rows(raw).count() == 37
+    assert raw.count() == 6061
+    assert profile.duplicate_rows(raw).count() == 61
     assert by_table == {
         "ticket_id_null": 601, "ticket_id_doublons": 831, "ticket_id_invalide": 30,
         "ticket_id_irreparable": 611, "fan_id_irreparable": 59, "fan_id_doublons": 1039,
