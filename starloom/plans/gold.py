@@ -10,6 +10,7 @@ from starloom.functions.dates import date_key, day_type
 from starloom.operators.lookup import lookup_join, one_per_key
 from starloom.operators.ranking import dense_key
 from starloom.operators.skew import HotKeys, hot_keys, is_small
+from starloom.rules import ScanPolicy
 
 ROW_ID = "__row_id"
 
@@ -205,16 +206,25 @@ def fact_ticket_scan(
     return keyed.withColumn("load_ts", _load_ts(at)).select(*contracts.FACT_TICKET_SCAN.names)
 
 
+def with_unknown_member(dim: DataFrame, key: str) -> DataFrame:
+    """The dimension with one more row, which UNKNOWN references find."""
+    member = dim.sparkSession.range(1).select(F.lit(rules.UNKNOWN_MEMBER).alias(key))
+    return dim.unionByName(member, allowMissingColumns=True)
+
+
 def build_star(
-    silver: dict[str, DataFrame], at: Column | None = None, strict: bool = False
+    silver: dict[str, DataFrame], at: Column | None = None, policy: ScanPolicy | None = None
 ) -> dict[str, DataFrame]:
     """All gold tables from the silver ones: scans, matches, stadiums, teams, cities.
 
-    With ``strict`` a lookup key that two rows share raises instead of taking the smallest.
+    The policy says whether lookup keys that two rows share raise instead of taking the
+    smallest, and whether dimensions get an unknown member.
     """
+    policy = policy or ScanPolicy()
+    strict = policy.strict_lookups
     scans, matches = silver["scans"], silver["matches"]
     fans = dim_fan(scans, at)
-    return {
+    star = {
         "dim_stadium": dim_stadium(silver["stadiums"], silver["cities"], at, strict),
         "dim_team": dim_team(silver["teams"], at),
         "dim_match": dim_match(matches, silver["stadiums"], silver["teams"], at, strict),
@@ -222,3 +232,7 @@ def build_star(
         "dim_fan": fans,
         "fact_ticket_scan": fact_ticket_scan(scans, matches, fans, at, strict),
     }
+    if policy.unknown_members:
+        for name, key in (("dim_stadium", "stadium_key"), ("dim_team", "team_key"), ("dim_match", "match_key")):
+            star[name] = with_unknown_member(star[name], key)
+    return star

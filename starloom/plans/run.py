@@ -12,7 +12,7 @@ from starloom.operators.profile import observed
 from starloom.plans import gold, silver_dims
 from starloom.plans import silver_scans as scans_plan
 from starloom.rules import ACCEPTED, ScanPolicy
-from starloom.session import materialize
+from starloom.session import materialize, removing_intermediates
 from starloom.sources.readers import read_table
 from starloom.sources.writers import register_tables, write_table
 
@@ -75,22 +75,32 @@ def run_scans(
         fmt=layout.fmt,
         partition_by=["audit_table"],
     )
-    cleaned = scans_plan.cleaned_columns(scans_plan.accepted_of(stored))
-    silver = scans_plan.enrich_scans(cleaned, matches, policy.strict_lookups)
+    accepted = scans_plan.accepted_of(stored)
+    metrics["scan_quality"] = write_table(
+        accepted.select(F.col("ticket_id_fixed").alias("ticket_id"), *scans_plan.QUALITY),
+        layout.path("silver", "scan_quality"),
+        fmt=layout.fmt,
+    )
+    silver = scans_plan.enrich_scans(scans_plan.cleaned_columns(accepted), matches, policy)
     metrics["ticket_scans_clean"] = write_table(
         silver, layout.path("silver", "ticket_scans_clean"), fmt=layout.fmt
     )
     return metrics
 
 
-def run_gold(spark: SparkSession, layout: Layout, at: Column | None = None) -> dict[str, int]:
+def run_gold(
+    spark: SparkSession,
+    layout: Layout,
+    at: Column | None = None,
+    policy: ScanPolicy | None = None,
+) -> dict[str, int]:
     """Build and store the star from the stored silver tables."""
     silver = {
         name: read_table(spark, layout.path("silver", f"{name}_clean"), layout.fmt)
         for name in DIMENSIONS
     }
     silver["scans"] = read_table(spark, layout.path("silver", "ticket_scans_clean"), layout.fmt)
-    star = gold.build_star(silver, at)
+    star = gold.build_star(silver, at, policy)
     return {
         name: write_table(
             contracts.assert_contract(table, contracts.GOLD[name]),
@@ -128,9 +138,13 @@ def run_all(
     policy: ScanPolicy | None = None,
     at: Column | None = None,
 ) -> dict[str, int]:
-    """Bronze frames (scans and the four dimensions) to a stored star; returns row counts."""
-    counts = run_dimensions(raw, layout)
-    matches = read_table(spark, layout.path("silver", "matches_clean"), layout.fmt)
-    counts.update(run_scans(raw["scans"], matches, layout, policy, at))
-    counts.update(run_gold(spark, layout, at))
+    """Bronze frames (scans and the four dimensions) to a stored star; returns row counts.
+
+    Tables stored on the way are removed once everything is written.
+    """
+    with removing_intermediates(spark):
+        counts = run_dimensions(raw, layout)
+        matches = read_table(spark, layout.path("silver", "matches_clean"), layout.fmt)
+        counts.update(run_scans(raw["scans"], matches, layout, policy, at))
+        counts.update(run_gold(spark, layout, at, policy))
     return counts

@@ -182,6 +182,17 @@ QUALITY_FLAGS = (
 )
 
 
+#: What is told about the quality of a row: flags of all rules, score, and whether all hold.
+QUALITY = (
+    *QUALITY_FLAGS,
+    "prix_categorie_coherent",
+    "date_order_valide",
+    "scan_date_valide",
+    "quality_score",
+    "completement_valide",
+)
+
+
 def with_quality(df: DataFrame, policy: ScanPolicy | None = None) -> DataFrame:
     """Quality score in percent and whether all five flags hold."""
     policy = policy or ScanPolicy()
@@ -426,11 +437,18 @@ def lookup_is_small(matches: DataFrame) -> bool:
 def enrich_scans(
     cleaned: DataFrame,
     matches: DataFrame,
-    strict: bool = False,
+    policy: ScanPolicy | None = None,
     small: bool | None = None,
     skew: FillSkew | None = None,
 ) -> DataFrame:
     """Missing references filled, columns and names of the silver contract."""
+    policy = policy or ScanPolicy()
+    strict = policy.strict_lookups
+    if policy.normalize_keys:
+        keys = ("match_id", "stadium_id")
+        cleaned, matches = (
+            df.withColumns({k: text.code(F.col(k)) for k in keys}) for df in (cleaned, matches)
+        )
     if small is None:
         small = lookup_is_small(matches)
     if not small and skew is None:
@@ -446,7 +464,11 @@ def enrich_scans(
             "fan_id_valide": "is_fan_id_valid",
         }
     ).withColumnsRenamed({"ticket_id_fixed": "ticket_id", "fan_id_fixed": "fan_id"})
-    return renamed.select(*contracts.TICKET_SCANS_CLEAN.names)
+    silver = renamed.select(*contracts.TICKET_SCANS_CLEAN.names)
+    if policy.dedup_fans_after_enrichment:
+        known = is_identified() & F.col("match_id").isNotNull()
+        silver = keep_first(silver, FAN_AT_MATCH, FIRST_SCAN, only=known)
+    return silver
 
 
 def silver_scans(
@@ -465,4 +487,4 @@ def silver_scans(
         small = lookup_is_small(matches)
     skew = None if small else fill_skew(raw)
     cleaned = cleaned_columns(accepted_scans(raw, policy))
-    return enrich_scans(cleaned, matches, policy.strict_lookups, small, skew)
+    return enrich_scans(cleaned, matches, policy, small, skew)

@@ -72,3 +72,9 @@ class ScanPolicy:
     dedup_after_repair: bool = False
     # Raise when two lookup rows share a key, instead of taking the smallest.
     strict_lookups: bool = False
+    # Compare match and stadium ids without regard to case and outer spaces.
+    normalize_keys: bool = False
+    # Keep one entry per repaired fan id and match once missing matches are filled.
+    dedup_fans_after_enrichment: bool = False
+    # Give the dimensions a row that UNKNOWN references of the fact point to.
+    unknown_members: bool = False

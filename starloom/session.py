@@ -8,6 +8,8 @@ that could pick other rows.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/starloom/{label}-{uuid.uuid4().hex}"
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def removing_intermediates(spark: SparkSession) -> Iterator[None]:
+    """What is stored by ``materialize`` inside is removed at the end, also after a failure.
+
+    For plans that leave nothing lazy behind: their results are written inside.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes[:] = [scope for scope in _scopes if scope is not made]
+        for path in made:
+            remove_intermediate(spark, path)
+
+
+def remove_intermediate(spark: SparkSession, path: str) -> bool:
+    """Delete an intermediate dataset; refuses anything outside the work folder."""
+    if not path.startswith(f"{work_folder(spark)}/") or ".." in path:
+        raise ValueError(f"{path} is not an intermediate dataset")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.delete(target, True))
+
+
 def materialize(df: DataFrame, label: str = "stage", row_id: str | None = None) -> DataFrame:
     """Write ``df`` once and return a scan of what was written.
 
@@ -39,5 +70,7 @@ def materialize(df: DataFrame, label: str = "stage", row_id: str | None = None)
     if row_id is not None:
         df = df.withColumn(row_id, F.monotonically_increasing_id())
     path = scratch_path(df.sparkSession, label)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

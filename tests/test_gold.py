@@ -6,9 +6,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from starloom import contracts
+from starloom import contracts, rules
 from starloom.operators import profile
+from starloom.operators.lookup import AmbiguousLookup
 from starloom.plans import gold, measures
+from starloom.rules import ScanPolicy
 
 AT = datetime(2026, 1, 1)
 
@@ -152,3 +154,13 @@ def test_gauge(star, spark):
 def test_occurring_members(star):
     got = measures.occurring(star["dim_stadium"], star["fact_ticket_scan"], "stadium_key")
     assert rows(got, "stadium_key") == [("S1",), ("S2",)]
+
+
+def test_policy_reaches_the_star(tables, star):
+    with pytest.raises(AmbiguousLookup):
+        gold.build_star(tables, policy=ScanPolicy(strict_lookups=True))
+    known = gold.build_star(tables, F.lit(AT), ScanPolicy(unknown_members=True))
+    for name, key in (("dim_stadium", "stadium_key"), ("dim_team", "team_key"), ("dim_match", "match_key")):
+        contracts.assert_contract(known[name], contracts.GOLD[name])
+        assert known[name].count() == star[name].count() + 1
+        assert known[name].filter(F.col(key) == rules.UNKNOWN_MEMBER).count() == 1

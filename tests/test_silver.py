@@ -118,3 +118,22 @@ def test_unreadable_match_time(spark):
     midnight = silver_dims.clean_matches(match).first()
     assert (midnight.match_time, str(midnight.match_datetime)) == ("", "2025-12-21 00:00:00")
     assert silver_dims.clean_matches(match, False).first().match_datetime is None
+
+
+def test_keys_may_be_compared_normalised(spark, raw, scenario):
+    matches = materialize(silver_dims.clean_matches(scenario.matches()))
+    spelt = raw.withColumn("stadium_id", F.concat(F.lit(" "), F.lower("stadium_id")))
+    plain = plan.silver_scans(spelt, matches)
+    normal = plan.silver_scans(spelt, matches, ScanPolicy(normalize_keys=True))
+    assert plain.filter("match_id IS NULL").count() > normal.filter("match_id IS NULL").count()
+    assert rows(normal) == rows(plan.silver_scans(raw, matches))
+
+
+def test_fans_may_be_deduplicated_after_enrichment(raw, scenario):
+    matches = materialize(silver_dims.clean_matches(scenario.matches()))
+    usual = plan.silver_scans(raw, matches)
+    later = plan.silver_scans(raw, matches, ScanPolicy(dedup_fans_after_enrichment=True))
+    known = "fan_id <> 'N/A' AND match_id IS NOT NULL"
+    assert later.filter(known).groupBy("match_id", "fan_id").count().filter("count > 1").isEmpty()
+    assert later.count() < usual.count() and later.exceptAll(usual).isEmpty()
+    assert later.filter(f"NOT ({known})").count() == usual.filter(f"NOT ({known})").count()

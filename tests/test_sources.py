@@ -2,15 +2,19 @@
 
 import uuid
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from starloom import contracts
+from starloom.operators.lookup import AmbiguousLookup
 from starloom.plans import run as full_run
+from starloom.plans import silver_scans
 from starloom.plans.scenario import Scenario
-from starloom.session import materialize, scratch_path, work_folder
+from starloom.rules import ScanPolicy
+from starloom.session import materialize, remove_intermediate, scratch_path, work_folder
 from starloom.sources import ingest, readers, writers
 
 HEADER = ",".join(contracts.TICKET_SCANS.names)
@@ -121,6 +125,7 @@ def test_writes_are_counted_and_reconciled(spark, tmp_path):
     assert writers.reconcile(readers.read_table(spark, path), 2).count() == 2
     assert writers.write_if_any(spark.range(0), str(tmp_path / "none")) == 0
     assert not (tmp_path / "none").exists()
+    assert not (tmp_path / "none").exists()
 
 
 def test_schema_merges_on_read(spark, tmp_path):
@@ -166,11 +171,11 @@ def test_registered_tables(spark, tmp_path):
 def test_only_intermediate_datasets_can_be_removed(spark, tmp_path):
     path = scratch_path(spark, "gone")
     spark.range(1).write.parquet(path)
-    assert writers.remove_intermediate(spark, path)
+    assert remove_intermediate(spark, path)
     with pytest.raises(ValueError, match="not an intermediate"):
-        writers.remove_intermediate(spark, str(tmp_path))
+        remove_intermediate(spark, str(tmp_path))
     with pytest.raises(ValueError, match="not an intermediate"):
-        writers.remove_intermediate(spark, f"{work_folder(spark)}/../x")
+        remove_intermediate(spark, f"{work_folder(spark)}/../x")
 
 
 def test_work_folder_follows_the_session(spark):
@@ -190,7 +195,11 @@ def test_full_run(spark, folder, tmp_path):
         "stadiums": source.stadiums(), "cities": source.cities(),
     }
     layout = full_run.Layout(str(tmp_path))
+    work = Path(work_folder(spark).removeprefix("file:")) / "starloom"
+    before = {p.name for p in work.iterdir()} if work.exists() else set()
     counts = full_run.run_all(spark, raw, layout)
+    assert {p.name for p in work.iterdir()} == before
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["audit", "gold", "silver"]
     assert (counts["rows_in"], counts["rows_distinct"], counts["rows_accepted"]) == (6061, 6000, 2829)
     assert counts["fact_ticket_scan"] == counts["ticket_scans_clean"] == 2829
     star = full_run.read_star(spark, layout)
@@ -200,3 +209,19 @@ def test_full_run(spark, folder, tmp_path):
     audit = readers.read_table(spark, layout.path("audit", "rejected_scans"))
     assert audit.count() == counts["audit"] == 6000 - 2829 + 61
     assert rows(star["fact_ticket_scan"].agg(F.min("ticket_scan_key"), F.max("ticket_scan_key"))) == [(1, 2829)]
+    quality = readers.read_table(spark, layout.path("silver", "scan_quality"))
+    assert quality.count() == counts["scan_quality"] == 2829
+    assert quality.columns == ["ticket_id", *silver_scans.QUALITY]
+    policy = ScanPolicy(strict_lookups=True)
+    raw["cities"] = raw["cities"].unionByName(raw["cities"])
+    with pytest.raises(AmbiguousLookup):
+        full_run.run_gold(spark, with_raw_dimensions(spark, raw, str(tmp_path / "strict")), policy=policy)
+
+
+def with_raw_dimensions(spark, raw, base):
+    """A layout whose silver layer is made from ``raw`` with one scan."""
+    layout = full_run.Layout(base)
+    full_run.run_dimensions(raw, layout)
+    one = spark.createDataFrame([], contracts.TICKET_SCANS_CLEAN)
+    writers.write_table(one, layout.path("silver", "ticket_scans_clean"))
+    return layout
