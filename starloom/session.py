@@ -38,7 +38,7 @@ _scopes: list[list[str]] = []
 def removing_intermediates(spark: SparkSession) -> Iterator[None]:
     """What is stored by ``materialize`` inside is removed at the end, also after a failure.
 
-    For plans that leave nothing lazy behind: their results are written inside.
+    What is returned from inside has to be written, or stored with ``keep``.
     """
     made: list[str] = []
     _scopes.append(made)
@@ -60,9 +60,13 @@ def remove_intermediate(spark: SparkSession, path: str) -> bool:
     return bool(files.delete(target, True))
 
 
-def materialize(df: DataFrame, label: str = "stage", row_id: str | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, label: str = "stage", row_id: str | None = None, keep: bool = False
+) -> DataFrame:
     """Write ``df`` once and return a scan of what was written.
 
+    ``keep``: it outlives ``removing_intermediates``, for results that are read later.
+
     ``row_id`` adds a unique long per row. The number is only meaningful because it is
     stored: its high bits are the writing task's partition, its low 33 bits the position
     of the row inside that partition.
@@ -70,7 +74,7 @@ def materialize(df: DataFrame, label: str = "stage", row_id: str | None = None)
     if row_id is not None:
         df = df.withColumn(row_id, F.monotonically_increasing_id())
     path = scratch_path(df.sparkSession, label)
-    if _scopes:
+    if _scopes and not keep:
         _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
