@@ -5,7 +5,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.functions import numbers, text
+from starloom import rules
+from starloom.functions import checks, numbers, repair, text
 from starloom.functions.dates import at_time, date_key, day_type
 from starloom.plans import silver_scans as plan
 from starloom.rules import ScanPolicy
@@ -220,3 +221,18 @@ def test_row_rules_apply_to_a_stream_unchanged(spark, tmp_path):
     )
     run.awaitTermination(120)
     assert result(spark.table("judged"), "ticket_id_fixed") == [(t[1],) for t in TICKETS]
+
+
+def test_accepted_shapes_agree_with_repair_and_check(spark):
+    """One test per row stands for repair and judgement; both must say the same of any id."""
+    parts = ["TICKET", "TK", "FAN", "_", "N/A", "A", "B2", "C" * 11, "D" * 12, "E" * 13, "-", ""]
+    ids = sorted({a + b + c for a in parts for b in parts for c in parts})
+    frame = spark.createDataFrame([(i,) for i in ids], "id string")
+    judged = frame.select(
+        F.col("id").rlike(rules.ACCEPTED_TICKET).alias("ticket_shape"),
+        F.coalesce(checks.ticket_id_valid(repair.repair_ticket_id(F.col("id"))), F.lit(False)).alias("ticket"),
+        F.col("id").rlike(rules.ACCEPTED_FAN).alias("fan_shape"),
+        F.coalesce(checks.fan_id_valid(repair.repair_fan_id(F.col("id"))), F.lit(False)).alias("fan"),
+    )
+    assert judged.filter("ticket_shape <> ticket OR fan_shape <> fan").isEmpty()
+    assert judged.filter("ticket").count() > 5 and judged.filter("fan").count() > 5

@@ -14,7 +14,9 @@ from starloom.plans import run as full_run
 from starloom.plans import silver_scans
 from starloom.plans.scenario import Scenario
 from starloom.rules import ScanPolicy
-from starloom.session import materialize, remove_intermediate, scratch_path, work_folder
+from starloom.session import (
+    materialize, remove_intermediate, removing_intermediates, scratch_path, work_folder,
+)
 from starloom.sources import ingest, readers, writers
 
 HEADER = ",".join(contracts.TICKET_SCANS.names)
@@ -225,3 +227,12 @@ def with_raw_dimensions(spark, raw, base):
     one = spark.createDataFrame([], contracts.TICKET_SCANS_CLEAN)
     writers.write_table(one, layout.path("silver", "ticket_scans_clean"))
     return layout
+
+
+def test_intermediates_go_and_kept_ones_stay(spark):
+    with removing_intermediates(spark):
+        gone = materialize(spark.range(2), "gone")
+        kept = materialize(gone, "kept", keep=True)
+    assert kept.count() == 2
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        spark.read.parquet(gone.inputFiles()[0])
