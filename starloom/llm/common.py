@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import materialize
+from starloom.session import materialize, removing_intermediates
 
-__all__ = ["ascii_lower", "batches_of", "lower_bytes", "materialize", "slices", "table"]
+__all__ = [
+    "ascii_lower", "batches_of", "lower_bytes", "materialize", "removing_intermediates", "table",
+]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of lower-cased UTF-8: digits, a-z and everything beyond ASCII.
@@ -33,12 +35,6 @@ def lower_bytes(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass").lower()
 
 
-def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
-    """Short pieces of a batch, so that what a task makes of one stays small."""
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
-
-
 def batches_of(
     batches: Iterator[pa.RecordBatch], text: str, size: int
 ) -> Iterator[pa.RecordBatch]:

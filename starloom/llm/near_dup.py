@@ -8,12 +8,17 @@
    ``need`` values left: it can be near nobody. What stays is counted once more.
 3. Prefix: of a class's values, rarest first, only the first ``left - need + 1`` are
    joined, as two classes that agree in ``need`` values share one of these.
-4. A value's classes are compared with one pivot, and what the exact sets confirm is
-   merged. Further rounds take other pivots, and skip whoever shares a component with it.
-   Last, classes of one value but of different components are compared with each other,
-   so that no link between components is left out, while the members of a large group, once
-   tied to each other, never meet in pairs.
-5. Pairs that agree in ``need`` coordinates are confirmed on the full shingle sets.
+4. A value's classes are compared with its pivot, and what the exact sets confirm is merged
+   into components. Members of one component are never compared again.
+5. Skip: with d(x) = x without and plus what tells it from the pivot, the difference of two
+   members is |d(x)| + |d(y)| - 2 |d(x) & d(y)|, and what they share of it is at most what
+   x shares with members of other components. So least and largest figures per value and component
+   prove for almost every member of a large group that no other component has a partner
+   for it, without looking at pairs. Members far from the pivot are skipped by the triangle
+   inequality of signatures. Neither drops a pair that could be linked.
+6. Members not skipped meet those of other components where they share a rare part of what
+   tells them from the pivot. Collisions are counted there, and pairs that agree in ``need``
+   coordinates are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -25,14 +30,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import batches_of, lower_bytes, materialize
+from starloom.llm.common import batches_of, lower_bytes, materialize, removing_intermediates
 from starloom.llm.components import components
 
 COORDS = 64
-PIVOT_ROUNDS = 3
+#: Members that differ from the pivot in so many coordinates at most are measured exactly.
+NEAR = COORDS // 2
 #: Words remembered by a task, to hash each once.
 WORDS = 500_000
 CHUNK_BYTES = 4 << 20
@@ -153,25 +159,252 @@ def _rare_first(classes: DataFrame, need: int) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, need: int, percent: int) -> DataFrame:
-    """Of distinct pairs ``a, b`` of classes those linked: first by coordinates, then exactly."""
+def _agree(one: Column, two: Column) -> Column:
+    """Number of equal coordinates."""
+    equal = F.zip_with(one, two, lambda x, y: (x == y).cast("int"))
+    return F.aggregate(equal, F.lit(0), lambda n, x: n + x)
+
+
+def _away(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` of classes ``a, b`` plus ``away``, the number of differing coordinates."""
     signed = classes.select("cls", "sig")
-    agree = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x
-    )
-    likely = (
+    return (
         pairs.join(signed.select(F.col("cls").alias("a"), F.col("sig").alias("sa")), "a")
         .join(signed.select(F.col("cls").alias("b"), F.col("sig").alias("sb")), "b")
-        .filter(agree >= need)
-        .select("a", "b")
+        .select("a", "b", (COORDS - _agree(F.col("sa"), F.col("sb"))).alias("away"))
     )
-    both = F.size(F.array_intersect("xa", "xb"))
-    return (
-        likely.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("xa")), "a")
-        .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("xb")), "b")
-        .filter(both * 100 >= (F.size("xa") + F.size("xb") - both) * percent)
-        .select("a", "b")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return pairs.join(
+        sets.select(F.col("cls").alias("a"), F.col("shingles").alias("xa")), "a"
+    ).join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("xb")), "b")
+
+
+def _linked(n: Column, m: Column, differ: Column, percent: int) -> Column:
+    """Whether sets of n and m elements that differ in ``differ`` have the similarity."""
+    return (n + m - differ) * 100 >= (n + m + differ) * percent
+
+
+def _open_rows(member: DataFrame, measured: DataFrame, labels: DataFrame, percent: int):
+    """Members of values with several components, and what each shares of its difference.
+
+    ``rows``: a row per value and member. ``slack`` and ``share`` are |d(x)| and twice the
+    part of d(x) that another component has, both times 100 + percent, the former less what
+    the sizes allow: x and y can be linked only if slack(x) + slack(y) <= min(share(x), share(y)).
+    ``told``: that part of d(x), element by element, with the number of members that have it.
+    """
+    named = member.join(labels.select(F.col("node").alias("cls"), "label"), "cls")
+    mixed = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
+    open_ = materialize(
+        named.join(mixed.filter("l0 <> l1").select("key"), "key").join(
+            measured.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "away", "delta"),
+            ["pivot", "cls"],
+        ),
+        "open",
+    )
+    told = open_.filter("delta IS NOT NULL").dropDuplicates(["pivot", "cls"])
+    told = told.select("pivot", "cls", "label", F.explode("delta").alias("e"))
+    common = told.groupBy("pivot", "e").agg(
+        F.min("label").alias("l0"), F.max("label").alias("l1"), F.count(F.lit(1)).alias("often")
+    )
+    common = common.filter("l0 <> l1").select("pivot", "e", "often")
+    told = materialize(told.drop("label").join(common, ["pivot", "e"]), "told")
+    share = told.groupBy("pivot", "cls").agg(
+        (F.count(F.lit(1)) * (2 * (100 + percent))).alias("share")
     )
+    slack = F.size("delta") * (100 + percent) - F.col("n") * (100 - percent)
+    rows = open_.join(share, ["pivot", "cls"], "left").select(
+        "key", "pivot", "cls", "n", "prefix", "label", "away",
+        F.col("delta").isNotNull().alias("near"),
+        F.when(F.col("delta").isNotNull(), slack).alias("slack"),
+        F.coalesce("share", F.lit(0)).alias("share"),
+    )
+    return materialize(rows, "rows"), told
+
+
+def _unskipped(rows: DataFrame, need: int, percent: int) -> DataFrame:
+    """Rows that may have a partner in another component, ``meets_near`` or ``meets_far`` the pivot.
+
+    ``overlap``: how much of d(x) a partner near the pivot has at least.
+    """
+    near, far = F.col("near"), ~F.col("near")
+    by_label = rows.filter(near).groupBy("key", "label").agg(
+        F.min("slack").alias("slack"), F.min(F.col("slack") - F.col("share")).alias("net")
+    )
+    first = by_label.groupBy("key").agg(
+        F.min(F.struct("slack", "label")).alias("s1"), F.min(F.struct("net", "label")).alias("n1")
+    )
+    second = by_label.join(first, "key").groupBy("key").agg(
+        F.min(F.when(F.col("label") != F.col("s1.label"), F.col("slack"))).alias("s2"),
+        F.min(F.when(F.col("label") != F.col("n1.label"), F.col("net"))).alias("n2"),
+        F.first("s1").alias("s1"),
+        F.first("n1").alias("n1"),
+    )
+    spread = rows.groupBy("key").agg(
+        F.count_if(near).alias("nears"),
+        F.count_if(far).alias("fars"),
+        F.min(F.when(far, F.col("away"))).alias("least_far"),
+        F.max(F.when(near, F.col("away"))).alias("most_near"),
+    )
+    seen = rows.join(spread, "key").join(second, "key", "left")
+    other_slack = F.when(F.col("label") == F.col("s1.label"), F.col("s2")).otherwise(F.col("s1.slack"))
+    other_net = F.when(F.col("label") == F.col("n1.label"), F.col("n2")).otherwise(F.col("n1.net"))
+    least = F.col("slack") + other_slack
+    partner_near = (least <= F.col("share")) & (F.col("slack") + other_net <= 0)
+    reach = COORDS - need
+    meets_near = near & F.coalesce(partner_near, F.lit(False))
+    meets_far = F.when(near, (F.col("fars") > 0) & (F.col("least_far") - F.col("away") <= reach)).otherwise(
+        (F.col("fars") > 1) | ((F.col("nears") > 0) & (F.col("away") - F.col("most_near") <= reach))
+    )
+    return seen.select(
+        *rows.columns,
+        meets_near.alias("meets_near"),
+        F.coalesce(meets_far, F.lit(False)).alias("meets_far"),
+        F.greatest(F.lit(1), F.ceil(least / (2 * (100 + percent)))).cast("int").alias("overlap"),
+    ).filter("meets_near OR meets_far")
+
+
+def _first_common(one: Column, two: Column) -> Column:
+    return F.array_intersect(one, two)[0]
+
+
+def _pairs(rows: DataFrame, on: list[str], prefix: str, first: str, also, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of rows equal in ``on``, of different components and fitting sizes.
+
+    Each is made once, where ``first`` is the first value that the prefixes of both have.
+    """
+    one, two = rows.alias("x"), rows.alias("y")
+
+    def x(name: str) -> Column:
+        return F.col(f"x.{name}")
+
+    def y(name: str) -> Column:
+        return F.col(f"y.{name}")
+
+    fits = (x("cls") < y("cls")) & (x("label") != y("label"))
+    fits &= F.least(x("n"), y("n")) * 100 >= F.greatest(x("n"), y("n")) * percent
+    for name in on:
+        fits &= x(name) == y(name)
+    fits &= also(x, y) & (x(first) == _first_common(x(prefix), y(prefix)))
+    return one.join(two, fits).select(x("cls").alias("a"), y("cls").alias("b"))
+
+
+def _across(
+    rows: DataFrame, told: DataFrame, member: DataFrame, classes: DataFrame, need: int, percent: int
+) -> DataFrame:
+    """Pairs of different components that agree in ``need`` coordinates, each once.
+
+    A pair is judged at the first value it shares; skipped there, it is proven not to be
+    linked. Both near that value's pivot: partners share at least ``overlap`` elements of
+    their differences from it, so they meet at one of the first few, rarest first.
+    Otherwise they meet at the value itself.
+    """
+    seen = rows.filter("meets_near").groupBy("pivot", "cls").agg(
+        F.min("overlap").alias("overlap"),
+        *[F.first(c).alias(c) for c in ("n", "label", "slack", "share", "prefix")],
+    )
+    places = member.join(seen.select("cls").distinct(), "cls").groupBy("cls").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "pivot"))).alias("places")
+    )
+    parts = F.sort_array(F.collect_list(F.struct("often", "e")))
+    listed = told.join(seen.select("pivot", "cls", "overlap"), ["pivot", "cls"]).groupBy(
+        "pivot", "cls", "overlap"
+    ).agg(parts.alias("parts"))
+    rarest = listed.filter("size(parts) >= overlap").select(
+        "pivot", "cls", F.expr("slice(parts, 1, size(parts) - overlap + 1).e").alias("parts")
+    )
+    signed = classes.select("cls", "sig")
+    near = seen.join(rarest, ["pivot", "cls"]).join(places, "cls").join(signed, "cls")
+    near = near.withColumn("e", F.explode("parts"))
+
+    def alike(x, y):
+        return _agree(x("sig"), y("sig")) >= need
+
+    by_part = _pairs(
+        near, ["pivot", "e"], "parts", "e",
+        lambda x, y: (x("slack") + y("slack") <= F.least(x("share"), y("share")))
+        & F.exists(y("prefix"), lambda k: F.array_contains(x("prefix"), k))
+        & (x("places")[_first_common(x("prefix"), y("prefix"))] == x("pivot"))
+        & alike(x, y),
+        percent,
+    )
+    far = rows.filter("meets_far").join(signed, "cls")
+    by_key = _pairs(
+        far, ["key"], "prefix", "key",
+        lambda x, y: ~(x("near") & y("near"))
+        & (F.abs(x("away") - y("away")) <= COORDS - need)
+        & alike(x, y),
+        percent,
+    )
+    return by_part.unionByName(by_key)
+
+
+def _labels(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, label`` of every class; a class without links is its own."""
+    tied = components(links)
+    named = rows.select(F.col("cls").alias("node")).join(tied, "node", "left")
+    return materialize(named.select("node", F.coalesce("label", "node").alias("label")), "labels")
+
+
+def _components_of(
+    docs: DataFrame, classes: DataFrame, shingle: int, percent: int, id_col: str, text_col: str
+) -> DataFrame:
+    """``cls, component`` of every class that may be linked: the least id of its component."""
+    need = needed(percent / 100)
+    # Those dropped make values rare that they held; counting again drops more.
+    hopeful = materialize(_rare_first(classes, need).select("cls"), "hopeful")
+    near = classes.join(hopeful, "cls", "left_semi")
+    kept = materialize(
+        _rare_first(near, need).select(
+            "cls",
+            "n",
+            F.expr(f"slice(shared, 1, size(shared) - {need - 1})").alias("prefix"),
+            F.aggregate("shared", F.lit(0).cast("long"), lambda n, v: n + v["often"]).alias("weight"),
+        ),
+        "prefixes",
+    )
+    rows = classes.join(kept.select("cls"), "cls", "left_semi")
+    rows = materialize(rows, "near")
+    sets = materialize(_sets(docs, rows, id_col, text_col, shingle).dropDuplicates(["cls"]), "sets")
+    posted = kept.select(
+        "cls", "n", "weight", F.col("prefix.key").alias("prefix"), F.explode("prefix.key").alias("key")
+    )
+    # The pivot is the most typical member, whose values the most others have.
+    pivots = posted.groupBy("key").agg(
+        F.max_by("cls", F.struct("weight", "cls")).alias("pivot"), F.count(F.lit(1)).alias("many")
+    )
+    member = posted.join(pivots.filter("many > 1"), "key").select("key", "cls", "n", "prefix", "pivot")
+    member = materialize(member, "member")
+    duo = member.select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
+    duo = materialize(_away(duo, rows), "duo")
+    delta = F.concat(F.array_except("xa", "xb"), F.array_except("xb", "xa"))
+    near_pivot = _with_sets(duo.filter(F.col("away") <= NEAR), sets).select(
+        "a", "b", "away", F.size("xa").alias("n"), F.size("xb").alias("m"), delta.alias("delta")
+    )
+    none = F.lit(None)
+    far = duo.filter(F.col("away") > NEAR).select(
+        "a", "b", "away", none.cast("int").alias("n"), none.cast("int").alias("m"),
+        none.cast("array<long>").alias("delta"),
+    )
+    measured = materialize(near_pivot.unionByName(far), "measured")
+    links = measured.filter(
+        (F.col("a") != F.col("b")) & _linked(F.col("n"), F.col("m"), F.size("delta"), percent)
+    ).select("a", "b")
+    links = materialize(links, "links")
+    labels = _labels(rows, links)
+    open_, told = _open_rows(member, measured, labels, percent)
+    unskipped = materialize(_unskipped(open_, need, percent), "unskipped")
+    rest = _across(unskipped, told, member, rows, need, percent)
+    likely = _with_sets(rest, sets)
+    differ = F.size("xa") + F.size("xb") - 2 * F.size(F.array_intersect("xa", "xb"))
+    found = likely.filter(_linked(F.size("xa"), F.size("xb"), differ, percent)).select("a", "b")
+    found = materialize(found, "links")
+    if not found.isEmpty():
+        labels = _labels(rows, links.unionByName(found))
+    named = rows.select("cls", "id").join(labels.withColumnRenamed("node", "cls"), "cls")
+    smallest = named.groupBy("label").agg(F.min("id").alias("component"))
+    return materialize(named.join(smallest, "label").select("cls", "component"), "components", keep=True)
 
 
 def near_duplicates(
@@ -180,7 +413,6 @@ def near_duplicates(
     percent: int = 80,
     id_col: str = "doc_id",
     text_col: str = "text",
-    pivot_rounds: int = PIVOT_ROUNDS,
 ) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -194,71 +426,16 @@ def near_duplicates(
     is in no component: NULL ``component_id``, kept. Only the named columns are read, so
     others may have any name. An empty table gives an empty table.
     """
-    need = needed(percent / 100)
-    signed = materialize(_signed(docs, id_col, text_col, shingle), "signed")
+    signed = materialize(_signed(docs, id_col, text_col, shingle), "signed", keep=True)
     classes = materialize(
         signed.filter("cls IS NOT NULL AND id IS NOT NULL")
         .groupBy("cls")
         .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")),
         "classes",
+        keep=True,
     )
-    # Those dropped make values rare that they held; counting again drops more.
-    hopeful = materialize(_rare_first(classes, need).select("cls"), "hopeful")
-    near = classes.join(hopeful, "cls", "left_semi")
-    kept = materialize(
-        _rare_first(near, need).select(
-            "cls", "n", F.expr(f"slice(shared, 1, size(shared) - {need - 1})").alias("prefix")
-        ),
-        "prefixes",
-    )
-    rows = classes.join(kept.select("cls"), "cls", "left_semi")
-    rows = materialize(rows, "near")
-    sets = materialize(_sets(docs, rows, id_col, text_col, shingle).dropDuplicates(["cls"]), "sets")
-    posted = materialize(
-        kept.select("cls", "n", F.explode("prefix").alias("p")).select("cls", "n", "p.key"), "posted"
-    )
-    links = None
-    labels = rows.select(F.col("cls").alias("node"), F.col("cls").alias("label"))
-    for turn in range(pivot_rounds + 1):
-        now = posted.join(labels.withColumnRenamed("node", "cls"), "cls")
-        mixed = now.groupBy("key").agg(
-            F.min("label").alias("l0"),
-            F.max("label").alias("l1"),
-            F.min_by(F.struct("cls", "n", "label"), F.xxhash64(F.lit(turn), "cls")).alias("pivot"),
-        )
-        open_ = now.join(mixed.filter("l0 <> l1").select("key", "pivot"), "key")
-        if turn < pivot_rounds:
-            other = open_.select(
-                F.col("cls").alias("c"), "n", "label", F.col("pivot.cls").alias("d"),
-                F.col("pivot.n").alias("m"), F.col("pivot.label").alias("other"),
-            )
-        else:
-            one = materialize(open_.select("key", "cls", "n", "label"), "open")
-            other = one.select("key", F.col("cls").alias("c"), "n", "label").join(
-                one.select("key", F.col("cls").alias("d"), F.col("n").alias("m"), F.col("label").alias("other")), "key"
-            ).filter("c < d")
-        pairs = (
-            other.filter("label <> other")
-            .filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-            .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
-            .distinct()
-        )
-        found = materialize(_confirmed(pairs, rows, sets, need, percent), "links")
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.unionByName(found)
-        tied = components(links)
-        labels = materialize(
-            rows.select(F.col("cls").alias("node")).join(tied, "node", "left").select(
-                "node", F.coalesce("label", "node").alias("label")
-            ),
-            "labels",
-        )
-    least = (
-        rows.select("cls", "id").join(labels.withColumnRenamed("node", "cls"), "cls")
-    )
-    smallest = least.groupBy("label").agg(F.min("id").alias("component"))
-    of_near = least.join(smallest, "label").select("cls", "component")
+    with removing_intermediates(docs.sparkSession):
+        of_near = _components_of(docs, classes, shingle, percent, id_col, text_col)
     component = classes.select("cls", "id").join(of_near, "cls", "left").select(
         "cls", F.coalesce("component", "id").alias("component")
     )
