@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ascii_lower, materialize
+from starloom.llm.common import ascii_lower, materialize, removing_intermediates
 
 DAMPING, STEPS, MARGIN = 0.85, 8, 1e-9
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:https?:)?//[^"'\s>]+)"""
@@ -94,18 +94,18 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, steps:
     ``seeds``: host, kind, start, summing to 1 per kind. ``edges``: kind, src, dst, share. What a
     host without edges would pass on is lost, alike for every kind.
     """
-    seeds = materialize(seeds, "seeds")
-    edges = materialize(edges, "host-edges")
-    ranks = seeds.withColumnRenamed("start", "rank")
-    for _ in range(steps):
-        passed = ranks.withColumnRenamed("host", "src").join(edges, ["src", "kind"]).select(
-            F.col("dst").alias("host"), "kind", (F.col("rank") * F.col("share") * damping).alias("rank")
-        )
+    with removing_intermediates(seeds.sparkSession):
+        seeds = materialize(seeds, "seeds")
+        edges = materialize(edges, "host-edges")
+        ranks = seeds.withColumnRenamed("start", "rank")
         back = seeds.select("host", "kind", (F.col("start") * (1 - damping)).alias("rank"))
-        ranks = materialize(
-            passed.unionByName(back).groupBy("host", "kind").agg(F.sum("rank").alias("rank")), "ranks"
-        )
-    return ranks
+        for _ in range(steps):
+            passed = ranks.withColumnRenamed("host", "src").join(edges, ["src", "kind"]).select(
+                F.col("dst").alias("host"), "kind", (F.col("rank") * F.col("share") * damping).alias("rank")
+            )
+            summed = passed.unionByName(back).groupBy("host", "kind").agg(F.sum("rank").alias("rank"))
+            ranks = materialize(summed, "ranks")
+        return materialize(ranks, "ranks", keep=True)
 
 
 def filter_urls(
