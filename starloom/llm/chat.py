@@ -21,8 +21,8 @@ ESCAPE = "\\"
 class Template:
     """Markers around a turn, what to escape, whose text is learned, and the order of roles.
 
-    A turn is ``start`` role ``middle`` text ``end``. ``controls``: further strings that have a meaning to
-    some trainer and are escaped too. ``moves``: state to role to next state; a
+    A turn is ``start`` role ``middle`` text ``end``. ``controls``: further strings that have
+    a meaning to some trainer and are escaped too. ``moves``: state to role to next state; a
     conversation is valid if every turn has a move and the last state is in ``final``.
     """
 
@@ -70,9 +70,12 @@ def unescape(text: Column) -> Column:
 
 
 def _next_state(template: Template):
-    table = F.create_map(
-        *[F.lit(x) for state, roles in template.moves.items() for role, to in roles.items() for x in (f"{state}>{role}", to)]
-    )
+    moves = [
+        (f"{state}>{role}", to)
+        for state, roles in template.moves.items()
+        for role, to in roles.items()
+    ]
+    table = F.create_map(*[F.lit(x) for move in moves for x in move])
     return lambda state, turn: F.coalesce(
         F.try_element_at(table, F.concat(state, F.lit(">"), turn["role"])), F.lit("invalid")
     )
@@ -90,12 +93,13 @@ def format_conversations(
 
     ``segments``: array of (text, loss), whose texts joined are ``formatted``; the loss
     covers the text of the learned roles alone, not their markers. ``state``: where the machine
-    ends, ``invalid`` after a turn it has no move for. Invalid conversations are formatted all the same.
+    ends, ``invalid`` after a turn it has no move for. Invalid conversations are formatted
+    all the same.
 
-    Turns go by number, ties by role and text, repeated rows stay. NULL texts and roles are empty
-    ones; NULL ids are one conversation of their own, NULL turn numbers come first. Other columns are
-    not read. An empty table gives an empty table. A conversation becomes one string, which
-    is what a trainer reads, so it has to fit into a row.
+    Turns go by number, ties by role and text, repeated rows stay. NULL texts and roles are
+    empty ones; NULL ids are one conversation of their own, NULL turn numbers come first. Other
+    columns are not read. An empty table gives an empty table. A conversation becomes one
+    string, which is what a trainer reads, so it has to fit into a row.
     """
     role, text = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (role_col, text_col))
     turn = F.struct(F.col(f"`{turn_col}`").alias("turn"), role.alias("role"), text.alias("text"))

@@ -244,7 +244,9 @@ def _flat(node: Node) -> Iterator[str]:
             todo += reversed(one.children)
 
 
-def _render(node: Node | str, lines: Lines, depth: int, pre: bool = False, bullets: list | None = None) -> None:
+def _render(
+    node: Node | str, lines: Lines, depth: int, pre: bool = False, bullets: list | None = None
+) -> None:
     if isinstance(node, str):
         lines.text(node, pre)
         return
@@ -315,8 +317,9 @@ def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "__html", CHUNK_BYTES):
             texts = [page_text(x) for x in batch.column("__html").to_pylist()]
+            n_lines = [len(x.split("\n")) if x else 0 for x in texts]
             columns = [batch.column(c) for c in names]
-            columns += [pa.array(texts, pa.string()), pa.array([len(x.split("\n")) if x else 0 for x in texts], pa.int64())]
+            columns += [pa.array(texts, pa.string()), pa.array(n_lines, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, out_col, "n_lines"])
 
     return plain.mapInArrow(run, schema)

@@ -40,7 +40,11 @@ def _spans(text: Column, pattern: str, kind: int, guard: Column) -> Column:
     """Matches of a pattern with their places in code points, from what lies between them."""
     hits = F.regexp_extract_all(text, F.lit(pattern), 0)
     pieces = F.split(text, pattern, -1)
-    both = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(F.length(p).alias("skip"), h.alias("text")))
+    both = F.zip_with(
+        F.slice(pieces, 1, F.size(hits)),
+        hits,
+        lambda p, h: F.struct(F.length(p).alias("skip"), h.alias("text")),
+    )
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
     def grow(done: Column, hit: Column) -> Column:
@@ -162,12 +166,12 @@ def find_personal_data(
     """``id_col, base, found`` for every row of ``docs``: arrays of spans with start, end, kind.
 
     ``base``: spans of the four fixed kinds, by start, then kind in the order of ``KINDS``.
-    ``found``: further identifiers, of kind ``id``, none of which touches a base span. Starts and ends count code
-    points, ends are exclusive.
+    ``found``: further identifiers, of kind ``id``, none of which touches a base span. Starts
+    and ends count code points, ends are exclusive.
 
-    A NULL or empty text has no spans. Rows are kept one by one, so repeated rows and ids get equal spans, and NULL
-    ids pass through. Other columns are not read. An empty table gives an empty table;
-    without seeds nothing is found beyond the base.
+    A NULL or empty text has no spans. Rows are kept one by one, so repeated rows and ids get
+    equal spans, and NULL ids pass through. Other columns are not read. An empty table gives
+    an empty table; without seeds nothing is found beyond the base.
     """
     plain = docs.select(
         F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text")
@@ -181,16 +185,21 @@ def find_personal_data(
     trusted = score_instances(edges, seeds, rounds, min_support, min_score)
     # A seed's value found elsewhere is as personal there.
     wanted = trusted.unionByName(seeds)
+    span = F.struct("start", "end", F.lit(FOUND).alias("kind"))
     found = (
         seen.filter("NOT seed")
         .join(wanted, "instance")
         .groupBy("__row")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", F.lit(FOUND).alias("kind")))).alias("found"))
+        .agg(F.array_sort(F.collect_list(span)).alias("found"))
     )
     names = F.array(*[F.lit(k) for k in KINDS])
     base = F.transform(
         "__base",
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(names, s["kind"] + 1).alias("kind")),
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            F.element_at(names, s["kind"] + 1).alias("kind"),
+        ),
     )
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
     return stored.join(found, "__row", "left").select(
@@ -201,7 +210,13 @@ def find_personal_data(
 def spans_text(spans: Column) -> Column:
     """``kind:start:end``, comma-joined."""
     return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(
+                ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
+            ),
+        ),
+        ",",
     )
 
 
@@ -214,6 +229,12 @@ def by_start(spans: Column) -> Column:
         return F.when(place == 0, len(KINDS) + 1).otherwise(place)
 
     keyed = F.transform(
-        spans, lambda s: F.struct(s["start"].alias("start"), rank(s).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))
+        spans,
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            rank(s).alias("rank"),
+            s["end"].alias("end"),
+            s["kind"].alias("kind"),
+        ),
     )
     return F.array_sort(keyed)

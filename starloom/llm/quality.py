@@ -184,7 +184,8 @@ def _score(parts, w: list[np.ndarray]) -> np.ndarray:
 def train_models(texts: list[str | None], good: np.ndarray, toxic: np.ndarray) -> tuple[Model, Model]:
     """Quality on shares of byte and word n-grams, toxicity on the presence of words and pairs.
 
-    Where the labels do not differ, the usual answer stands: good, not toxic. Every fifth row is held out of the descent and calibrates the score.
+    Where the labels do not differ, the usual answer stands: good, not toxic. Every fifth row
+    is held out of the descent and calibrates the score.
     """
     reader = Reader()
     words = [_shares(reader.words(t)) for t in texts]
@@ -230,11 +231,15 @@ def train(
     Labels that are NULL or point to no document are left out. The sample is trained on in
     one task; only the weights return.
     """
-    good = labels.select(
-        F.col(f"`{id_col}`").alias("id"), F.col("quality").cast("int").alias("q"), F.col("toxic").cast("int").alias("t")
-    ).dropna().dropDuplicates(["id"])
-    chosen = good.orderBy(F.xxhash64("id"), "id").limit(max_train)
-    rows = chosen.join(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "id")
+    known = labels.select(
+        F.col(f"`{id_col}`").alias("id"),
+        F.col("quality").cast("int").alias("q"),
+        F.col("toxic").cast("int").alias("t"),
+    )
+    known = known.dropna().dropDuplicates(["id"])
+    chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_train)
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = chosen.join(texts, "id")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id", kind="stable").drop_duplicates("id")
@@ -245,9 +250,13 @@ def train(
         )
 
     schema = "model int, words binary, chars binary, a double, b double"
-    got = {
-        r["model"]: Model(np.frombuffer(r["words"], np.float32), np.frombuffer(r["chars"], np.float32), r["a"], r["b"])
-        for r in rows.withColumn("g", F.lit(1)).groupBy("g").applyInPandas(run, schema).collect()
+    def weights(blob: bytes) -> np.ndarray:
+        return np.frombuffer(blob, np.float32)
+
+    trained = rows.withColumn("g", F.lit(1)).groupBy("g").applyInPandas(run, schema)
+    got = {  # two rows
+        r["model"]: Model(weights(r["words"]), weights(r["chars"]), r["a"], r["b"])
+        for r in trained.collect()
     }
     none = np.zeros(BUCKETS, np.float32)
     return got.get(0, Model(none, none, 1.0, 5.0)), got.get(1, Model(none, none, 1.0, -5.0))
@@ -285,20 +294,30 @@ def judge(
             for text in batch.column(text_col).to_pylist():
                 counts.append(reader.counts(text))
                 words, chars = reader.words(text), reader.chars(text)
-                mean = [m.take(at).mean(dtype=float) if at.size else 0.0 for m, at in ((good.words, words), (good.chars, chars))]
-                p_good.append(sum(mean))
-                p_toxic.append(bad.words.take(np.unique(words)).sum(dtype=float) if words.size else 0.0)
+                p_good.append(
+                    sum(
+                        w.take(at).mean(dtype=float)
+                        for w, at in ((good.words, words), (good.chars, chars))
+                        if at.size
+                    )
+                )
+                p_toxic.append(bad.words.take(np.unique(words)).sum(dtype=float))
             columns = [pa.array([c[i] for c in counts], pa.int64()) for i in range(len(COUNTS))]
-            columns += [pa.array(good.probability(np.array(p_good))), pa.array(bad.probability(np.array(p_toxic)))]
+            for model, scores in ((good, p_good), (bad, p_toxic)):
+                columns.append(pa.array(model.probability(np.array(scores, float))))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *columns], names=[*batch.schema.names, *COUNTS, "p_good", "p_toxic"]
             )
 
-    failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    verdict = ~F.col("base_failed") & (F.col("p_good") >= min_good) & (F.col("p_toxic") <= max_toxic)
-    return plain.mapInArrow(run, schema).withColumn("base_failed", failed).withColumn("kept", verdict)
+    repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
+    failed = (F.col("n_words") < MIN_WORDS) | repeats
+    fine = (F.col("p_good") >= min_good) & (F.col("p_toxic") <= max_toxic)
+    judged = plain.mapInArrow(run, schema).withColumn("base_failed", failed)
+    return judged.withColumn("kept", ~F.col("base_failed") & fine)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def quality_rules(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Train on the labelled documents and judge all of them, see ``train`` and ``judge``."""
     return judge(docs, train(docs, labels, id_col, text_col), id_col, text_col)
