@@ -95,13 +95,10 @@ def write_archive(
     kind = F.when(again & (F.col("bytes") >= min_bytes), "revisit").otherwise("response")
     header = _header(kind, *[F.col(c) for c in ("page_id", "uri", "sha1", "bytes", "original")])
     joined.select("page_id", header.alias("header"), "sha256").write.mode("overwrite").parquet(f"{folder}/headers")
-    stored = (
-        rows.join(firsts, "sha256")
-        .filter(F.col("page_id").eqNullSafe(F.col("original")))
-        .groupBy("sha256")
-        .agg(F.first("payload").alias("payload"))
-    )
-    stored.write.mode("overwrite").parquet(f"{folder}/payloads")
+    # Equal digests are verified to be equal payloads above, so any of them may stand for all:
+    # copies go before the shuffle, and payloads are shuffled once.
+    stored = rows.groupBy("sha256").agg(F.first("payload").alias("payload"))
+    stored.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/payloads")
 
 
 def _stored(spark: SparkSession, folder: str) -> DataFrame:
