@@ -194,16 +194,19 @@ def _open_rows(member: DataFrame, measured: DataFrame, labels: DataFrame, percen
     the sizes allow: x and y can be linked only if slack(x) + slack(y) <= min(share(x), share(y)).
     ``told``: that part of d(x), element by element, with the number of members that have it.
     """
+    has = F.col("delta").isNotNull()
+    told = measured.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "away", "delta")
     named = member.join(labels.select(F.col("node").alias("cls"), "label"), "cls")
     mixed = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
     open_ = materialize(
         named.join(mixed.filter("l0 <> l1").select("key"), "key").join(
-            measured.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "away", "delta"),
+            told.select("pivot", "cls", "away", F.when(has, F.size("delta")).alias("differ")),
             ["pivot", "cls"],
         ),
         "open",
     )
-    told = open_.filter("delta IS NOT NULL").dropDuplicates(["pivot", "cls"])
+    apart = open_.filter("differ IS NOT NULL").select("pivot", "cls", "label").distinct()
+    told = told.filter(has).select("pivot", "cls", "delta").join(apart, ["pivot", "cls"])
     told = told.select("pivot", "cls", "label", F.explode("delta").alias("e"))
     common = told.groupBy("pivot", "e").agg(
         F.min("label").alias("l0"), F.max("label").alias("l1"), F.count(F.lit(1)).alias("often")
@@ -213,11 +216,12 @@ def _open_rows(member: DataFrame, measured: DataFrame, labels: DataFrame, percen
     share = told.groupBy("pivot", "cls").agg(
         (F.count(F.lit(1)) * (2 * (100 + percent))).alias("share")
     )
-    slack = F.size("delta") * (100 + percent) - F.col("n") * (100 - percent)
+    near = F.col("differ").isNotNull()
+    slack = F.col("differ") * (100 + percent) - F.col("n") * (100 - percent)
     rows = open_.join(share, ["pivot", "cls"], "left").select(
         "key", "pivot", "cls", "n", "prefix", "label", "away",
-        F.col("delta").isNotNull().alias("near"),
-        F.when(F.col("delta").isNotNull(), slack).alias("slack"),
+        near.alias("near"),
+        F.when(near, slack).alias("slack"),
         F.coalesce("share", F.lit(0)).alias("share"),
     )
     return materialize(rows, "rows"), told
@@ -304,8 +308,9 @@ def _across(
         F.min("overlap").alias("overlap"),
         *[F.first(c).alias(c) for c in ("n", "label", "slack", "share", "prefix")],
     )
-    places = member.join(seen.select("cls").distinct(), "cls").groupBy("cls").agg(
-        F.map_from_entries(F.collect_list(F.struct("key", "pivot"))).alias("places")
+    # The values of a class that have this pivot.
+    own = member.join(seen.select("pivot", "cls"), ["pivot", "cls"]).groupBy("pivot", "cls").agg(
+        F.collect_list("key").alias("own")
     )
     parts = F.sort_array(F.collect_list(F.struct("often", "e")))
     listed = told.join(seen.select("pivot", "cls", "overlap"), ["pivot", "cls"]).groupBy(
@@ -314,8 +319,9 @@ def _across(
     rarest = listed.filter("size(parts) >= overlap").select(
         "pivot", "cls", F.expr("slice(parts, 1, size(parts) - overlap + 1).e").alias("parts")
     )
-    signed = classes.select("cls", "sig")
-    near = seen.join(rarest, ["pivot", "cls"]).join(places, "cls").join(signed, "cls")
+    narrow = F.transform("sig", lambda v: (v - F.lit(1 << 31)).cast("int"))
+    signed = classes.select("cls", narrow.alias("sig"))
+    near = seen.join(rarest, ["pivot", "cls"]).join(own, ["pivot", "cls"]).join(signed, "cls")
     near = near.withColumn("e", F.explode("parts"))
 
     def alike(x, y):
@@ -325,7 +331,7 @@ def _across(
         near, ["pivot", "e"], "parts", "e",
         lambda x, y: (x("slack") + y("slack") <= F.least(x("share"), y("share")))
         & F.exists(y("prefix"), lambda k: F.array_contains(x("prefix"), k))
-        & (x("places")[_first_common(x("prefix"), y("prefix"))] == x("pivot"))
+        & F.array_contains(x("own"), _first_common(x("prefix"), y("prefix")))
         & alike(x, y),
         percent,
     )
