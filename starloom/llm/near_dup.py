@@ -40,7 +40,7 @@ COORDS = 64
 #: Members that differ from the pivot in so many coordinates at most are measured exactly.
 NEAR = COORDS // 2
 #: Words remembered by a task, to hash each once.
-WORDS = 500_000
+WORDS = 100_000
 CHUNK_BYTES = 4 << 20
 
 _random = np.random.Generator(np.random.PCG64(20))

@@ -27,7 +27,7 @@ BUCKETS = 1 << 17
 CHARS = (3, 5)
 #: A word tells toxicity if so many documents of the sample have it.
 MIN_SEEN = 10
-WORDS = 500_000
+WORDS = 100_000
 CHUNK_BYTES = 4 << 20
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: A document goes when it is good with less, or toxic with more than this probability.
