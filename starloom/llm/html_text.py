@@ -19,7 +19,26 @@ CHUNK_BYTES = 4 << 20
 #: Elements without content, with hidden content, and those set apart by line breaks.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN = frozenset(
-    "head title style script noscript template iframe object svg math canvas audio video select datalist".split()
+    "head title style script noscript template iframe object canvas audio video datalist".split()
+)
+#: What may stand in a head; any other tag and any text close it.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
+#: In svg and math: elements that are not drawn, and those with HTML inside.
+UNDRAWN = {
+    "svg": frozenset(
+        "title desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient filter style"
+        " script".split()
+    ),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+HOLDS_HTML = {"svg": frozenset("foreignobject desc title".split()), "math": frozenset("mi mo mn ms mtext".split())}
+#: The elements of svg whose own text is drawn, those of math whose parts stand apart.
+SVG_TEXT = frozenset("text tspan textpath a".split())
+MATH_PARTS = frozenset("mfrac mroot msup msub msubsup munder mover munderover mmultiscripts mtable mtr".split())
+#: Tags that end svg and math.
+LEAVES = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta"
+    " nobr ol p pre ruby s small span strike strong sub sup table tt u ul var".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form"
@@ -27,6 +46,8 @@ BLOCK = frozenset(
 )
 #: Blocks with an empty line around them.
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 menu ol p pre table ul".split())
+#: Lines of their own as well, but they leave a paragraph open.
+OPTIONS = frozenset(("option", "optgroup"))
 #: An opening tag closes these open elements, but not beyond the ones after the bar.
 CLOSES = {
     "li": (("li",), ("ol", "ul", "menu")),
@@ -38,8 +59,8 @@ CLOSES = {
     "thead": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption"), ("table",)),
     "tbody": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption"), ("table",)),
     "tfoot": (("thead", "tbody", "tfoot", "tr", "td", "th", "caption"), ("table",)),
-    "body": (("head",), ()),
     "option": (("option",), ("select",)),
+    "optgroup": (("option", "optgroup"), ("select",)),
 }
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
@@ -49,6 +70,8 @@ _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", r
 class Node:
     tag: str
     hidden: bool = False
+    foreign: bool = False  # of svg or math
+    inner: str = ""  # svg or math if its children are
     start: int = 1
     span: int = 1
     children: list = field(default_factory=list)  # Nodes and strings
@@ -61,6 +84,7 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.open = [self.root]
+        self.headed = False  # a head is of no effect from here on
 
     def _close(self, tags: tuple[str, ...], beyond: tuple[str, ...]) -> None:
         for at in range(len(self.open) - 1, 0, -1):
@@ -71,15 +95,25 @@ class TreeBuilder(HTMLParser):
                 del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        held = dict(reversed(attrs))  # the first of equal attributes counts
+        unseen = "hidden" in held or bool(_UNSEEN.search(held.get("style") or ""))
+        unseen |= (held.get("aria-hidden") or "").lower() == "true"
+        if self.open[-1].inner and (tag in LEAVES or tag == "font" and held.keys() & {"color", "face", "size"}):
+            while self.open[-1].inner:
+                self.open.pop()
+        if self.open[-1].inner or tag in UNDRAWN:
+            self._imply(tag)
+            self._push_foreign(tag, unseen, held)
+            return
+        if tag == "head" and self.headed:
+            return
+        self._imply(tag)
         if tag in BLOCK or tag == "hr":
             self._close(("p",), ("table", "td", "th", "caption", "button", "object"))
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         if tag in ("td", "th") and self._inside("table") and not self._inside("tr", ("table",)):
             self._push(Node("tr"))
-        held = dict(reversed(attrs))  # the first of equal attributes counts
-        unseen = "hidden" in held or bool(_UNSEEN.search(held.get("style") or ""))
-        unseen |= (held.get("aria-hidden") or "").lower() == "true"
         node = Node(tag, unseen or tag in HIDDEN)
         node.start, node.span = _number(held.get("start"), 1), max(1, min(_number(held.get("colspan"), 1), 100))
         self._push(node)
@@ -87,7 +121,23 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
 
     def handle_startendtag(self, tag: str, attrs) -> None:
-        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
+        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML, but closes in svg and math
+        if self.open[-1].foreign and self.open[-1].tag == tag:
+            self.open.pop()
+
+    def _imply(self, tag: str) -> None:
+        """Ends the head before a tag that may not stand in one, and before text."""
+        if tag not in IN_HEAD and tag != "html":
+            self.headed = True
+            if self.open[-1].tag == "head":
+                self.open.pop()
+
+    def _push_foreign(self, tag: str, unseen: bool, held: dict[str, str | None]) -> None:
+        kind = self.open[-1].inner or tag
+        node = Node(tag, unseen or tag in UNDRAWN[kind], foreign=True)
+        html = tag in HOLDS_HTML[kind] or tag == "annotation-xml" and "html" in (held.get("encoding") or "").lower()
+        node.inner = "" if html else kind
+        self._push(node)
 
     def _push(self, node: Node) -> None:
         self.open[-1].children.append(node)
@@ -119,7 +169,10 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        self.open[-1].children.append(data)
+        if data.strip(" \t\n\r\f"):
+            self._imply("#text")
+        if self.open[-1].inner != "svg" or self.open[-1].tag in SVG_TEXT:
+            self.open[-1].children.append(data)
 
 
 def _number(value: str | None, otherwise: int) -> int:
@@ -263,9 +316,12 @@ def _render(
     if tag == "hr":
         lines.end(True)
         return
+    apart = node.foreign and tag == "text"
+    if apart:
+        lines.text(" ")
     nested = bullets is not None
     spaced = tag in SPACED and not (nested and tag in ("ul", "ol", "menu"))
-    if tag in BLOCK:
+    if tag in BLOCK or tag in OPTIONS:
         lines.end(spaced)
     if tag == "table":
         for line in _table(node, depth):
@@ -282,18 +338,26 @@ def _render(
             if isinstance(own[0], int):
                 own[0] += 1
         for child in node.children:
-            if isinstance(child, Node) and child.tag in ("td", "th"):  # a cell outside any table
+            if isinstance(child, Node) and (child.tag in ("td", "th") or tag in MATH_PARTS):  # a cell outside any table
                 lines.text(" ")
             _render(child, lines, depth + 1, pre or tag in ("pre", "textarea"), inner)
         if tag == "li":
             lines.end()
             lines.prefix = outer
-    if tag in BLOCK:
+    if tag in BLOCK or tag in OPTIONS:
         lines.end(spaced)
+    if apart:
+        lines.text(" ")
 
 
 def page_text(html: str | None) -> str:
-    """All visible text of a page in its layout; lines end without spaces, the text without lines."""
+    """All visible text of a page in its layout; lines end without spaces, the text without lines.
+
+    Visible are all text nodes but those under ``HIDDEN`` (a head, scripts, what stands in for objects and
+    media that do not load), under elements hidden by ``hidden``, ``aria-hidden`` or their own style, and what svg
+    and math do not draw (``UNDRAWN``, text of svg outside its text elements). All options of a select
+    count. Attributes (alternative texts, labels, values) are not text, and style sheets are not applied.
+    """
     builder = TreeBuilder()
     builder.feed(html or "")
     builder.close()

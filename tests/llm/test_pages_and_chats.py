@@ -144,6 +144,26 @@ def test_layout(html):
     assert html_text.page_text(html) == LAYOUTS[html]
 
 
+HEADS = {
+    "<html><head><title>T</title><h1>H</h1><p>text": "H\n\ntext",
+    "<head><meta charset=x><title>T</title> \n words<p>p": "words\n\np",
+    "<head><script>var a</script><style>p{}</style><b>x</b></head>y": "xy",
+    "<head><title>T</title></head>a<head>b</head>c": "abc",
+    "<head><svg><title>no</title><text>x</text></svg>y": "x y",
+    "a <math><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math> b": "a 1 2 b",
+    "<svg>no<defs/><title>no</title><path d=M0 /><text>Ja</text><text>Ne<tspan>in</tspan></text></svg>z": "Ja Nein z",
+    "<svg><g><p>out</p></svg>x": "out\n\nx",
+    "<svg><foreignObject><div>in</div></foreignObject><desc>no</desc></svg>": "in",
+    "x<select><option>a<option>b<optgroup label=l><option>c</select>y": "x\na\nb\nc\ny",
+    "<video>no</video><iframe>no</iframe><datalist><option>no</datalist>x": "x",
+}
+
+
+@pytest.mark.parametrize("html", HEADS)
+def test_head_and_visible_elements(html):
+    assert html_text.page_text(html) == HEADS[html]
+
+
 def test_pages_to_text(spark, folder):
     rows = [(1, "<p>a", "u"), (None, None, "u"), (1, "<p>a", "u"), (2, "<div>" * 5000 + "deep", "u"), (3, "<td>" * 3000 + "x", "u")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
