@@ -62,6 +62,14 @@ CLOSES = {
     "option": (("option",), ("select",)),
     "optgroup": (("option", "optgroup"), ("select",)),
 }
+#: The parts of a table go into the innermost of these, and close what is open inside it.
+SECTIONS = ("thead", "tbody", "tfoot")
+INTO = {
+    **dict.fromkeys(("td", "th"), ("tr", *SECTIONS, "table")),
+    "tr": (*SECTIONS, "table"),
+    "col": ("colgroup", "table"),
+    **dict.fromkeys((*SECTIONS, "caption", "colgroup"), ("table",)),
+}
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
 
@@ -89,7 +97,7 @@ class TreeBuilder(HTMLParser):
     def _close(self, tags: tuple[str, ...], beyond: tuple[str, ...]) -> None:
         for at in range(len(self.open) - 1, 0, -1):
             tag = self.open[at].tag
-            if tag in beyond:
+            if tag in beyond or tag == "template":
                 return
             if tag in tags:
                 del self.open[at:]
@@ -110,14 +118,17 @@ class TreeBuilder(HTMLParser):
         self._imply(tag)
         if tag in BLOCK or tag == "hr":
             self._close(("p",), ("table", "td", "th", "caption", "button", "object"))
-        if tag in CLOSES:
+        at = self._place(INTO[tag]) if tag in INTO else 0
+        if at:
+            del self.open[at + 1 :]
+        elif tag in CLOSES:
             self._close(*CLOSES[tag])
-        if tag in ("td", "th") and self._inside("table") and not self._inside("tr", ("table",)):
+        if at and tag in ("td", "th") and self.open[-1].tag != "tr":
             self._push(Node("tr"))
         node = Node(tag, unseen or tag in HIDDEN)
         node.start, node.span = _number(held.get("start"), 1), max(1, min(_number(held.get("colspan"), 1), 100))
         self._push(node)
-        if tag in VOID:
+        if tag in VOID or tag == "form" and self.open[-2].tag in ("table", "tr", *SECTIONS):
             self.open.pop()
 
     def handle_startendtag(self, tag: str, attrs) -> None:
@@ -126,11 +137,13 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
 
     def _imply(self, tag: str) -> None:
-        """Ends the head before a tag that may not stand in one, and before text."""
+        """Ends a head or group of columns before a tag that may not stand in one, and before text."""
         if tag not in IN_HEAD and tag != "html":
             self.headed = True
             if self.open[-1].tag == "head":
                 self.open.pop()
+        if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
+            self.open.pop()
 
     def _push_foreign(self, tag: str, unseen: bool, held: dict[str, str | None]) -> None:
         kind = self.open[-1].inner or tag
@@ -143,13 +156,17 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(node)
         self.open.append(node)
 
-    def _inside(self, tag: str, beyond: tuple[str, ...] = ()) -> bool:
-        for node in reversed(self.open):
-            if node.tag == tag:
-                return True
-            if node.tag in beyond:
-                return False
-        return False
+    def _place(self, parents: tuple[str, ...]) -> int:
+        """Where the innermost of these is open in a table, 0 outside tables."""
+        inner, found = "template", 0
+        for at in range(len(self.open) - 1, 0, -1):
+            tag = self.open[at].tag
+            if tag in parents and not found:
+                found = at
+            if tag in ("table", "template"):
+                inner = tag
+                break
+        return found if inner == "table" else 0
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -165,7 +182,7 @@ class TreeBuilder(HTMLParser):
             if self.open[at].tag == tag:
                 del self.open[at:]
                 return
-            if self.open[at].tag in beyond:
+            if self.open[at].tag in beyond or self.open[at].tag == "template":
                 return
 
     def handle_data(self, data: str) -> None:
@@ -233,28 +250,31 @@ def width(text: str) -> int:
     )
 
 
-def _rows(table: Node) -> Iterator[Node]:
+def _parts(table: Node) -> Iterator[tuple[Node | str, Node]]:
+    """What stands in a table, its sections and groups of columns, each with its parent."""
     for child in table.children:
-        if isinstance(child, Node) and not child.hidden:
-            if child.tag == "tr":
-                yield child
-            elif child.tag in ("thead", "tbody", "tfoot"):
-                yield from _rows(child)
+        if isinstance(child, Node) and child.tag in (*SECTIONS, "colgroup"):
+            if not child.hidden:
+                yield from ((part, child) for part in child.children)
+        else:
+            yield child, table
 
 
 def _table(node: Node, depth: int) -> list[str]:
     """Cells padded to the width of their column, two spaces apart; a caption stands above."""
-    captions, grid = [], []
-    for child in node.children:
-        if isinstance(child, Node) and not child.hidden and child.tag == "caption":
+    captions, rows, grid = [], [], []
+    for child, parent in _parts(node):
+        if isinstance(child, str) and not child.strip() or isinstance(child, Node) and child.hidden:
+            continue
+        if isinstance(child, Node) and child.tag == "tr":
+            rows.append((child, parent))
+        elif isinstance(child, Node) and child.tag == "caption":
             captions += _inner(child, depth)
-        elif isinstance(child, str) and child.strip() or isinstance(child, Node) and child.tag not in (
-            "tr", "thead", "tbody", "tfoot", "caption", "col", "colgroup",
-        ):  # text that does not belong into a table stands before it
+        else:  # what does not belong into a table stands before it
             stray = Lines()
             _render(child, stray, depth)
             captions += stray.lines()
-    for row in _rows(node):
+    for row, _ in rows:
         cells = []
         for cell in row.children:
             if isinstance(cell, str) and not cell.strip():

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,6 +165,54 @@ def test_head_and_visible_elements(html):
     assert html_text.page_text(html) == HEADS[html]
 
 
+TABLES = {
+    "<table><colgroup><col><tr><td>a</table>z": "a\n\nz",
+    "<table><colgroup><col><tbody><tr><td>a<td>b</table>": "a  b",
+    "<table><colgroup><col>odd<td>a</table>": "odd\na",
+    "<table><caption>C<tr><td>a</table>": "C\na",
+    "<table><caption>C<colgroup><col><td>a</table>": "C\na",
+    "<table><tbody><form><tr><td>x<td>y</form><tr><td>z</table>": "x  y\nz",
+    "<table><tbody>stray<tr><td>x<tfoot><p>foot</table>": "stray\nfoot\nx",
+    "<table><tr><td>a<div>b<tr><td>c<table><tr><td>d</table>e</table>f": "a\nb\nc\nd\ne\n\nf",
+    "<table><tbody><div hidden><tr><td>x</table>": "x",
+    "<table><tr><td><template><tr><td>no</template>x</table>": "x",
+}
+
+
+@pytest.mark.parametrize("html", TABLES)
+def test_table_text_is_kept(html):
+    assert html_text.page_text(html) == TABLES[html]
+
+
+def visible_texts(node):
+    todo = [node]
+    while todo:
+        one = todo.pop()
+        if isinstance(one, str):
+            yield one
+        elif not one.hidden:
+            todo += reversed(one.children)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_no_visible_text_is_missing(seed):
+    """Every word of random pages without hidden elements, and every visible text node of those with some."""
+    r = random.Random(seed)
+    tags = "table colgroup col caption thead tbody tfoot tr td th form div p ul ol li b br head body html h1 select option math mi pre".split()
+    for hidden in ([], ["title", "template", "svg", "text", "datalist", "p hidden", "tr hidden"]):
+        html = "".join(
+            f"w{i}; " if r.random() < 0.4 else f"</{r.choice(tags)}>" if r.random() < 0.3 else f"<{r.choice(tags + hidden)}>"
+            for i in range(300)
+        )
+        builder = html_text.TreeBuilder()
+        builder.feed(html)
+        builder.close()
+        seen = "".join(visible_texts(builder.root)).split()
+        text = html_text.page_text(html)
+        assert sorted(re.findall("w[0-9]+;", text)) == sorted(seen)
+        assert hidden or sorted(seen) == sorted(re.findall("w[0-9]+;", html))
+
+
 def test_pages_to_text(spark, folder):
     rows = [(1, "<p>a", "u"), (None, None, "u"), (1, "<p>a", "u"), (2, "<div>" * 5000 + "deep", "u"), (3, "<td>" * 3000 + "x", "u")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
