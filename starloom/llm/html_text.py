@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -82,6 +84,7 @@ class Node:
     inner: str = ""  # svg or math if its children are
     start: int = 1
     span: int = 1
+    down: int = 1
     children: list = field(default_factory=list)  # Nodes and strings
 
 
@@ -92,15 +95,18 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.open = [self.root]
+        self.count = Counter()  # open elements by name
         self.headed = False  # a head is of no effect from here on
 
     def _close(self, tags: tuple[str, ...], beyond: tuple[str, ...]) -> None:
+        if not any(self.count[x] for x in tags):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             tag = self.open[at].tag
             if tag in beyond or tag == "template":
                 return
             if tag in tags:
-                del self.open[at:]
+                self._cut(at)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         held = dict(reversed(attrs))  # the first of equal attributes counts
@@ -108,7 +114,7 @@ class TreeBuilder(HTMLParser):
         unseen |= (held.get("aria-hidden") or "").lower() == "true"
         if self.open[-1].inner and (tag in LEAVES or tag == "font" and held.keys() & {"color", "face", "size"}):
             while self.open[-1].inner:
-                self.open.pop()
+                self._cut(-1)
         if self.open[-1].inner or tag in UNDRAWN:
             self._imply(tag)
             self._push_foreign(tag, unseen, held)
@@ -120,30 +126,32 @@ class TreeBuilder(HTMLParser):
             self._close(("p",), ("table", "td", "th", "caption", "button", "object"))
         at = self._place(INTO[tag]) if tag in INTO else 0
         if at:
-            del self.open[at + 1 :]
+            self._cut(at + 1)
         elif tag in CLOSES:
             self._close(*CLOSES[tag])
         if at and tag in ("td", "th") and self.open[-1].tag != "tr":
             self._push(Node("tr"))
         node = Node(tag, unseen or tag in HIDDEN)
         node.start, node.span = _number(held.get("start"), 1), max(1, min(_number(held.get("colspan"), 1), 100))
+        down = _number(held.get("rowspan"), 1)
+        node.down = 1 if down < 0 else down or 1 << 16  # 0: to the end of the section
         self._push(node)
         if tag in VOID or tag == "form" and self.open[-2].tag in ("table", "tr", *SECTIONS):
-            self.open.pop()
+            self._cut(-1)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML, but closes in svg and math
         if self.open[-1].foreign and self.open[-1].tag == tag:
-            self.open.pop()
+            self._cut(-1)
 
     def _imply(self, tag: str) -> None:
         """Ends a head or group of columns before a tag that may not stand in one, and before text."""
         if tag not in IN_HEAD and tag != "html":
             self.headed = True
             if self.open[-1].tag == "head":
-                self.open.pop()
+                self._cut(-1)
         if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
-            self.open.pop()
+            self._cut(-1)
 
     def _push_foreign(self, tag: str, unseen: bool, held: dict[str, str | None]) -> None:
         kind = self.open[-1].inner or tag
@@ -155,10 +163,18 @@ class TreeBuilder(HTMLParser):
     def _push(self, node: Node) -> None:
         self.open[-1].children.append(node)
         self.open.append(node)
+        self.count[node.tag] += 1
+
+    def _cut(self, at: int) -> None:
+        """Closes the elements from there on."""
+        self.count.subtract(node.tag for node in self.open[at:])
+        del self.open[at:]
 
     def _place(self, parents: tuple[str, ...]) -> int:
         """Where the innermost of these is open in a table, 0 outside tables."""
         inner, found = "template", 0
+        if not self.count["table"]:
+            return 0
         for at in range(len(self.open) - 1, 0, -1):
             tag = self.open[at].tag
             if tag in parents and not found:
@@ -173,14 +189,14 @@ class TreeBuilder(HTMLParser):
             self.handle_starttag("br", [])
         else:
             parts = ("table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th")
-            beyond = ("table",) if tag in parts[1:] else () if tag == "table" else ("table", "td", "th")
+            beyond = ("table",) if tag in parts[1:] else () if tag in ("table", "template") else ("table", "td", "th")
             self._end(tag, beyond)
 
     def _end(self, tag: str, beyond: tuple[str, ...]) -> None:
         """Closes the innermost open element of that name, and what is open inside it."""
-        for at in range(len(self.open) - 1, 0, -1):
+        for at in range(len(self.open) - 1, 0, -1) if self.count[tag] else ():
             if self.open[at].tag == tag:
-                del self.open[at:]
+                self._cut(at)
                 return
             if self.open[at].tag in beyond or self.open[at].tag == "template":
                 return
@@ -245,6 +261,8 @@ class Lines:
 
 def width(text: str) -> int:
     """Columns that a text takes on a terminal."""
+    if text.isascii():
+        return len(text)
     return sum(
         0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text
     )
@@ -260,8 +278,31 @@ def _parts(table: Node) -> Iterator[tuple[Node | str, Node]]:
             yield child, table
 
 
-def _table(node: Node, depth: int) -> list[str]:
-    """Cells padded to the width of their column, two spaces apart; a caption stands above."""
+#: Lists indent and tables align their cells down to so many levels. Below them, list items and rows
+#: take a line each and cells stand two spaces apart, so that the text stays about as long as the page.
+LEVELS = 50
+#: A step of rendering: it yields the steps that it waits for, and gets their results.
+Step = Generator["Step", Any, Any]
+
+
+def _run(step: Step) -> Any:
+    """The result of a step. Steps within steps lie on a list, so pages may be of any depth."""
+    waiting, result = [step], None
+    while waiting:
+        try:
+            waiting.append(waiting[-1].send(result))
+            result = None
+        except StopIteration as end:
+            waiting.pop()
+            result = end.value
+    return result
+
+
+def _table(node: Node, tables: int) -> Step:
+    """Cells padded to the width of their column, two spaces apart; a caption stands above.
+
+    A cell over several rows has its text in the first of them and is blank in the others.
+    """
     captions, rows, grid = [], [], []
     for child, parent in _parts(node):
         if isinstance(child, str) and not child.strip() or isinstance(child, Node) and child.hidden:
@@ -269,20 +310,31 @@ def _table(node: Node, depth: int) -> list[str]:
         if isinstance(child, Node) and child.tag == "tr":
             rows.append((child, parent))
         elif isinstance(child, Node) and child.tag == "caption":
-            captions += _inner(child, depth)
+            captions += yield _inner(child, tables)
         else:  # what does not belong into a table stands before it
             stray = Lines()
-            _render(child, stray, depth)
+            yield _render(child, stray, tables)
             captions += stray.lines()
-    for row, _ in rows:
-        cells = []
+    section, taken = None, {}  # of columns: the rows that a cell from above still takes
+    for row, parent in rows:
+        if parent is not section:
+            section, taken = parent, {}
+        cells, started = [], {}
         for cell in row.children:
             if isinstance(cell, str) and not cell.strip():
                 continue
             if isinstance(cell, Node) and cell.hidden:
                 continue
-            lines = _inner(cell, depth) if isinstance(cell, Node) else [" ".join(cell.split())]
-            cells += [lines] + [[]] * (cell.span - 1 if isinstance(cell, Node) else 0)
+            while taken.get(len(cells)):
+                cells.append([])
+            if isinstance(cell, Node):
+                lines = yield _inner(cell, tables)
+            else:
+                lines = [" ".join(cell.split())]
+            span, down = (cell.span, cell.down) if isinstance(cell, Node) else (1, 1)
+            started |= dict.fromkeys(range(len(cells), len(cells) + span), down - 1)
+            cells += [lines] + [[]] * (span - 1)
+        taken = {at: n - 1 for at, n in taken.items() if n > 1} | {at: n for at, n in started.items() if n}
         if any(cells):
             grid.append(cells)
     columns = max(map(len, grid), default=0)
@@ -296,40 +348,26 @@ def _table(node: Node, depth: int) -> list[str]:
     return out
 
 
-def _inner(node: Node, depth: int) -> list[str]:
+def _inner(node: Node, tables: int) -> Step:
     lines = Lines()
-    for child in node.children:
-        _render(child, lines, depth + 1)
+    for child in node.children if node.tag in ("td", "th", "caption") else [node]:
+        if isinstance(child, str):
+            lines.text(child)
+        else:
+            yield _render(child, lines, tables)
     return [x for x in lines.lines() if x]
 
 
-MAX_DEPTH = 200
-
-
-def _flat(node: Node) -> Iterator[str]:
-    """Visible text of a subtree, without recursion."""
-    todo = [node]
-    while todo:
-        one = todo.pop()
-        if isinstance(one, str):
-            yield one
-        elif not one.hidden:
-            todo += reversed(one.children)
-
-
 def _render(
-    node: Node | str, lines: Lines, depth: int, pre: bool = False, bullets: list | None = None
-) -> None:
+    node: Node | str, lines: Lines, tables: int = 0, pre: bool = False, bullets: tuple[int, list] | None = None
+) -> Step:
+    """Writes a node to ``lines``. ``tables``: those around it; ``bullets``: lists around it, the next mark."""
     if isinstance(node, str):
         lines.text(node, pre)
         return
     if node.hidden:
         return
     tag = node.tag
-    if depth > MAX_DEPTH:  # deeper layout than any page needs: the text alone
-        for part in _flat(node):
-            lines.text(part, pre)
-        return
     if tag == "br":
         lines.feed()
         return
@@ -341,30 +379,39 @@ def _render(
         lines.text(" ")
     nested = bullets is not None
     spaced = tag in SPACED and not (nested and tag in ("ul", "ol", "menu"))
-    if tag in BLOCK or tag in OPTIONS:
+    deep = tables >= LEVELS
+    own_lines = tag in BLOCK or tag in OPTIONS or deep and tag in ("tr", "caption")
+    if own_lines:
         lines.end(spaced)
-    if tag == "table":
-        for line in _table(node, depth):
+    if tag == "table" and not deep:
+        for line in (yield _table(node, tables + 1)):
             lines.word(line)
             lines.feed()
     else:
         counter = [node.start] if tag == "ol" else ["-"] if tag in ("ul", "menu") else None
-        inner = bullets if counter is None else [*(bullets or []), counter]
+        level = bullets[0] if bullets else 0
+        inner = bullets if counter is None else (level + 1, counter)
         outer = lines.prefix
         if tag == "li":
-            own = bullets[-1] if bullets else ["-"]
+            own = bullets[1] if bullets else ["-"]
             mark = f"{own[0]}. " if isinstance(own[0], int) else "- "
-            lines.prefix = "  " * (max(1, len(bullets or [])) - 1) + mark
+            lines.prefix = "  " * (min(max(1, level), LEVELS) - 1) + mark
             if isinstance(own[0], int):
                 own[0] += 1
+        pre_inside = pre or tag in ("pre", "textarea")
         for child in node.children:
-            if isinstance(child, Node) and (child.tag in ("td", "th") or tag in MATH_PARTS):  # a cell outside any table
+            if isinstance(child, str):
+                lines.text(child, pre_inside)
+                continue
+            if child.tag in ("td", "th"):  # a cell outside any table, or too deep
+                lines.text("  ", deep and bool(lines.now))
+            elif tag in MATH_PARTS:
                 lines.text(" ")
-            _render(child, lines, depth + 1, pre or tag in ("pre", "textarea"), inner)
+            yield _render(child, lines, tables, pre_inside, inner)
         if tag == "li":
             lines.end()
             lines.prefix = outer
-    if tag in BLOCK or tag in OPTIONS:
+    if own_lines:
         lines.end(spaced)
     if apart:
         lines.text(" ")
@@ -376,13 +423,13 @@ def page_text(html: str | None) -> str:
     Visible are all text nodes but those under ``HIDDEN`` (a head, scripts, what stands in for objects and
     media that do not load), under elements hidden by ``hidden``, ``aria-hidden`` or their own style, and what svg
     and math do not draw (``UNDRAWN``, text of svg outside its text elements). All options of a select
-    count. Attributes (alternative texts, labels, values) are not text, and style sheets are not applied.
+    count. Nothing is left out by depth, but see ``LEVELS``. Attributes (alternative texts, labels, values) are not text, and style sheets are not applied.
     """
     builder = TreeBuilder()
     builder.feed(html or "")
     builder.close()
     lines = Lines()
-    _render(builder.root, lines, 0)
+    _run(_render(builder.root, lines))
     return "\n".join(lines.lines()).strip("\n")
 
 

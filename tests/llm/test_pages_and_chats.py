@@ -184,6 +184,32 @@ def test_table_text_is_kept(html):
     assert html_text.page_text(html) == TABLES[html]
 
 
+SPANS = {
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>": "a  b\n   c\nd  e",
+    "<table><tr><td>a<td rowspan=3 colspan=2>b<td>x<tr><td>c<td>y<tr><td>d</table>": "a  b    x\nc       y\nd",
+    "<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d<tbody><tr><td>e<td>f</table>": "a  b\n   c\n   d\ne  f",
+    "<table><tr><td>a<td rowspan=2>b<tr><td>c<td>d</table>": "a  b\nc     d",
+}
+
+
+@pytest.mark.parametrize("html", SPANS)
+def test_cells_over_several_rows(html):
+    assert html_text.page_text(html) == SPANS[html]
+
+
+@pytest.mark.parametrize("around", ["<div>", "<b>", "<ul><li>", "<table><tr><td>", "<td><div>", "<ol><li><table><td>"])
+def test_layout_at_any_depth(around):
+    inside = "<div>a</div><div>b</div>c<br>d<ul><li>e<li>f</ul><table><tr><td>g<td>h<tr><td>i<td>j</table>k"
+    text = html_text.page_text(around * 3000 + inside)
+    want = ["a", "b", "c", "d", "- e", "- f", "g  h", "i  j", "k"]
+    lines = [x.strip() for x in text.split("\n")]
+    if "li" in around:
+        assert lines[0].split()[-1] == "a"
+        lines = ["a", *lines[1:]]
+    assert [x for x in lines if x and x not in ("-", "1.")] == want
+    assert len(text) < 400 * 3000
+
+
 def visible_texts(node):
     todo = [node]
     while todo:
