@@ -3,10 +3,12 @@
 DataFrame functions only. The fixed patterns give the base spans. Every token with several
 digits is an instance, told apart by a hash of its value, and occurs in patterns: the word
 before it with its shape, and its shape with the signs around it. Instances under a base
-span are the seeds. Pattern confidence is the mean score of its distinct instances, instance
-score the best confidence of its patterns; the two are computed in turn over the stored graph
-of (pattern, instance) edges, and instances that reach the threshold become spans. Texts
-are read once and never shuffled.
+span are the seeds, of score 1. Pattern confidence is the mean score of its distinct instances,
+those not trusted counting 0, instance score the best confidence of its patterns; the two are
+computed in turn over the stored graph of (pattern, instance) edges until no instance is added.
+Instances that reach the threshold are trusted and become spans. They keep the score of
+the round that reached them: a pattern that raised its own instances again and again would
+bring them all to 1. Texts are read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ascii_lower, materialize
+from starloom.llm.common import ascii_lower, materialize, removing_intermediates
 
 #: Base kinds in their order. Possessive where nothing can be given back, and anchored to the
 #: beginning of a run, or to the end of the last match, so that long runs cost one look.
@@ -27,11 +29,14 @@ KINDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 FOUND = "id"
-#: A token of at least six characters with at least four digits.
+#: A token of at least six characters with at least four digits. Signs before it belong to the match,
+#: those after it do not.
 TOKEN = (
-    r"(?<![A-Za-z0-9._@+-])(?=(?:[A-Za-z._@+-]*+[0-9]){4})[A-Za-z0-9][A-Za-z0-9._@+-]{4,}+(?<=[A-Za-z0-9])"
+    r"(?<![A-Za-z0-9._@+-])[._@+-]*+(?=(?:[A-Za-z._@+-]*+[0-9]){4})[A-Za-z0-9][A-Za-z0-9._@+-]{4,}[A-Za-z0-9]"
 )
-ROUNDS, MIN_SUPPORT, MIN_SCORE = 3, 5, 0.9
+MIN_SUPPORT, MIN_SCORE = 5, 0.9
+#: Sums of the same scores in another order differ by less.
+ROUNDING = 1e-9
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _SPAN = "array<struct<start:int,kind:int,end:int,text:string>>"
 
@@ -126,40 +131,62 @@ def _candidates(text: Column, base: Column) -> Column:
             ).alias("patterns"),
         )
 
+    def bare(match: Column) -> Column:
+        token = F.regexp_replace(match["text"], r"^[._@+-]+", "")
+        return F.struct(
+            (match["end"] - F.length(token)).alias("start"), match["end"].alias("end"), token.alias("text")
+        )
+
     guard = F.rlike(text, F.lit("[0-9]"))
-    return F.transform(_spans(text, TOKEN, 0, guard), describe)
+    return F.transform(F.transform(_spans(text, TOKEN, 0, guard), bare), describe)
 
 
 def score_instances(
-    edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT,
+    edges: DataFrame, seeds: DataFrame, rounds: int | None = None, min_support: int = MIN_SUPPORT,
     min_score: float = MIN_SCORE,
 ) -> DataFrame:
-    """Instances beyond the seeds whose patterns are trusted.
+    """``instance, score`` of the instances beyond the seeds whose patterns are trusted.
 
     ``edges``: distinct pattern, instance. ``seeds``: distinct instance. A pattern counts
-    once it has ``min_support`` trusted instances; its confidence is their part of all its
-    instances. An instance is trusted from ``min_score`` on, and then supports patterns itself.
+    once it has ``min_support`` trusted instances and a confidence of at least ``min_score``, which
+    all its instances then reach. ``rounds`` bounds the rounds; without it they end when none adds an instance.
     """
-    trusted = seeds.select("instance")
-    found = None
-    for _ in range(rounds):
-        marked = edges.join(trusted.withColumn("yes", F.lit(1)), "instance", "left")
-        patterns = (
-            marked.groupBy("pattern")
-            .agg(F.count(F.lit(1)).alias("n"), F.count("yes").alias("support"))
-            .filter((F.col("support") >= min_support) & (F.col("support") >= F.col("n") * min_score))
-        )
-        reached = edges.join(patterns.select("pattern"), "pattern").select("instance").distinct()
-        found = materialize(reached.join(seeds, "instance", "left_anti"), "instances")
-        trusted = seeds.select("instance").unionByName(found)
-    return found
+    with removing_intermediates(edges.sparkSession):
+        # A pattern of too few instances can never count.
+        patterns = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_support)
+        patterns = patterns.select("pattern", "n", F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("support"))
+        patterns = materialize(patterns, "patterns")
+        edges = materialize(edges.join(patterns.select("pattern"), "pattern", "left_semi"), "live-graph")
+        new = known = seeds.select("instance", F.lit(1.0).alias("score"))
+        found, done = None, 0
+        while done != rounds:
+            gained = edges.join(new, "instance").groupBy("pattern").agg(
+                F.sum("score").alias("more"), F.count(F.lit(1)).alias("trusted")
+            )
+            summed = patterns.join(gained, "pattern", "left").select(
+                "pattern", "n", (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
+                (F.col("support") + F.coalesce("trusted", F.lit(0))).alias("support"),
+            )
+            summed = materialize(summed, "patterns")
+            counts = (F.col("support") >= min_support) & (F.col("total") >= F.col("n") * (min_score - ROUNDING))
+            patterns = summed.filter(~counts)  # of the others all instances are known from here on
+            reached = edges.join(summed.filter(counts).select("pattern", (F.col("total") / F.col("n")).alias("score")), "pattern")
+            reached = reached.groupBy("instance").agg(F.max("score").alias("score"))
+            new = materialize(reached.join(known.select("instance"), "instance", "left_anti"), "instances")
+            if new.isEmpty():
+                break
+            known = known.unionByName(new)
+            found = new if found is None else found.unionByName(new)
+            done += 1
+        found = known.limit(0) if found is None else found
+        return materialize(found, "instances", keep=True)
 
 
 def find_personal_data(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     min_support: int = MIN_SUPPORT,
     min_score: float = MIN_SCORE,
 ) -> DataFrame:
@@ -184,7 +211,7 @@ def find_personal_data(
     seeds = materialize(seen.filter("seed").select("instance").distinct(), "seeds")
     trusted = score_instances(edges, seeds, rounds, min_support, min_score)
     # A seed's value found elsewhere is as personal there.
-    wanted = trusted.unionByName(seeds)
+    wanted = trusted.select("instance").unionByName(seeds)
     span = F.struct("start", "end", F.lit(FOUND).alias("kind"))
     found = (
         seen.filter("NOT seed")

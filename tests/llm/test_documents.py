@@ -397,6 +397,41 @@ def test_contexts_find_unseen_identifiers(spark, nothing):
     assert pii.find_personal_data(nothing).count() == 0
 
 
+def test_identifiers_beside_signs(spark):
+    """Tokens are instances whatever sign stands before or after them, and only those of the same run are theirs."""
+    signs = [".", "-", "_", "+", "@", ",", "...", "-.", ")", ""]
+    rows = [f"My id is {a}AB1234-56{b}{gap}and x1" for a in signs for b in signs for gap in (" ", "\n")]
+    rows += ["a-b-c-12 A1234 " + "x-" * 20000, "." * 40 + "AB1234-56."]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    seen = pii._candidates(F.col("text"), F.array().cast("array<struct<start:int,end:int>>"))
+    for r in frame.select("text", seen.alias("seen")).collect():
+        at = r.text.find("AB1234-56")
+        assert [(c.start, c.end) for c in r.seen] == ([(at, at + 9)] if at >= 0 else [])
+    # The seeds end a sentence, and so does what they find.
+    rows = [f"write to u{i}1234@example.org. Thanks" for i in range(50)] + ["write to u991234@example. Thanks"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert pii.find_personal_data(frame).filter("size(base) = 1").count() == 50
+    seeds = frame.select(pii._candidates(F.col("text"), pii.base_spans(F.col("text"))).alias("seen"))
+    assert [[c.seed for c in r.seen] for r in seeds.collect()] == [[True]] * 50 + [[False]]
+
+
+def test_contexts_settle_with_real_scores(spark):
+    """A chain of nine patterns is followed to its end; scores wear off along it."""
+    edges = [(k, 1000 * k + i) for k in range(1, 10) for i in range(17)]  # 17 seeds each
+    edges += [(k, -k - d) for k in range(1, 10) for d in (0, 1)]  # -k is reached by the one before
+    seeds = [(i,) for k, i in edges if i > 0] + [(-1,)]
+    edges += [(20, -k) for k in range(2, 11)] + [(20, -50)]  # nine of ten, none of them certain
+    edges += [(30, i) for i in range(-63, -60)] + [(30, 1000), (30, 1001), (30, 1002)]  # half
+    graph = spark.createDataFrame(edges, "pattern long, instance long")
+    known = spark.createDataFrame(seeds, "instance long")
+    got = {r.instance: r.score for r in pii.score_instances(graph, known).collect()}
+    want, score = {}, 1.0
+    for k in range(2, 11):
+        score = want[-k] = (17 + score) / 19
+    assert got == pytest.approx(want)
+    assert {r.instance for r in pii.score_instances(graph, known, rounds=3).collect()} == {-2, -3, -4}
+
+
 def test_digest_of_components_is_stable(docs):
     """Classes are named by content, so a second run gives the same rows."""
     runs = [sorted(map(tuple, near_dup.near_duplicates(docs).collect())) for _ in range(2)]
