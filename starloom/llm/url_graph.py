@@ -3,8 +3,9 @@
 Pages that a rule decides are the seeds. Trust starts at hosts with allowed pages and follows
 links; distrust starts at hosts with blocked pages and goes back along links, to those
 that point there. Both are personalised PageRanks, computed together as one table of (host,
-kind, rank) that every step joins with the host edges and stores. A host is judged by
-which of the two reaches it more strongly.
+kind, rank) that every step joins with the host edges, until no host's rank changes by more
+than a small part of itself. A host is judged by which of the two reaches it more strongly, as
+a ratio: ranks shrink with the number of pages, ratios do not.
 """
 
 from __future__ import annotations
@@ -17,7 +18,14 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import ascii_lower, materialize, removing_intermediates
 
-DAMPING, STEPS, MARGIN = 0.85, 8, 1e-9
+DAMPING = 0.85
+#: Distrust has to exceed trust by this part of it.
+MARGIN = 0.01
+#: Ranks have settled once ``STORED`` steps raise none by more than this part of it. What further steps would
+#: add is about as much, which is below ``MARGIN``.
+SETTLED, STORED = 0.005, 4
+#: Enough steps for graphs without circles and with at most so many links in a row, as tests have; not a limit.
+STEPS = 8
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:https?:)?//[^"'\s>]+)"""
 
 
@@ -88,23 +96,33 @@ def host_edges(pages: DataFrame, host_col: str, html_col: str) -> DataFrame:
     return every.join(total, "src").select("src", "dst", (F.col("w") / F.col("total")).alias("share"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
-    """``host, kind, rank`` after ``steps`` of personalised PageRank for every kind of seed.
+def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int | None = None) -> DataFrame:
+    """``host, kind, rank`` of personalised PageRank for every kind of seed, after ``steps`` or when settled.
 
     ``seeds``: host, kind, start, summing to 1 per kind. ``edges``: kind, src, dst, share. What a
-    host without edges would pass on is lost, alike for every kind.
+    host without edges would pass on is lost, alike for every kind. Ranks start at what the seeds get
+    in every step, and only grow. A host that is reached for the first time counts as changed, so
+    however far from a seed, it is reached.
     """
     with removing_intermediates(seeds.sparkSession):
         seeds = materialize(seeds, "seeds")
         edges = materialize(edges, "host-edges")
-        ranks = seeds.withColumnRenamed("start", "rank")
         back = seeds.select("host", "kind", (F.col("start") * (1 - damping)).alias("rank"))
-        for _ in range(steps):
-            passed = ranks.withColumnRenamed("host", "src").join(edges, ["src", "kind"]).select(
-                F.col("dst").alias("host"), "kind", (F.col("rank") * F.col("share") * damping).alias("rank")
+        ranks, done = back, 0
+        while steps is None or done < steps:
+            before, ahead = ranks, STORED if steps is None else min(STORED, steps - done)
+            for _ in range(ahead):
+                passed = ranks.withColumnRenamed("host", "src").join(edges, ["src", "kind"]).select(
+                    F.col("dst").alias("host"), "kind", (F.col("rank") * F.col("share") * damping).alias("rank")
+                )
+                ranks = passed.unionByName(back).groupBy("host", "kind").agg(F.sum("rank").alias("rank"))
+            ranks, done = materialize(ranks, "ranks"), done + ahead
+            old = before.withColumnRenamed("rank", "old")
+            changed = ranks.join(old, ["host", "kind"], "left").filter(
+                F.col("rank") - F.coalesce("old", F.lit(0.0)) > F.col("rank") * SETTLED
             )
-            summed = passed.unionByName(back).groupBy("host", "kind").agg(F.sum("rank").alias("rank"))
-            ranks = materialize(summed, "ranks")
+            if changed.isEmpty():
+                break
         return materialize(ranks, "ranks", keep=True)
 
 
@@ -114,13 +132,14 @@ def filter_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
-    steps: int = STEPS,
+    steps: int | None = None,
 ) -> DataFrame:
     """``id_col, host, path, rule, verdict, trust, distrust`` for every page.
 
     The longest fitting rule decides (of equally long ones that with the greater name). Other
     pages are blocked if distrust reaches their host more strongly than trust, and allowed
-    otherwise, also where neither does.
+    otherwise, also where neither does. ``steps`` bounds the steps along links; without it they
+    go on until the ranks have settled.
 
     NULL urls and those without ``://`` have an empty host and path, fit no rule and are allowed.
     NULL html has no links. Repeated rows stay and are judged alike; NULL ids pass. Other columns
@@ -151,7 +170,8 @@ def filter_urls(
         F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("rank"))), F.lit(0.0)).alias("distrust"),
     )
     seen = judged.drop("__html").join(hosts, "host", "left")
-    by_graph = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > MARGIN, "block").otherwise("allow")
+    stronger = (F.col("distrust") > 0) & (F.col("distrust") > F.col("trust") * (1 + MARGIN))
+    by_graph = F.when(stronger, "block").otherwise("allow")
     return seen.select(
         F.col(f"`{id_col}`"), "host", "path", F.col("__rule.rule").alias("rule"),
         F.coalesce("__rule.verdict", by_graph).alias("verdict"),

@@ -315,3 +315,26 @@ def test_trust_and_distrust(spark):
     distrust = ranks_by_hand({"bad.net": 1.0}, [(b, a, s) for a, b, s in edges], 0.85, url_graph.STEPS)
     for r in got.values():
         assert r.trust == pytest.approx(trust.get(r.host, 0)) and r.distrust == pytest.approx(distrust.get(r.host, 0))
+
+
+def test_one_graph_in_tables_of_any_size(spark):
+    """A chain of many links and a thousand neighbours are judged alike however many pages there are besides."""
+    chain = [f"c{i}.info" for i in range(14)] + ["bad.net"]
+    rows = [(i, f"http://{a}/", f'<a href="http://{b}/">') for i, (a, b) in enumerate(zip(chain, chain[1:]))]
+    rows += [(99, "http://bad.net/", None)]
+    rows += [(100 + i, f"http://lure{i}.biz/", '<a href="http://bad.net/">') for i in range(1000)]
+    rows += [(2000, "http://ring1.biz/", '<a href="http://ring2.biz/"><a href="http://bad.net/">'),
+             (2001, "http://ring2.biz/", '<a href="http://ring1.biz/">')]
+    small = spark.createDataFrame(rows, "page_id long, url string, html string")
+    more = spark.range(10_000, 310_000).select(
+        F.col("id").alias("page_id"), F.lit("http://other.net/").alias("url"), F.lit(None).cast("string").alias("html")
+    )
+    for pages in (small, small.unionByName(more)):
+        got = url_graph.filter_urls(pages).filter("page_id < 10000").collect()
+        assert len(got) == len(rows) and {r.verdict for r in got} == {"block"}
+        assert all(r.distrust > 0 for r in got)
+    seeds = spark.createDataFrame([("a", "trust", 1.0)], "host string, kind string, start double")
+    edges = [("a", "b", 1.0), ("b", "a", 0.5), ("b", "c", 0.5), ("c", "b", 1.0)]
+    frame = spark.createDataFrame([("trust", *e) for e in edges], "kind string, src string, dst string, share double")
+    want = ranks_by_hand({"a": 1.0}, edges, 0.85, 300)
+    assert {r.host: r.rank for r in url_graph.spread(seeds, frame).collect()} == pytest.approx(want, rel=0.01)
