@@ -1,9 +1,9 @@
 """Packing of tokenised documents into sequences, by repeated patterns of few documents.
 
 Only the histogram of piece lengths reaches the driver: at most ``capacity`` counts, whatever
-the size of the corpus. There, patterns of few documents that fill a sequence are fitted to it by
-non-negative least squares, their repeat counts rounded down, and what is left packed by
-best fit, again as repeated patterns. The plan has a bounded number of rows and says, for
+the size of the corpus. There, patterns of few documents that fill a sequence or leave little of it
+unused are fitted to it by non-negative least squares, their repeat counts rounded, and what is
+left packed by best fit, again as repeated patterns. The plan has a bounded number of rows and says, for
 the r-th piece of a length, which sequence and place it takes. Pieces are numbered per length
 within the file part that holds them, plus one offset per part and length.
 """
@@ -15,6 +15,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import combinations_with_replacement
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +31,7 @@ VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 CHUNK_BYTES = 2 << 20
 SWEEPS = 30
+HOT = 8
 #: Letters, marks and spaces that every splitter classifies alike.
 PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ſ]*")
 
@@ -116,32 +118,60 @@ def tokenize(
 
 
 def patterns_of(counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
-    """Patterns of one to four lengths in use that fill a sequence exactly, longest first."""
+    """Patterns of one to four lengths in use, and repeats of one, longest first.
+
+    The last length fills the sequence exactly or, if there is none such, is the longest that fits,
+    so every length in use has patterns, with or without unused tokens.
+    """
     used = np.flatnonzero(counts)
-    used = used[used < capacity]
-    have, found = set(used.tolist()), set()
+    used = used[used > 0]
+    if not used.size:
+        return []
+    # By space: the longest length in use that fits into it, 0 if none does.
+    fits = np.zeros(capacity + 1, np.int64)
+    fits[used] = used
+    fits = np.maximum.accumulate(fits).tolist()
     common = used[np.argsort(-counts[used], kind="stable")][:3].tolist()
-    spread = used[np.linspace(0, used.size - 1, 3).astype(int)].tolist() if used.size else []
+    spread = used[np.linspace(0, used.size - 1, 3).astype(int)].tolist()
+    found = set()
+
+    def add(*pattern: int) -> None:
+        last = fits[capacity - sum(pattern)]
+        found.add(tuple(sorted((*pattern, *[last] * (last > 0)), reverse=True)))
+
     for a in used.tolist():
         rest = capacity - a
-        if rest in have:
-            found.add((a, rest))
-        for b in {*common, *spread, rest // 2, rest // 3} & have:
-            if rest - b in have:
-                found.add((a, b, rest - b))
-            if rest - 2 * b in have:
-                found.add((a, b, b, rest - 2 * b))
-    return sorted({tuple(sorted(p, reverse=True)) for p in found}, reverse=True)
-
-
-def fit(patterns: list[tuple[int, ...]], counts: np.ndarray) -> np.ndarray:
-    """Repeat counts x >= 0 with the least squared error of (pattern lengths) x against ``counts``."""
+        add(a)
+        found.add((a,) * min(capacity // a, int(counts[a])))
+        for b in {*common, *spread, fits[rest], fits[rest // 2], fits[rest // 3]}:
+            if 0 < b <= rest:
+                add(a, b)
+                if 2 * b <= rest:
+                    add(a, b, b)
+    # Rare lengths bound the patterns that they fill; the commonest ones are combined without them too.
+    hot = sorted(used[np.argsort(-counts[used], kind="stable")][:HOT].tolist(), reverse=True)
+    for size in range(1, 5):
+        found.update(p for p in combinations_with_replacement(hot, size) if sum(p) <= capacity)
+    return sorted(found, reverse=True)
+
+
+def fit(patterns: list[tuple[int, ...]], counts: np.ndarray, capacity: int) -> np.ndarray:
+    """Repeat counts x >= 0 with the least squared error of (pattern lengths) x against ``counts``.
+
+    The unused tokens of a pattern weigh in as an error of their part of a sequence, and fuller patterns
+    come first, so others take only what those leave.
+    """
     left, x = counts.astype(float).copy(), np.zeros(len(patterns))
+    slack = [1 - sum(p) / capacity for p in patterns]
     uses = [np.unique(p, return_counts=True) for p in patterns]
+    most = [float((counts[lengths] // times).min()) for lengths, times in uses]  # a rare length bounds its patterns
+    order = sorted(range(len(patterns)), key=slack.__getitem__)
     for _ in range(SWEEPS):
         moved = 0.0
-        for j, (lengths, times) in enumerate(uses):
-            step = max(-x[j], float(left[lengths] @ times) / float(times @ times))
+        for j in order:
+            lengths, times = uses[j]
+            step = (float(left[lengths] @ times) - slack[j]) / float(times @ times)
+            step = min(max(step, -x[j]), most[j] - x[j])
             if step:
                 x[j] += step
                 left[lengths] -= step * times
@@ -174,15 +204,26 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], in
 
 
 def plan_patterns(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns and how often each is used; together they hold every piece exactly once."""
-    left, plan = counts.copy(), []
+    """Patterns and how often each is used; together they hold every piece exactly once.
+
+    Plain best fit of all pieces is computed too, and returned if it needs fewer sequences.
+    """
+    left, used = counts.copy(), {}
     patterns = patterns_of(counts, capacity)
-    for pattern, x in sorted(zip(patterns, fit(patterns, counts), strict=True), key=lambda p: -p[1]):
-        lengths, times = np.unique(pattern, return_counts=True)
-        repeat = min(int(x), int((left[lengths] // times).min()))
-        if repeat:
-            plan.append((pattern, repeat))
-            left[lengths] -= repeat * times
+    fitted = sorted(zip(patterns, fit(patterns, counts, capacity), strict=True), key=lambda p: -p[1])
+    # Rounded down at first; then full ones up, by the largest remainders, as far as there are pieces left.
+    for up in (0, 1):
+        for pattern, x in fitted if not up else sorted(fitted, key=lambda p: int(p[1]) - p[1]):
+            if up and x == int(x):
+                break
+            if up and sum(pattern) < capacity:
+                continue
+            lengths, times = np.unique(pattern, return_counts=True)
+            repeat = min(1 if up else int(x), int((left[lengths] // times).min()))
+            if repeat:
+                used[pattern] = used.get(pattern, 0) + repeat
+                left[lengths] -= repeat * times
+    plan = list(used.items())
     plan += _best_fit(left, capacity)
     plain = _best_fit(counts, capacity)
     return min(plan, plain, key=lambda p: sum(times for _, times in p))

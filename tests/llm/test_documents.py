@@ -291,6 +291,32 @@ def test_plan_holds_every_piece_once(seed):
     assert sum(m for m in table[:, 2]) == sum(len(p) for p, _ in plan)
 
 
+@pytest.mark.parametrize(
+    "lengths, most",
+    [({900: 60_000, 550: 120_000}, 60_000), ({900: 1001, 550: 2002}, 1001), ({700: 9000, 640: 9000}, 6000),
+     ({2048: 5, 1: 3}, 6), ({600: 3000}, 1000), ({1024: 7}, 4), ({1500: 10, 500: 10, 40: 10}, 10)],
+)
+def test_plan_of_lengths_that_fill_no_sequence(lengths, most):
+    counts = np.zeros(2049, np.int64)
+    counts[list(lengths)] = list(lengths.values())
+    plan = packing.plan_patterns(counts, 2048)
+    held = np.zeros_like(counts)
+    for pattern, times in plan:
+        assert sum(pattern) <= 2048 and times > 0
+        np.add.at(held, list(pattern), times)
+    assert (held == counts).all()
+    assert sum(times for _, times in plan) <= most * 1.001 + 2
+
+
+def test_plan_of_hot_lengths_among_many():
+    r = np.random.default_rng(0)
+    rare = r.integers(1, 2049, 20_000)
+    counts = np.bincount(np.r_[np.full(60_000, 900), np.full(120_000, 550), rare], minlength=2049)
+    plan = packing.plan_patterns(counts, 2048)
+    # Best fit alone needs 17 % more sequences than the tokens would fill.
+    assert sum(times for _, times in plan) * 2048 <= 1.05 * (counts @ np.arange(2049))
+
+
 # ---- quality ----------------------------------------------------------------------
 def counts_by_hand(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
