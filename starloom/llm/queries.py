@@ -16,6 +16,9 @@ from starloom.llm import (
     packing,
     pii,
     quality,
+    spelling,
+    token_files,
+    turn_repair,
     url_graph,
     warc,
 )
@@ -259,3 +262,169 @@ SELECT doc_id, count(*) AS n_lines,
 FROM keyed LEFT JOIN shared USING (key)
 GROUP BY doc_id
 """
+
+
+@query
+def op11_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    base = scratch_path(spark, "ids")
+    files, index = f"{base}/files", f"{base}/index"
+    token_files.write_files(docs, files)
+    kind = docs.schema["doc_id"].dataType
+    token_files.build_index(token_files.placed_documents(spark, files, kind), index)
+    return token_files.keyed_digests(spark, files, index, docs, "doc_id")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_damaged(table(spark, folder, "conversations"))
+
+
+def crc32_sql(text: str) -> str:
+    """The CRC-32 of a text's UTF-8, a bit at a time."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), CAST(1 + j // 4 AS BIGINT), 2) AS BIGINT)"
+    bits = f"list_transform(range(0, 8 * strlen({text})), lambda j: CASE WHEN j % 8 = 0 THEN {byte} ELSE 0 END)"
+    fold = "lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {bits}), {fold}), 4294967295)"
+
+
+def _state(cost: str, audit: str, lines: str) -> str:
+    return f"{{'c': CAST({cost} AS BIGINT), 'p': {audit}, 'l': {lines}}}"
+
+
+def _edit(state: str, letter: str, cost: str, line: str | None = None) -> str:
+    lines = f"list_append(q.{state}.l, {line})" if line else f"q.{state}.l"
+    return _state(f"q.{state}.c + {cost}", f"q.{state}.p || '{letter}'", lines)
+
+
+def _repair_sql() -> str:
+    """One fold over a conversation's rows: per state the least cost, then the least audit."""
+    cut = "CASE w.k WHEN 3 THEN 1 ELSE 0 END"
+    usable, never = "w.k IN (0, 3)", "1000000000"
+
+    def when(test: str) -> str:
+        return f"CASE WHEN {usable} AND {test} THEN {cut} ELSE {never} END"
+
+    def step(**new: list[str]) -> str:
+        parts = [f"'{n}': " + (f"list_min([{', '.join(new[n])}])" if n in new else f"q.{n}") for n in "esua"]
+        return "{" + ", ".join(parts) + ", 'k': w.k, 'r': w.r, 'x': w.x}"
+
+    own, first = "w.r || ':' || w.x", "left(w.r, 1)"
+    added = {"u": [_edit(n, "I", "2", "'user:'") for n in "esa"], "a": [_edit("u", "I", "2", "'assistant:'")]}
+    rows = step(
+        e=[_edit("e", "D", "3")],
+        s=[_edit("s", "D", "3"), _edit("e", "K", when(f"{first} = 's'"), own)],
+        u=[
+            _edit("u", "D", "3"),
+            *[_edit(n, "K", when(f"{first} = 'u'"), own) for n in "esa"],
+            *[_edit(n, "R", "2 + " + when("true"), "'user:' || w.x") for n in "esa"],
+        ],
+        a=[
+            _edit("a", "D", "3"),
+            _edit("u", "K", when(f"{first} = 'a'"), own),
+            _edit("u", "R", "2 + " + when("true"), "'assistant:' || w.x"),
+        ],
+    )
+    fold = (
+        f"CASE w.k WHEN 8 THEN {step(u=['q.u', *added['u']])}"
+        f" WHEN 9 THEN {step(a=['q.a', *added['a']])} ELSE {rows} END"
+    )
+    nothing = "CAST([] AS VARCHAR[])"
+    start, closed = _state("0", "''", nothing), _state(never, "''", nothing)
+
+    def element(k: str, r: str, x: str) -> str:
+        return f"{{'e': {start}, 's': {closed}, 'u': {closed}, 'a': {closed}, 'k': CAST({k} AS INT), 'r': {r}, 'x': {x}}}"
+
+    key = crc32_sql("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")
+    return rf"""
+WITH marked AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {key} % 20 AS kind
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM marked WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos
+    FROM damaged
+), judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
+        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+    FROM placed
+), steps AS (
+    SELECT conv_id, pos, 1 AS part, 8 AS k, '' AS r, '' AS x FROM judged
+    UNION ALL SELECT conv_id, pos, 2, 9, '', '' FROM judged
+    UNION ALL SELECT conv_id, pos, 3, fault, role, text FROM judged
+    UNION ALL SELECT DISTINCT conv_id, 1000000000, 1, 8, '', '' FROM judged
+    UNION ALL SELECT DISTINCT conv_id, 1000000000, 2, 9, '', '' FROM judged
+), folded AS (
+    SELECT conv_id, list_reduce(list_concat([{element("0", "''", "''")}],
+        list({element("k", "r", "x")} ORDER BY pos, part)), lambda q, w: {fold}) AS q
+    FROM steps GROUP BY conv_id
+), best AS (
+    SELECT conv_id, list_min([q.e, q.a]) AS q FROM folded
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+        count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(q.c, 0) AS cost,
+    coalesce(q.p, '') AS audit, sha256(coalesce(array_to_string(q.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS i
+LEFT JOIN counted AS c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN best AS b ON b.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+
+ORACLES["op12_conversation_repair"] = _repair_sql()
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.count_words(table(spark, folder, "documents"))
+    return spelling.group_spellings(words)
+
+
+ORACLES["op13_spelling_variants"] = rf"""
+WITH RECURSIVE found AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM found WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+    SELECT *, {crc32_sql("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM runs
+), words AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+        CAST(sum(n) AS BIGINT) AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+), cut AS (
+    SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words
+), replaced AS (
+    SELECT word, left(word, i - 1) || '*' || substr(word, i + 1) AS pattern FROM cut
+), shorter AS (
+    SELECT DISTINCT c.word AS long, w.word AS short
+    FROM cut AS c JOIN words AS w ON w.word = left(c.word, c.i - 1) || substr(c.word, c.i + 1)
+), near AS (
+    SELECT DISTINCT a.word, b.word AS form FROM replaced AS a JOIN replaced AS b USING (pattern) WHERE a.word <> b.word
+    UNION ALL SELECT long, short FROM shorter UNION ALL SELECT short, long FROM shorter
+), ranked AS (
+    SELECT near.word, form, f.n AS form_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+        row_number() OVER (PARTITION BY near.word ORDER BY f.n DESC, form) AS place
+    FROM near JOIN words AS f ON f.word = form
+), judged AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form,
+        CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+    FROM words AS w LEFT JOIN ranked AS r ON r.word = w.word AND place = 1
+), chain AS (
+    SELECT word, word AS root FROM judged
+    UNION ALL SELECT c.word, j.form FROM chain AS c JOIN judged AS j ON j.word = c.root WHERE j.form IS NOT NULL
+)
+SELECT j.word, j.form, c.root, j.n, j.n_near, j.form_n
+FROM judged AS j JOIN chain AS c USING (word) JOIN judged AS e ON e.word = c.root AND e.form IS NULL
+"""
