@@ -98,8 +98,9 @@ class WordEncoder:
         try:
             return b"".join([memo[run] for run in runs])
         except KeyError:
-            for run in set(runs) - memo.keys():
-                memo[run] = self._ids(run)
+            for run in set(runs):
+                if run not in memo:
+                    memo[run] = self._ids(run)
             return b"".join([memo[run] for run in runs])
 
 
