@@ -43,8 +43,8 @@ BUCKET = 8192
 SPARE = 1.5
 REMEMBERED = 1 << 18
 #: What the vocabulary's splitter takes as one piece, for texts of PLAIN signs.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
-PLAIN = re.compile("[\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n")
+PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 SPACES = re.compile("[ \t\n\r]+")
 
 
@@ -59,7 +59,7 @@ class WordEncoder:
     """Ids of texts by a vocabulary with word ends, as little-endian unsigned 16-bit numbers.
 
     ``tokenizers`` defines the ids. White space separates pieces and is dropped, so each run of other
-    signs is encoded once and remembered, up to a bound. Runs of plain Latin letters
+    signs is encoded once and remembered, up to a bound. Texts of plain Latin letters
     take the same merges through ``tiktoken``, the word's end written as a zero byte; the others, and
     those that hold a special token, ``tokenizers`` itself.
     """
@@ -82,26 +82,36 @@ class WordEncoder:
         self.fast = tiktoken.Encoding(
             "words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}
         )
+        self.line = ranks[b"\n\0"]
         self.memo: dict[str, bytes] = {"": b""}
 
-    def _ids(self, run: str) -> bytes:
-        if PLAIN.fullmatch(run) and not any(s in run for s in self.special):
-            ids = self.fast.encode_ordinary("\0".join(PIECES.findall(run.lower())) + "\0")
-        else:
-            ids = self.exact.encode(run, add_special_tokens=False).ids
-        return np.array(ids, "<u2").tobytes()
+    def _exact(self, run: str) -> bytes:
+        return np.array(self.exact.encode(run, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def _plain(self, runs: list[str]) -> Iterator[bytes]:
+        """Ids of each run, all encoded at once with line ends between them, which no run holds."""
+        pieces = PIECES.findall("\n".join(runs).lower())
+        ids = np.array(self.fast.encode_ordinary("\0".join(pieces) + "\0"), "<u2")
+        body, start = ids.tobytes(), 0
+        for end in [*np.flatnonzero(ids == self.line).tolist(), ids.size]:
+            yield body[2 * start : 2 * end]
+            start = end + 1
 
     def __call__(self, text: str) -> bytes:
-        runs, memo = SPACES.split(text), self.memo
-        if len(memo) > REMEMBERED:
-            memo = self.memo = {"": b""}
+        runs = SPACES.split(text)
+        if len(self.memo) > REMEMBERED:
+            self.memo = {"": b""}
+        memo = self.memo
         try:
             return b"".join([memo[run] for run in runs])
         except KeyError:
-            for run in set(runs):
-                if run not in memo:
-                    memo[run] = self._ids(run)
-            return b"".join([memo[run] for run in runs])
+            missing = [run for run in set(runs) if run not in memo]
+        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            memo.update(zip(missing, self._plain(missing), strict=True))
+        else:
+            for run in missing:
+                memo[run] = self._exact(run)
+        return b"".join([memo[run] for run in runs])
 
 
 def write_files(
