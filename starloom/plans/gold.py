@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom import contracts, rules
 from starloom.functions.dates import date_key, day_type
+from starloom.operators.lasting import LastingKeys, extend_keys, with_lasting_key
 from starloom.operators.lookup import lookup_join, one_per_key
 from starloom.operators.ranking import dense_key
 from starloom.operators.skew import HotKeys, hot_keys, is_small
@@ -105,11 +106,21 @@ def dim_time(scans: DataFrame, matches: DataFrame, at: Column | None = None) ->
     )
 
 
-def dim_fan(scans: DataFrame, at: Column | None = None) -> DataFrame:
-    """Identified fans numbered 1..n by fan id, and the anonymous fan as number 0."""
+def dim_fan(
+    scans: DataFrame, at: Column | None = None, lasting: LastingKeys | None = None
+) -> DataFrame:
+    """Identified fans numbered 1..n by fan id, and the anonymous fan as number 0.
+
+    With ``lasting``, fans keep the numbers that earlier runs gave them, those no longer
+    scanned included, and new ones follow.
+    """
     valid = (F.col("fan_id") != rules.ANONYMOUS_FAN) & F.col("is_fan_id_valid")
     fans = scans.filter(valid).select("fan_id").distinct()
-    keyed = dense_key(fans, ["fan_id"], "fan_key", unique=True)
+    if lasting is None:
+        keyed = dense_key(fans, ["fan_id"], "fan_key", unique=True)
+    else:
+        path = lasting.path("fan")
+        keyed = extend_keys(scans.sparkSession, fans, path, ["fan_id"], "fan_key", lasting.run)
     category, kind = rules.IDENTIFIED_FAN
     identified = keyed.select(
         F.col("fan_key").cast("bigint").alias("fan_key"),
@@ -188,9 +199,13 @@ def fact_ticket_scan(
     at: Column | None = None,
     strict: bool = False,
     small_matches: bool | None = None,
+    lasting: LastingKeys | None = None,
 ) -> DataFrame:
     """The fact: six foreign keys and a surrogate key 1..n by ticket and time.
 
+    With ``lasting``, a ticket's scan keeps the key that an earlier run gave it, whatever
+    has been added since, and new ones follow.
+
     ``scans`` may carry the stored row id of ``materialize`` as ``__row_id``, which saves
     storing them a second time. Oversize groups are looked for in them, not in what is
     already joined.
@@ -202,7 +217,12 @@ def fact_ticket_scan(
     linked = link_fans(teams, fans, small_fans, hot_fans)
     rows = fact_rows(linked)
     row_id = ROW_ID if ROW_ID in rows.columns else None
-    keyed = dense_key(rows, ["ticket_id", "scan_timestamp"], "ticket_scan_key", row_id)
+    order, key = ["ticket_id", "scan_timestamp"], "ticket_scan_key"
+    if lasting is None:
+        keyed = dense_key(rows, order, key, row_id)
+    else:
+        rows = rows.drop(ROW_ID)
+        keyed = with_lasting_key(scans.sparkSession, rows, lasting.path("scan"), order, key, lasting.run)
     return keyed.withColumn("load_ts", _load_ts(at)).select(*contracts.FACT_TICKET_SCAN.names)
 
 
@@ -213,24 +233,27 @@ def with_unknown_member(dim: DataFrame, key: str) -> DataFrame:
 
 
 def build_star(
-    silver: dict[str, DataFrame], at: Column | None = None, policy: ScanPolicy | None = None
+    silver: dict[str, DataFrame],
+    at: Column | None = None,
+    policy: ScanPolicy | None = None,
+    lasting: LastingKeys | None = None,
 ) -> dict[str, DataFrame]:
     """All gold tables from the silver ones: scans, matches, stadiums, teams, cities.
 
-    The policy says whether lookup keys that two rows share raise instead of taking the
+    ``lasting`` keeps surrogate keys from run to run. The policy says whether lookup keys that two rows share raise instead of taking the
     smallest, and whether dimensions get an unknown member.
     """
     policy = policy or ScanPolicy()
     strict = policy.strict_lookups
     scans, matches = silver["scans"], silver["matches"]
-    fans = dim_fan(scans, at)
+    fans = dim_fan(scans, at, lasting)
     star = {
         "dim_stadium": dim_stadium(silver["stadiums"], silver["cities"], at, strict),
         "dim_team": dim_team(silver["teams"], at),
         "dim_match": dim_match(matches, silver["stadiums"], silver["teams"], at, strict),
         "dim_time": dim_time(scans, matches, at),
         "dim_fan": fans,
-        "fact_ticket_scan": fact_ticket_scan(scans, matches, fans, at, strict),
+        "fact_ticket_scan": fact_ticket_scan(scans, matches, fans, at, strict, lasting=lasting),
     }
     if policy.unknown_members:
         for name, key in (("dim_stadium", "stadium_key"), ("dim_team", "team_key"), ("dim_match", "match_key")):

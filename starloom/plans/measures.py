@@ -93,6 +93,37 @@ def fill_rates(
     return grouped.withColumn("fill_rate", rate)
 
 
+def fill_rate_slices(
+    fact: DataFrame,
+    star: Mapping[str, DataFrame],
+    slices: Sequence[Sequence[str]],
+    attributes: Mapping[str, tuple[str, str]] | None = None,
+    where: Column | None = None,
+) -> DataFrame:
+    """Tickets, capacity and fill rate for several groupings in one pass over the fact.
+
+    ``slices`` lists the groupings, by fact columns or names in ``attributes``; an empty one is the
+    total. A row has NULL in the columns its grouping lacks, and ``slice``, the grouping id over
+    all columns in order of first mention, tells these from NULLs of the data. The fact is aggregated once
+    to the keys that all groupings together need, then each of those rows counts in every grouping.
+    """
+    attributes = dict(attributes or {})
+    columns = list(dict.fromkeys(c for one in slices for c in one))
+    if where is not None:
+        fact = fact.filter(where)
+    by = [c for c in columns if c not in attributes]
+    fact_keys = [ROLES[role][1] for role, _ in attributes.values()]
+    counted = tickets(fact, *dict.fromkeys([*by, *fact_keys, "stadium_key"]))
+    seats = {"seating_capacity": ("dim_stadium", "seating_capacity")}
+    described = with_attributes(counted, star, {**attributes, **seats}, HotKeys())
+    grouped = described.groupingSets([[F.col(c) for c in one] for one in slices], *columns).agg(
+        F.grouping_id().alias("slice"),
+        F.sum("tickets").alias("tickets"),
+        F.max("seating_capacity").alias("capacity"),
+    )
+    return grouped.withColumn("fill_rate", safe_divide(F.col("tickets"), F.col("capacity")))
+
+
 def distinct_tickets(fact: DataFrame, *by: str, count_null: bool = False) -> DataFrame:
     """Distinct ticket ids per group; ``count_null`` counts a missing id as one more."""
     found = F.count_distinct("ticket_id")

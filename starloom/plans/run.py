@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import contracts
+from starloom.operators.lasting import LastingKeys
 from starloom.operators.profile import observed
 from starloom.plans import gold, silver_dims
 from starloom.plans import silver_scans as scans_plan
 from starloom.rules import ACCEPTED, ScanPolicy
 from starloom.session import materialize, removing_intermediates
 from starloom.sources.readers import read_table
-from starloom.sources.writers import register_tables, write_table
+from starloom.sources.writers import append_run, register_tables, write_table
 
 DIMENSIONS = ("stadiums", "teams", "cities", "matches")
 CLEANERS = {
@@ -52,11 +53,13 @@ def run_scans(
     layout: Layout,
     policy: ScanPolicy | None = None,
     at: Column | None = None,
+    run: str | None = None,
 ) -> dict[str, int]:
     """Classify all scans in one pass, then store the audit and the silver scans from it.
 
     The classified rows are stored once. Whatever is read from them afterwards agrees on
-    which of several rows was the first, and a lost executor costs a re-read.
+    which of several rows was the first, and a lost executor costs a re-read. A named ``run``
+    adds its audit to those of other runs, in place of what it added before.
     """
     policy = policy or ScanPolicy()
     classified, seen = observed(
@@ -69,12 +72,9 @@ def run_scans(
     )
     stored = materialize(classified, "classified")
     metrics = dict(seen.get)
-    metrics["audit"] = write_table(
-        scans_plan.audit_of(stored, at),
-        layout.path("audit", "rejected_scans"),
-        fmt=layout.fmt,
-        partition_by=["audit_table"],
-    )
+    audit, kept = scans_plan.audit_of(stored, at), layout.path("audit", "rejected_scans")
+    how = {"fmt": layout.fmt, "partition_by": ["audit_table"]}
+    metrics["audit"] = write_table(audit, kept, **how) if run is None else append_run(audit, kept, run, **how)
     accepted = scans_plan.accepted_of(stored)
     metrics["scan_quality"] = write_table(
         accepted.select(F.col("ticket_id_fixed").alias("ticket_id"), *scans_plan.QUALITY),
@@ -93,14 +93,19 @@ def run_gold(
     layout: Layout,
     at: Column | None = None,
     policy: ScanPolicy | None = None,
+    run: str | None = None,
 ) -> dict[str, int]:
-    """Build and store the star from the stored silver tables."""
+    """Build and store the star from the stored silver tables.
+
+    A named ``run`` keeps the surrogate keys of earlier runs and only adds to them.
+    """
     silver = {
         name: read_table(spark, layout.path("silver", f"{name}_clean"), layout.fmt)
         for name in DIMENSIONS
     }
     silver["scans"] = read_table(spark, layout.path("silver", "ticket_scans_clean"), layout.fmt)
-    star = gold.build_star(silver, at, policy)
+    lasting = LastingKeys(f"{layout.base}/keys", run) if run else None
+    star = gold.build_star(silver, at, policy, lasting)
     return {
         name: write_table(
             contracts.assert_contract(table, contracts.GOLD[name]),
@@ -137,14 +142,16 @@ def run_all(
     layout: Layout,
     policy: ScanPolicy | None = None,
     at: Column | None = None,
+    run: str | None = None,
 ) -> dict[str, int]:
     """Bronze frames (scans and the four dimensions) to a stored star; returns row counts.
 
-    Tables stored on the way are removed once everything is written.
+    ``run`` names the run: its audit replaces only its own, and surrogate keys last from run
+    to run. Tables stored on the way are removed once everything is written.
     """
     with removing_intermediates(spark):
         counts = run_dimensions(raw, layout)
         matches = read_table(spark, layout.path("silver", "matches_clean"), layout.fmt)
-        counts.update(run_scans(raw["scans"], matches, layout, policy, at))
-        counts.update(run_gold(spark, layout, at, policy))
+        counts.update(run_scans(raw["scans"], matches, layout, policy, at, run))
+        counts.update(run_gold(spark, layout, at, policy, run))
     return counts

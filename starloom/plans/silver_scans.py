@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from starloom import contracts, rules
 from starloom.functions import checks, repair, text
 from starloom.operators import profile
+from starloom.operators.asof import asof_join
 from starloom.operators.lookup import fill_from_lookup
 from starloom.operators.quarantine import Split, id_reasons, outcome, split, stamp
 from starloom.operators.ranking import keep_first, rank_rows
@@ -396,6 +397,29 @@ def fill_match_ids(
     return fill_from_lookup(scans, played, on, "match_id", "match_id", small, hot, strict)
 
 
+def fill_nearest_match_ids(
+    scans: DataFrame, matches: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
+    """Fill a missing match id with that match at the stadium on the scan's day whose kick-off is
+    nearest to the scan: the earlier of two equally near, the smallest id of several at one time.
+
+    A match without a kick-off counts as played at the beginning of its day.
+    """
+    played = matches.select(
+        "stadium_id",
+        F.to_date("match_date").alias("match_day"),
+        F.coalesce(F.col("match_datetime").cast("timestamp"), F.col("match_date").cast("timestamp")).alias("__kick_off"),
+        F.col("match_id").alias("__found_id"),
+    )
+    on = {"stadium_id": F.col("stadium_id"), "match_day": F.to_date("scan_timestamp")}
+    joined = asof_join(
+        scans, played, on, F.col("scan_timestamp"), "__kick_off", ["__found_id"],
+        needed=F.col("match_id").isNull(), hot=hot,
+    )
+    filled = F.coalesce("match_id", "__found_id").alias("match_id")
+    return joined.select(*[filled if c == "match_id" else F.col(f"`{c}`") for c in scans.columns])
+
+
 def fill_stadium_ids(
     scans: DataFrame,
     matches: DataFrame,
@@ -451,10 +475,13 @@ def enrich_scans(
         )
     if small is None:
         small = lookup_is_small(matches)
-    if not small and skew is None:
+    if (not small or policy.nearest_match) and skew is None:
         skew = fill_skew(cleaned)
     skew = skew or FillSkew()
-    filled = fill_match_ids(short_names(cleaned), matches, small, skew.stadium_day, strict)
+    if policy.nearest_match:
+        filled = fill_nearest_match_ids(short_names(cleaned), matches, skew.stadium_day)
+    else:
+        filled = fill_match_ids(short_names(cleaned), matches, small, skew.stadium_day, strict)
     filled = fill_stadium_ids(filled, matches, small, skew.match, strict)
     renamed = filled.withColumnsRenamed(
         {

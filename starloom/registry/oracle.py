@@ -613,6 +613,57 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+# ---- runs that add to earlier ones, matches by time, several groupings at once --------
+EARLY = "scan_timestamp < TIMESTAMP '1995-06-01'"
+LASTING = f"""
+early_fans AS (SELECT DISTINCT fan_id FROM silver WHERE fan_id <> 'N/A' AND is_fan_id_valid AND {EARLY}),
+lasting_fans AS (
+ SELECT fan_id, CASE WHEN fan_key=0 THEN 0 ELSE row_number() OVER (ORDER BY fan_key=0, late, fan_id) END AS fan_key,
+        CASE WHEN fan_key=0 THEN NULL WHEN late THEN 'second' ELSE 'first' END AS run_id
+ FROM (SELECT *, fan_id NOT IN (SELECT fan_id FROM early_fans) AS late FROM d_fan))
+"""
+ORACLES["lasting_fan_keys"] = _sql("SELECT * FROM lasting_fans", CHAIN, DIMS, FILLED, GOLD, LASTING)
+ORACLES["lasting_scan_keys"] = _sql(
+    f"""SELECT row_number() OVER (ORDER BY NOT coalesce({EARLY}, false), ticket_id NULLS FIRST,
+    scan_timestamp NULLS FIRST, l.fan_key, match_key, stadium_key, date_key, home_team_key, away_team_key,
+    ticket_category NULLS FIRST, ticket_price_mad NULLS FIRST, purchase_channel, scan_status, entry_gate)
+    AS ticket_scan_key, ticket_id, scan_timestamp, l.fan_key
+    FROM f_rows f JOIN d_fan d ON f.fan_key=d.fan_key JOIN lasting_fans l ON d.fan_id=l.fan_id""",
+    CHAIN, DIMS, FILLED, GOLD, LASTING,
+)
+ORACLES["nearest_match_enrichment"] = _sql(
+    """SELECT ticket_id, fan_id, coalesce(match_id, CASE WHEN later IS NULL OR since <= ahead THEN earlier
+        ELSE later END) AS match_id, stadium_id, scan_timestamp
+    FROM (SELECT t.*, b.match_id AS earlier, n.match_id AS later,
+            epoch_us(t.scan_timestamp) - epoch_us(b.match_datetime) AS since,
+            epoch_us(n.match_datetime) - epoch_us(t.scan_timestamp) AS ahead
+        FROM (SELECT *, CAST(scan_timestamp AS DATE) AS scan_day FROM accepted) t
+        ASOF LEFT JOIN kick_offs b ON t.stadium_id=b.stadium_id AND t.scan_day=b.match_date
+            AND t.scan_timestamp >= b.match_datetime
+        ASOF LEFT JOIN kick_offs n ON t.stadium_id=n.stadium_id AND t.scan_day=n.match_date
+            AND t.scan_timestamp <= n.match_datetime)""",
+    CHAIN, DIMS,
+    """kick_offs AS (SELECT stadium_id, match_date, match_datetime, min(match_id) AS match_id
+        FROM match_clean GROUP BY ALL)""",
+)
+ORACLES["nearest_match_salted"] = ORACLES["nearest_match_enrichment"]
+ORACLES["fill_rate_slices"] = _sql(
+    f"""SELECT stadium_key, purchase_channel, stage,
+    CAST(GROUPING_ID(stadium_key, purchase_channel, stage) AS BIGINT) AS slice, {RATE}
+    FROM (SELECT f.*, m.stage FROM fact_seats f LEFT JOIN d_match m ON f.match_key=m.match_key)
+    GROUP BY GROUPING SETS ((stadium_key), (purchase_channel), (stage), (purchase_channel, stage), ())""",
+    CHAIN, DIMS, FILLED, GOLD,
+)
+ORACLES["repeated_append_audit"] = _sql(
+    f"""SELECT {SCAN_LIST}, ticket_id_fixed, {TICKET_TABLE}, NULL::VARCHAR AS fan_id_fixed, 'tickets' AS run_id
+    FROM known_judged WHERE ticket_id_valide IS NOT TRUE
+    UNION ALL SELECT {SCAN_LIST}, ticket_id_fixed, {FAN_TABLE}, fan_id_fixed, 'fans' FROM good_fans
+    WHERE fan_id_valide IS NOT TRUE""",
+    KNOWN,
+    "good AS (SELECT * FROM known_judged WHERE ticket_id_valide)",
+    f"good_fans AS ({_fan_rules('good')})",
+)
+
 # Other physical paths to the same rows.
 ORACLES["ticket_duplicate_audit_split"] = ORACLES["ticket_duplicate_audit"]
 ORACLES["match_enrichment_salted"] = ORACLES["match_enrichment"]

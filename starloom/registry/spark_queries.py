@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 from starloom import contracts, rules
 from starloom.functions.numbers import percent
 from starloom.operators import profile
+from starloom.operators.lasting import LastingKeys
 from starloom.operators.lookup import duplicate_keys
 from starloom.operators.quarantine import stamp
 from starloom.operators.ranking import dense_key
-from starloom.operators.skew import gather
+from starloom.operators.skew import gather, hot_keys
 from starloom.plans import gold, measures, silver_dims
 from starloom.plans import run as full_run
 from starloom.plans import silver_scans as plan
@@ -427,6 +428,24 @@ def lookup_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_keys(played, ["stadium_id", "match_date"])
 
 
+@query
+def nearest_match_enrichment(spark: SparkSession, folder: str) -> DataFrame:
+    """Missing match ids from the match whose kick-off is nearest to the scan."""
+    before = plan.short_names(cleaned(spark, folder))
+    filled = plan.fill_nearest_match_ids(before, stored_matches(spark, folder))
+    return filled.select("ticket_id", "fan_id", "match_id", "stadium_id", "scan_timestamp")
+
+
+@query
+def nearest_match_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with stadium days of more than two scans dealt over copies of their matches."""
+    before = materialize(plan.short_names(cleaned(spark, folder)), "cleaned")
+    day = [F.col("stadium_id"), F.to_date("scan_timestamp")]
+    hot = hot_keys(before, day, where=F.col("match_id").isNull(), group_rows=2, sample=1.0)
+    filled = plan.fill_nearest_match_ids(before, stored_matches(spark, folder), hot)
+    return filled.select("ticket_id", "fan_id", "match_id", "stadium_id", "scan_timestamp")
+
+
 @query
 def match_enrichment_delta(spark: SparkSession, folder: str) -> DataFrame:
     """Missing match ids before and after, counted in one pass over the filled rows."""
@@ -519,6 +538,36 @@ def fact_orphans(spark: SparkSession, folder: str) -> DataFrame:
     return profile.orphans(star["fact"], {key: (star[dim], dim_key) for dim, key, dim_key in roles})
 
 
+#: Scans before this day make the first of two runs, all scans the second.
+FIRST_RUN_END = "1995-06-01"
+
+
+@query
+def lasting_fan_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Fan keys after two runs on growing input, and the run that gave each."""
+    scans_clean = materialize(silver(spark, folder), "silver")
+    path = scratch_path(spark, "keys")
+    early = scans_clean.filter(F.col("scan_timestamp") < F.lit(FIRST_RUN_END).cast("timestamp"))
+    for run, part in (("first", early), ("second", scans_clean)):
+        fans = gold.dim_fan(part, lasting=LastingKeys(path, run))
+    given = spark.read.parquet(f"{path}/fan").select("fan_key", "run_id")
+    return fans.join(given, "fan_key", "left").select("fan_id", "fan_key", "run_id")
+
+
+@query
+def lasting_scan_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of the fact after two runs on growing input."""
+    matches = stored_matches(spark, folder)
+    scans_clean = materialize(silver(spark, folder, matches), "silver")
+    path, small = scratch_path(spark, "keys"), plan.lookup_is_small(matches)
+    early = scans_clean.filter(F.col("scan_timestamp") < F.lit(FIRST_RUN_END).cast("timestamp"))
+    for run, part in (("first", early), ("second", scans_clean)):
+        lasting = LastingKeys(path, run)
+        fans = gold.dim_fan(part, lasting=lasting)
+        fact = gold.fact_ticket_scan(part, matches, fans, small_matches=small, lasting=lasting)
+    return zoneless(fact.select("ticket_scan_key", "ticket_id", "scan_timestamp", "fan_key"), "scan_timestamp")
+
+
 @query
 def dense_key_scaled(spark: SparkSession, folder: str) -> DataFrame:
     orders = Scenario(spark, folder).table("orders").select("o_orderpriority", "o_orderkey")
@@ -563,6 +612,16 @@ def fill_rate_by_stage(spark: SparkSession, folder: str) -> DataFrame:
     return measures.fill_rates(unkeyed_fact(spark, folder, matches), star, (), by, where=only)
 
 
+@query
+def fill_rate_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """The dashboard's groupings from one pass over the fact: stadium, channel, stage, both, total."""
+    matches = stored_matches(spark, folder)
+    star = {"dim_stadium": stadium_dim(spark, folder), "dim_match": match_dim(spark, folder, matches)}
+    slices = [["stadium_key"], ["purchase_channel"], ["stage"], ["purchase_channel", "stage"], []]
+    stage = {"stage": ("dim_match", "stage")}
+    return measures.fill_rate_slices(unkeyed_fact(spark, folder, matches), star, slices, stage)
+
+
 def _by_role(spark: SparkSession, folder: str, name: str, role: str, attribute: str) -> DataFrame:
     star = stored_star(spark, folder)
     return measures.fill_rates(star["fact"], star, (), {name: (role, attribute)})
@@ -670,6 +729,22 @@ def append_audit_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return writers.reconcile(readers.read_table(spark, path, merge_schema=True), written)
 
 
+@query
+def repeated_append_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs append their audits, the first again with fewer rows, and all is read back."""
+    path = scratch_path(spark, "audit")
+    known = materialize(scans(spark, folder).filter(F.col("ticket_id").isNotNull()), "known")
+    tickets = plan.ticket_split(known)
+    columns = [*plan.SCAN, "ticket_id_fixed", "audit_table"]
+    by = ["audit_table"]
+    writers.append_run(tickets.rejected.unionByName(tickets.rejected).select(*columns), path, "tickets", partition_by=by)
+    fans = plan.fan_split(tickets.accepted).rejected.select(*columns, "fan_id_fixed")
+    written = writers.append_run(fans, path, "fans", partition_by=by)
+    written += writers.append_run(tickets.rejected.select(*columns), path, "tickets", partition_by=by)
+    read = readers.read_table(spark, path, merge_schema=True, text_columns=["run_id"])
+    return writers.reconcile(read, written)
+
+
 @query
 def registered_star_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The full run: raw tables to a stored star in the catalog, counted from there."""

@@ -72,6 +72,8 @@ class ScanPolicy:
     dedup_after_repair: bool = False
     # Raise when two lookup rows share a key, instead of taking the smallest.
     strict_lookups: bool = False
+    # Of several matches at a stadium on a day, the one whose kick-off is nearest to the scan.
+    nearest_match: bool = False
     # Compare match and stadium ids without regard to case and outer spaces.
     normalize_keys: bool = False
     # Keep one entry per repaired fan id and match once missing matches are filled.

@@ -50,6 +50,13 @@ def removing_intermediates(spark: SparkSession) -> Iterator[None]:
             remove_intermediate(spark, path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.exists(target))
+
+
 def remove_intermediate(spark: SparkSession, path: str) -> bool:
     """Delete an intermediate dataset; refuses anything outside the work folder."""
     if not path.startswith(f"{work_folder(spark)}/") or ".." in path:
