@@ -24,6 +24,8 @@ from starloom.llm.common import batches_of, lower_bytes
 
 MAX_TRAIN = 4_000
 BUCKETS = 1 << 17
+#: Rows whose features a step of the descent works on at a time.
+BLOCK_ROWS = 128
 CHARS = (3, 5)
 #: A word tells toxicity if so many documents of the sample have it.
 MIN_SEEN = 10
@@ -132,28 +134,32 @@ def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends] - total[np.concatenate([[0], ends[:-1]])]
 
 
-def _descend(parts, y: np.ndarray, weight: np.ndarray, epochs: int, rate: float, sparse: float):
-    """Weighted logistic loss over parts (ends, buckets, values), by proximal Adam.
+def _descend(blocks, y: np.ndarray, weight: np.ndarray, epochs: int, rate: float, sparse: float):
+    """Weighted logistic loss over blocks of rows, each with its parts (ends, buckets, values), by
+    proximal Adam. Only one block at a time takes floats of double size.
 
     One weight vector a part, and the bias last. ``sparse`` is the l1 penalty of a weight.
     """
-    n = y.size
-    w = [np.zeros(BUCKETS) for _ in parts] + [np.zeros(1)]
+    parts = len(blocks[0])
+    w = [np.zeros(BUCKETS) for _ in range(parts)] + [np.zeros(1)]
     m, v = [x.copy() for x in w], [x.copy() for x in w]
-    owner = [np.repeat(np.arange(n, dtype=np.int32), np.diff(ends, prepend=0)) for ends, _, _ in parts]
+    weight = weight / weight.sum()
     for epoch in range(1, epochs + 1):
-        off = (1 / (1 + np.exp(-np.clip(_score(parts, w), -30, 30))) - y) * weight / weight.sum()
-        grads = [
-            np.bincount(at, off[own] * x, BUCKETS)
-            for (_, at, x), own in zip(parts, owner, strict=True)
-        ]
-        grads.append(np.array([off.sum()]))
+        grads, start = [np.zeros_like(x) for x in w], 0
+        for block in blocks:
+            score = _block_score(block, w)
+            rows = slice(start, start + score.size)
+            start += score.size
+            off = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y[rows]) * weight[rows]
+            for grad, (ends, at, x) in zip(grads, block, strict=False):
+                grad += np.bincount(at, np.repeat(off, np.diff(ends, prepend=0)) * x, BUCKETS)
+            grads[-1] += off.sum()
         for i, g in enumerate(grads):
             m[i] = 0.9 * m[i] + 0.1 * g
             v[i] = 0.99 * v[i] + 0.01 * g * g
             step = rate / (np.sqrt(v[i] / (1 - 0.99**epoch)) + 1e-7)
             moved = w[i] - step * m[i] / (1 - 0.9**epoch)
-            w[i] = np.sign(moved) * np.maximum(0, np.abs(moved) - step * sparse * (i < len(parts)))
+            w[i] = np.sign(moved) * np.maximum(0, np.abs(moved) - step * sparse * (i < parts))
     return w
 
 
@@ -174,46 +180,59 @@ def _calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(ab[1] - slope * middle)
 
 
-def _score(parts, w: list[np.ndarray]) -> np.ndarray:
-    score = np.full(parts[0][0].size, w[-1][0])
-    for (ends, at, x), one in zip(parts, w, strict=False):
+def _block_score(block, w: list[np.ndarray]) -> np.ndarray:
+    score = np.full(block[0][0].size, w[-1][0])
+    for (ends, at, x), one in zip(block, w, strict=False):
         score = score + _row_sums(one[at] * x, ends)
     return score
 
 
+def _score(blocks, w: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([_block_score(block, w) for block in blocks])
+
+
 def train_models(texts: list[str | None], good: np.ndarray, toxic: np.ndarray) -> tuple[Model, Model]:
     """Quality on shares of byte and word n-grams, toxicity on the presence of words and pairs.
 
     Where the labels do not differ, the usual answer stands: good, not toxic. Every fifth row
-    is held out of the descent and calibrates the score.
+    is held out of the descent and calibrates the score. Features are kept once, in blocks of
+    ``BLOCK_ROWS`` rows; both models go through them block by block.
     """
     reader = Reader()
-    words = [_shares(reader.words(t)) for t in texts]
-    chars = [_shares(reader.chars(t)) for t in texts]
     held = np.arange(len(texts)) % 5 == 4
     models = []
     fit, rest = np.flatnonzero(~held), np.flatnonzero(held)
-    seen = np.bincount(_stack([words[i] for i in fit])[1], minlength=BUCKETS)
 
     def shares(rows):
-        return [_stack([words[i] for i in rows]), _stack([chars[i] for i in rows])]
+        blocks = [rows[i : i + BLOCK_ROWS] for i in range(0, rows.size, BLOCK_ROWS)]
+        return [
+            [_stack([_shares(read(texts[i])) for i in block]) for read in (reader.words, reader.chars)]
+            for block in blocks
+        ]
+
+    fit_blocks, rest_blocks = shares(fit), shares(rest)
+    seen = np.zeros(BUCKETS, np.int64)
+    for (_, at, _), _ in fit_blocks:
+        seen += np.bincount(at, minlength=BUCKETS)
 
-    def presence(rows):
-        often = [words[i][0][seen[words[i][0]] >= MIN_SEEN] for i in rows]
-        return [_stack([(at, np.ones(at.size, np.float32)) for at in often])]
+    def presence(blocks):
+        for (ends, at, _), _ in blocks:
+            often = seen[at] >= MIN_SEEN
+            kept = np.concatenate([[0], np.cumsum(often)])[ends]
+            yield [(kept, at[often], np.ones(int(kept[-1]), np.float32))]
 
     none = np.zeros(BUCKETS)
     for y, parts, settings, usual in (
-        (good, shares, (60, 1.0, 0.0), 5.0),
-        (toxic, presence, (200, 0.1, 1e-4), -5.0),
+        (good, list, (60, 1.0, 0.0), 5.0),
+        (toxic, lambda blocks: list(presence(blocks)), (200, 0.1, 1e-4), -5.0),
     ):
         w, a, b = [none, none, np.zeros(1)], 1.0, usual
         if fit.size and 0 < y[fit].sum() < fit.size:
             yes = y[fit].mean()
             weight = np.where(y[fit] > 0, 0.5 / yes, 0.5 / (1 - yes))
-            w = _descend(parts(fit), y[fit].astype(float), weight, *settings)
+            w = _descend(parts(fit_blocks), y[fit].astype(float), weight, *settings)
             if rest.size:
-                a, b = _calibrate(_score(parts(rest), w), y[rest].astype(float))
+                a, b = _calibrate(_score(parts(rest_blocks), w), y[rest].astype(float))
             else:
                 b = 0.0
         two = w[1] if len(w) == 3 else none
