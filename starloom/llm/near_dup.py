@@ -192,7 +192,7 @@ def _open_rows(member: DataFrame, measured: DataFrame, labels: DataFrame, percen
     ``rows``: a row per value and member. ``slack`` and ``share`` are |d(x)| and twice the
     part of d(x) that another component has, both times 100 + percent, the former less what
     the sizes allow: x and y can be linked only if slack(x) + slack(y) <= min(share(x), share(y)).
-    ``told``: that part of d(x), element by element, with the number of members that have it.
+    ``told``: that part of d(x), its elements with the number of members that have each, rarest first.
     """
     has = F.col("delta").isNotNull()
     told = measured.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "away", "delta")
@@ -212,10 +212,10 @@ def _open_rows(member: DataFrame, measured: DataFrame, labels: DataFrame, percen
         F.min("label").alias("l0"), F.max("label").alias("l1"), F.count(F.lit(1)).alias("often")
     )
     common = common.filter("l0 <> l1").select("pivot", "e", "often")
-    told = materialize(told.drop("label").join(common, ["pivot", "e"]), "told")
-    share = told.groupBy("pivot", "cls").agg(
-        (F.count(F.lit(1)) * (2 * (100 + percent))).alias("share")
-    )
+    parts = F.sort_array(F.collect_list(F.struct("often", "e")))
+    told = told.drop("label").join(common, ["pivot", "e"]).groupBy("pivot", "cls").agg(parts.alias("parts"))
+    told = materialize(told, "told")
+    share = told.select("pivot", "cls", (F.size("parts").cast("long") * (2 * (100 + percent))).alias("share"))
     near = F.col("differ").isNotNull()
     slack = F.col("differ") * (100 + percent) - F.col("n") * (100 - percent)
     rows = open_.join(share, ["pivot", "cls"], "left").select(
@@ -312,10 +312,7 @@ def _across(
     own = member.join(seen.select("pivot", "cls"), ["pivot", "cls"]).groupBy("pivot", "cls").agg(
         F.collect_list("key").alias("own")
     )
-    parts = F.sort_array(F.collect_list(F.struct("often", "e")))
-    listed = told.join(seen.select("pivot", "cls", "overlap"), ["pivot", "cls"]).groupBy(
-        "pivot", "cls", "overlap"
-    ).agg(parts.alias("parts"))
+    listed = told.join(seen.select("pivot", "cls", "overlap"), ["pivot", "cls"])
     rarest = listed.filter("size(parts) >= overlap").select(
         "pivot", "cls", F.expr("slice(parts, 1, size(parts) - overlap + 1).e").alias("parts")
     )
