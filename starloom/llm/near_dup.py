@@ -144,19 +144,21 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size:
     return some.mapInArrow(build, "cls long, shingles array<long>")
 
 
-def _rare_first(classes: DataFrame, need: int) -> DataFrame:
-    """Classes that share at least ``need`` values with others; ``shared``: those, rarest first."""
+def _shared(classes: DataFrame) -> DataFrame:
+    """``cls, key, often``: every value of a class that others have, and how many classes do."""
     coordinate = F.col("at").cast("long") * F.lit(1 << 32) + F.col("value")
-    posted = classes.select("cls", "n", F.posexplode("sig").alias("at", "value")).select(
-        "cls", "n", coordinate.alias("key")
+    posted = classes.select("cls", F.posexplode("sig").alias("at", "value")).select(
+        "cls", coordinate.alias("key")
     )
     often = posted.groupBy("key").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    return (
-        posted.join(often, "key")
-        .groupBy("cls", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("shared"))
-        .filter(F.size("shared") >= need)
-    )
+    return posted.join(often, "key")
+
+
+def _rare_first(classes: DataFrame, need: int) -> DataFrame:
+    """Classes that share at least ``need`` values with others; ``shared``: those, rarest first."""
+    listed = F.sort_array(F.collect_list(F.struct("often", "key"))).alias("shared")
+    found = _shared(classes).groupBy("cls").agg(listed).filter(F.size("shared") >= need)
+    return found.join(classes.select("cls", "n"), "cls")
 
 
 def _agree(one: Column, two: Column) -> Column:
@@ -356,7 +358,8 @@ def _components_of(
     """``cls, component`` of every class that may be linked: the least id of its component."""
     need = needed(percent / 100)
     # Those dropped make values rare that they held; counting again drops more.
-    hopeful = materialize(_rare_first(classes, need).select("cls"), "hopeful")
+    counted = _shared(classes).groupBy("cls").agg(F.count(F.lit(1)).alias("values"))
+    hopeful = materialize(counted.filter(F.col("values") >= need).select("cls"), "hopeful")
     near = classes.join(hopeful, "cls", "left_semi")
     kept = materialize(
         _rare_first(near, need).select(
