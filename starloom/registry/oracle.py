@@ -664,6 +664,17 @@ ORACLES["repeated_append_audit"] = _sql(
     f"good_fans AS ({_fan_rules('good')})",
 )
 
+ORACLES["rescued_cells"] = _sql(
+    """SELECT ticket_id, fan_id, entry_gate,
+    CASE WHEN ticket_price_mad % 56 <> 0 THEN ticket_price_mad END AS ticket_price_mad,
+    CASE WHEN entry_time <> '18:07' THEN purchase_date END AS purchase_date,
+    'ticket_price_mad' AS "column", ticket_price_mad || ' MAD' AS value, 'does not convert' AS reason
+    FROM scan_raw WHERE ticket_price_mad % 56 = 0
+    UNION ALL SELECT ticket_id, fan_id, entry_gate,
+    CASE WHEN ticket_price_mad % 56 <> 0 THEN ticket_price_mad END, NULL, 'purchase_date', 'soon', 'does not convert'
+    FROM scan_raw WHERE entry_time = '18:07'"""
+)
+
 # Other physical paths to the same rows.
 ORACLES["ticket_duplicate_audit_split"] = ORACLES["ticket_duplicate_audit"]
 ORACLES["match_enrichment_salted"] = ORACLES["match_enrichment"]

@@ -700,11 +700,34 @@ def config_ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
     ).distinct()
     config.write.csv(f"{base}/config_csv", header=True)
     schema = _zoneless_contract(contracts.TICKET_SCANS)
-    entries = ingest.csv_entries(
-        spark, f"{base}/config_csv", f"{base}/landing", f"{base}/bronze", schema
+    ingest.land_csv(spark, f"{base}/config_csv", f"{base}/landing", f"{base}/bronze", schema)
+    return zoneless(readers.read_scans(spark, f"{base}/bronze"), "scan_timestamp")
+
+
+@query
+def rescued_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Text in landing files that is no price or no date: kept with its column and reason."""
+    base = scratch_path(spark, "rescue")
+    price, day = F.col("ticket_price_mad"), F.col("purchase_date")
+    text = scans(spark, folder).withColumns(
+        {
+            "ticket_price_mad": F.when(price % 56 == 0, F.concat(price, F.lit(" MAD"))).otherwise(price.cast("string")),
+            "purchase_date": F.when(F.col("entry_time") == "18:07", "soon").otherwise(day.cast("string")),
+            "site": F.col("entry_gate"),
+        }
+    )
+    (
+        gather(text, ["site"]).write.partitionBy("site")
+        .options(header=True, escape="\\", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(f"{base}/landing/scans")
     )
-    ingest.run(spark, entries)
-    return zoneless(readers.read_scans(spark, f"{base}/bronze/scans"), "scan_timestamp")
+    gates = lines(spark, folder).select("entry_gate").distinct()
+    config = gates.select(F.lit("scans").alias("folder_name"), F.concat(F.lit("site="), "entry_gate").alias("file_name"))
+    config.write.csv(f"{base}/config", header=True)
+    schema = _zoneless_contract(contracts.TICKET_SCANS)
+    ingest.land_csv(spark, f"{base}/config", f"{base}/landing", f"{base}/bronze", schema)
+    told = ingest.read_rescued(spark, f"{base}/bronze")
+    return told.select("ticket_id", "fan_id", "entry_gate", "ticket_price_mad", "purchase_date", "column", "value", "reason")
 
 
 @query

@@ -236,3 +236,58 @@ def test_intermediates_go_and_kept_ones_stay(spark):
     assert kept.count() == 2
     with pytest.raises(Exception, match="(?i)not exist|not found"):
         spark.read.parquet(gone.inputFiles()[0])
+
+
+def test_landing_in_one_write_rescues_what_does_not_convert(spark, tmp_path):
+    """Files of several headers, lines with too many fields, entries without files or rows."""
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    files = {
+        "scans/a b+c/1.csv": "ticket_id,ticket_price_mad,scan_timestamp\nT1,5,2025-12-01 10:00:00\nT2,free,soon\n",
+        "scans/a b+c/2.csv": "scan_timestamp,ticket_id,other\n2025-12-02 10:00:00,T3,x\n,T4,x,too many\nnever,T5\n",
+        "scans/none/1.csv": "ticket_id,ticket_price_mad,scan_timestamp\n",
+        "scans/unnamed/1.csv": "ticket_id\nT9\n",
+    }
+    for name, text in files.items():
+        (landing / name).parent.mkdir(parents=True, exist_ok=True)
+        (landing / name).write_text(text)
+    config = tmp_path / "config.csv"
+    config.write_text("folder_name,file_name\nscans,a b+c\nscans,none\nscans,missing\n")
+    with pytest.raises(ingest.IngestError, match="scans/missing"):
+        ingest.land_csv(spark, str(config), str(landing), bronze)
+    report = ingest.land_csv(spark, str(config), str(landing), bronze, raise_on_failure=False)
+    assert report.columns == ingest.REPORT.names
+    assert rows(report, "entry", "status", "n_rows", "message") == [
+        ("scans/a b+c", "ok", 5, "3 rows with rescued text"),
+        ("scans/missing", "failed", None, "no file matches"),
+        ("scans/none", "ok", 0, None),
+    ]
+    stored = readers.read_scans(spark, bronze)
+    assert stored.schema == contracts.TICKET_SCANS
+    assert rows(stored, "ticket_id") == [(f"T{i}",) for i in range(1, 6)]
+    told = ingest.read_rescued(spark, bronze)
+    assert rows(told, "ticket_id", "column", "value", "reason") == [
+        ("T2", "scan_timestamp", "soon", "does not convert"),
+        ("T2", "ticket_price_mad", "free", "does not convert"),
+        ("T4", "_line", ",T4,x,too many", "number of fields"),
+        ("T5", "_line", "never,T5", "number of fields"),
+        ("T5", "scan_timestamp", "never", "does not convert"),
+    ]
+    assert {r.source_file.rsplit("/", 3)[-2] for r in told.collect()} == {"a b+c"}
+
+
+def test_landing_jobs_do_not_grow_with_entries(spark, tmp_path):
+    def jobs(entries):
+        base = tmp_path / str(entries)
+        for i in range(entries):
+            folder = base / f"landing/scans/s{i}"
+            folder.mkdir(parents=True)
+            (folder / "1.csv").write_text(f"ticket_id\nT{i}\n")
+        names = "".join(f"scans,s{i}\n" for i in range(entries))
+        (base / "config.csv").write_text("folder_name,file_name\n" + names)
+        group = f"landing-{entries}"
+        spark.sparkContext.setJobGroup(group, group)
+        ingest.land_csv(spark, str(base / "config.csv"), str(base / "landing"), str(base / "bronze"))
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few, many = jobs(2), jobs(12)
+    assert many <= few + 2
