@@ -23,7 +23,7 @@ from starloom.llm import (
     warc,
 )
 from starloom.llm.common import table
-from starloom.session import scratch_path
+from starloom.session import remove_intermediate, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,9 +101,11 @@ FROM escaped GROUP BY conv_id
 
 @query
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
-    archive = scratch_path(spark, "archive")
+    archive, files = scratch_path(spark, "archive"), scratch_path(spark, "warc")
     warc.write_archive(table(spark, folder, "pages"), archive)
-    return warc.describe(spark, archive)
+    warc.write_warc(warc.read_archive(spark, archive), files)
+    remove_intermediate(spark, archive)
+    return warc.describe_files(spark, files)
 
 
 ORACLES["op5_warc"] = r"""
