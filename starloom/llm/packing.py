@@ -204,10 +204,7 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], in
 
 
 def plan_patterns(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns and how often each is used; together they hold every piece exactly once.
-
-    Plain best fit of all pieces is computed too, and returned if it needs fewer sequences.
-    """
+    """Patterns and how often each is used; together they hold every piece exactly once."""
     left, used = counts.copy(), {}
     patterns = patterns_of(counts, capacity)
     fitted = sorted(zip(patterns, fit(patterns, counts, capacity), strict=True), key=lambda p: -p[1])
@@ -223,10 +220,7 @@ def plan_patterns(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ..
             if repeat:
                 used[pattern] = used.get(pattern, 0) + repeat
                 left[lengths] -= repeat * times
-    plan = list(used.items())
-    plan += _best_fit(left, capacity)
-    plain = _best_fit(counts, capacity)
-    return min(plan, plain, key=lambda p: sum(times for _, times in p))
+    return [*used.items(), *_best_fit(left, capacity)]
 
 
 def slots(plan: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
