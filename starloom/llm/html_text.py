@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -95,18 +96,21 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.open = [self.root]
-        self.count = Counter()  # open elements by name
+        self.places: dict[str, list[int]] = defaultdict(list)  # where elements are open, by name
         self.headed = False  # a head is of no effect from here on
 
+    def _last(self, *tags: str) -> int:
+        """Where the innermost open element of these names is, 0 if none is open."""
+        return max((self.places[x][-1] for x in tags if self.places[x]), default=0)
+
     def _close(self, tags: tuple[str, ...], beyond: tuple[str, ...]) -> None:
-        if not any(self.count[x] for x in tags):
+        if not self._last(*tags):
             return
-        for at in range(len(self.open) - 1, 0, -1):
-            tag = self.open[at].tag
-            if tag in beyond or tag == "template":
-                return
-            if tag in tags:
-                self._cut(at)
+        barrier, outer = self._last(*beyond, "template"), len(self.open)
+        for open_at in map(self.places.__getitem__, tags):
+            if (i := bisect_right(open_at, barrier)) < len(open_at):
+                outer = min(outer, open_at[i])
+        self._cut(outer)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         held = dict(reversed(attrs))  # the first of equal attributes counts
@@ -162,27 +166,19 @@ class TreeBuilder(HTMLParser):
 
     def _push(self, node: Node) -> None:
         self.open[-1].children.append(node)
+        self.places[node.tag].append(len(self.open))
         self.open.append(node)
-        self.count[node.tag] += 1
 
     def _cut(self, at: int) -> None:
         """Closes the elements from there on."""
-        self.count.subtract(node.tag for node in self.open[at:])
+        for node in reversed(self.open[at:]):
+            self.places[node.tag].pop()
         del self.open[at:]
 
     def _place(self, parents: tuple[str, ...]) -> int:
         """Where the innermost of these is open in a table, 0 outside tables."""
-        inner, found = "template", 0
-        if not self.count["table"]:
-            return 0
-        for at in range(len(self.open) - 1, 0, -1):
-            tag = self.open[at].tag
-            if tag in parents and not found:
-                found = at
-            if tag in ("table", "template"):
-                inner = tag
-                break
-        return found if inner == "table" else 0
+        table = self._last("table")
+        return self._last(*parents) if table > self._last("template") else 0
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -194,12 +190,9 @@ class TreeBuilder(HTMLParser):
 
     def _end(self, tag: str, beyond: tuple[str, ...]) -> None:
         """Closes the innermost open element of that name, and what is open inside it."""
-        for at in range(len(self.open) - 1, 0, -1) if self.count[tag] else ():
-            if self.open[at].tag == tag:
-                self._cut(at)
-                return
-            if self.open[at].tag in beyond or self.open[at].tag == "template":
-                return
+        at = self._last(tag)
+        if at and at >= self._last(*beyond, "template"):
+            self._cut(at)
 
     def handle_data(self, data: str) -> None:
         if data.strip(" \t\n\r\f"):
@@ -218,7 +211,9 @@ class Lines:
 
     def __init__(self):
         self.done: list[str] = []
-        self.now, self.gap, self.blank, self.prefix = "", False, False, ""
+        self.now: list[str] = []  # parts of the line
+        self.size, self.inked = 0, False  # its length, whether it is more than spaces
+        self.gap, self.blank, self.prefix = False, False, ""
 
     def text(self, data: str, keep: bool = False) -> None:
         if keep:
@@ -228,28 +223,36 @@ class Lines:
                 self.word(line)
             return
         for i, word in enumerate(_SPACES.split(data)):
-            if i and self.now:
+            if i and self.size:
                 self.gap = True
             if word:
                 self.word(word)
 
     def word(self, word: str) -> None:
-        if not self.now:
+        if not self.size:
             if self.blank and self.done:
                 self.done.append("")
-            self.blank, self.now = False, self.prefix
+            self.blank, self.now, self.size = False, [], 0
+            self._add(self.prefix)
             self.prefix = " " * len(self.prefix)
-        self.now += " " * (self.gap and self.now.strip() != "") + word
+        if self.gap and self.inked:
+            self._add(" ")
+        self._add(word)
         self.gap = False
 
+    def _add(self, part: str) -> None:
+        self.now.append(part)
+        self.size += len(part)
+        self.inked = self.inked or bool(part.strip())
+
     def feed(self) -> None:
         """A line break that is always there."""
-        self.done.append(self.now.rstrip())
-        self.now, self.gap = "", False
+        self.done.append("".join(self.now).rstrip())
+        self.now, self.size, self.inked, self.gap = [], 0, False, False
 
     def end(self, spaced: bool = False) -> None:
         """The end of a block: breaks the line if it has begun."""
-        if self.now:
+        if self.size:
             self.feed()
         self.blank |= spaced
         self.gap = False
@@ -337,8 +340,10 @@ def _table(node: Node, tables: int) -> Step:
         taken = {at: n - 1 for at, n in taken.items() if n > 1} | {at: n for at, n in started.items() if n}
         if any(cells):
             grid.append(cells)
-    columns = max(map(len, grid), default=0)
-    wide = [max((width(x) for r in grid if i < len(r) for x in r[i]), default=0) for i in range(columns)]
+    wide = [0] * max(map(len, grid), default=0)
+    for r in grid:
+        for i, cell in enumerate(r):
+            wide[i] = max(wide[i], *map(width, cell), 0)
     out = list(captions)
     for r in grid:
         for i in range(max(map(len, r))):
@@ -404,7 +409,7 @@ def _render(
                 lines.text(child, pre_inside)
                 continue
             if child.tag in ("td", "th"):  # a cell outside any table, or too deep
-                lines.text("  ", deep and bool(lines.now))
+                lines.text("  ", deep and lines.size > 0)
             elif tag in MATH_PARTS:
                 lines.text(" ")
             yield _render(child, lines, tables, pre_inside, inner)
