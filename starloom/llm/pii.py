@@ -41,27 +41,55 @@ _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _SPAN = "array<struct<start:int,kind:int,end:int,text:string>>"
 
 
-def _spans(text: Column, pattern: str, kind: int, guard: Column) -> Column:
-    """Matches of a pattern with their places in code points, from what lies between them."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), 0)
-    pieces = F.split(text, pattern, -1)
-    both = F.zip_with(
-        F.slice(pieces, 1, F.size(hits)),
-        hits,
-        lambda p, h: F.struct(F.length(p).alias("skip"), h.alias("text")),
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """``op`` of each value and all before it, by doubled distances: n log n steps, no growing array."""
+    distances = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda d: d < F.size(values))
+    return F.aggregate(
+        distances, values, lambda x, d: F.transform(x, lambda v, i: op(v, F.get(x, i - d)))
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
-    def grow(done: Column, hit: Column) -> Column:
-        begin = done["at"] + hit["skip"]
-        end = begin + F.length(hit["text"])
-        span = F.struct(
-            begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), hit["text"].alias("text")
-        )
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
 
-    found = F.aggregate(both, start, grow, lambda done: done["out"])
-    return F.when(guard & (F.size(hits) > 0), found).otherwise(F.array().cast(_SPAN))
+def _sums(values: Column) -> Column:
+    return _with(values, lambda x: _running(x, lambda v, before: v + F.coalesce(before, F.lit(0))))
+
+
+def _spans(text: Column, pattern: str, kind: int, guard: Column, context: bool = False) -> Column:
+    """Matches of a pattern with their places in code points, from what lies between them.
+
+    With ``context``: also up to 32 signs to their left and the one to their right.
+    """
+
+    def place(hits: Column, gaps: Column) -> Column:
+        steps = F.transform(hits, lambda h, i: F.length(F.get(gaps, i)) + F.length(h))
+
+        def span(hit: Column, i: Column, end: Column) -> Column:
+            fields = [
+                (end - F.length(hit)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), hit.alias("text")
+            ]
+            if context:
+                near = F.get(gaps, i)
+                # Tokens have six signs at least, so six of them reach back far enough.
+                back = [F.coalesce(F.get(x, i - j), F.lit("")) for j in range(6, 0, -1) for x in (gaps, hits)]
+                left = F.when(F.length(near) >= 32, near).otherwise(F.concat(*[F.substring(x, -32, 32) for x in back], near))
+                after = F.get(gaps, i + 1)
+                after = F.when(after == "", F.coalesce(F.get(hits, i + 1), F.lit(""))).otherwise(after)
+                fields += [F.substring(left, -32, 32).alias("left"), F.substring(after, 1, 1).alias("after")]
+            return F.struct(*fields)
+
+        return _with(_sums(steps), lambda ends: F.transform(hits, lambda h, i: span(h, i, F.get(ends, i))))
+
+    def found(hits: Column) -> Column:
+        gaps = F.split(text, pattern, -1)
+        return F.when(F.size(hits) > 0, _with(gaps, lambda g: place(hits, g)))
+
+    shape = _SPAN if not context else _SPAN.replace("text:string", "text:string,left:string,after:string")
+    spans = F.when(guard, _with(F.regexp_extract_all(text, F.lit(pattern), 0), found))
+    return F.coalesce(spans, F.array().cast(shape))
 
 
 def _luhn(digits: Column) -> Column:
@@ -112,33 +140,60 @@ def _shape(token: Column) -> Column:
     )
 
 
+def _touched(spans: Column, base: Column) -> Column:
+    """For disjoint spans in their order, whether a base span shares a sign with each.
+
+    One does if, of those that start before the span's end, the furthest goes beyond its start.
+    """
+
+    def event(at: Column, base: bool, reach: Column, start: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(int(base)).alias("base"), reach.alias("reach"), start.alias("start"))
+
+    def told(events: Column) -> Column:
+        reach = _with(F.transform(events, lambda e: e["reach"]), lambda r: _running(r, F.greatest))
+        pairs = F.zip_with(
+            events, reach, lambda e, r: F.struct(e["base"].alias("base"), (r > e["start"]).alias("touched"))
+        )
+        return F.transform(F.filter(pairs, lambda p: p["base"] == 0), lambda p: p["touched"])
+
+    queries = F.transform(spans, lambda s: event(s["end"], False, F.lit(0), s["start"]))
+    starts = F.transform(base, lambda b: event(b["start"], True, b["end"], F.lit(0)))
+    return _with(F.array_sort(F.concat(queries, starts)), told)
+
+
 def _candidates(text: Column, base: Column) -> Column:
     """Tokens with digits: place, hash, whether a base span covers them, and their patterns."""
 
-    def describe(span: Column) -> Column:
-        left = F.substring(text, F.greatest(span["start"] - 31, F.lit(1)), F.least(span["start"], F.lit(32)))
-        word = ascii_lower(F.regexp_extract(left, r"([^\s\"'=:(]*[\s\"'=:(]*)$", 1))
-        signs = F.regexp_extract(left, r"([^\w\s]*)\s*$", 1)
-        after = F.regexp_extract(F.substring(text, span["end"] + 1, F.lit(1)), r"[^\w\s]", 0)
+    def describe(span: Column, seed: Column) -> Column:
+        word = ascii_lower(F.regexp_extract(span["left"], r"([^\s\"'=:(]*[\s\"'=:(]*)$", 1))
+        signs = F.regexp_extract(span["left"], r"([^\w\s]*)\s*$", 1)
+        after = F.regexp_extract(span["after"], r"[^\w\s]", 0)
         shape = _shape(span["text"])
         return F.struct(
             span["start"].alias("start"),
             span["end"].alias("end"),
             F.xxhash64(span["text"]).alias("instance"),
-            F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])).alias("seed"),
+            seed.alias("seed"),
             F.array(
                 F.xxhash64(F.lit("word"), word, shape), F.xxhash64(F.lit("signs"), signs, shape, after)
             ).alias("patterns"),
         )
 
     def bare(match: Column) -> Column:
-        token = F.regexp_replace(match["text"], r"^[._@+-]+", "")
+        signs = F.regexp_extract(match["text"], r"^[._@+-]*", 0)
+        left = F.substring(F.concat(match["left"], signs), -32, 32)
         return F.struct(
-            (match["end"] - F.length(token)).alias("start"), match["end"].alias("end"), token.alias("text")
+            (match["start"] + F.length(signs)).alias("start"), match["end"].alias("end"),
+            F.substring(match["text"], F.length(signs) + 1, F.length(match["text"])).alias("text"),
+            left.alias("left"), match["after"].alias("after"),
         )
 
     guard = F.rlike(text, F.lit("[0-9]"))
-    return F.transform(F.transform(_spans(text, TOKEN, 0, guard), bare), describe)
+    tokens = F.transform(_spans(text, TOKEN, 0, guard, context=True), bare)
+    return _with(
+        F.struct(tokens.alias("tokens"), base.alias("base")),
+        lambda both: F.zip_with(both["tokens"], _touched(both["tokens"], both["base"]), describe),
+    )
 
 
 def score_instances(
