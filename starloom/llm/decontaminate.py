@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from starloom.llm.common import ALNUM_WORDS, batches_of, lower_bytes
 from starloom.llm.fm_index import FMIndex
+from starloom.session import remove_intermediate, scratch_path
 
 SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 16 << 20
@@ -136,8 +137,8 @@ def scan_shard(
     ]
 
 
-def _blocks(items: DataFrame, item_col: str, text_col: str, size: int) -> Iterator[list]:
-    """Items streamed to the driver in blocks of bounded size."""
+def _blocks(items: DataFrame, item_col: str, text_col: str, size: int) -> Iterator[tuple[list, bool]]:
+    """Items streamed to the driver in blocks of bounded size, and whether a block is the last one."""
     block, held = [], 0
     named = items.filter(F.col(f"`{item_col}`").isNotNull())
     for name, text in named.select(
@@ -145,11 +146,22 @@ def _blocks(items: DataFrame, item_col: str, text_col: str, size: int) -> Iterat
     ).toLocalIterator():
         n = len(text or "")
         if block and held + n > size:
-            yield block
+            yield block, False
             block, held = [], 0
         block.append((name, text))
         held += n
-    yield block
+    yield block, True
+
+
+def _united(items: list[str], spans: list[tuple[int, int]], more: dict) -> tuple[list[str], list[tuple[int, int]]]:
+    """What a document had so far together with what another block found in it."""
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted([*spans, *((s["start"], s["end"]) for s in more["spans"])]):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
+    return sorted({*items, *more["item_ids"]}), merged
 
 
 def find_contamination(
@@ -171,7 +183,10 @@ def find_contamination(
     A NULL or empty text has no words; an item without words has no window and matches
     nothing, nor does one without an id. Items that repeat count once. Rows of ``docs``
     are judged one by one, whatever their ids. Columns of ``docs`` with the names of the results are
-    replaced. Empty tables are fine on either side.
+    replaced, others pass through, whatever their type. Empty tables are fine on either side.
+
+    Items beyond ``block_bytes`` come in several blocks. The driver and the tasks hold one at a time;
+    rows with what was found so far are stored between blocks and never shuffled.
     """
     added = {"n_words", "item_ids", "spans", "n_hit", "n_items", "contaminated"}
     names = [c for c in docs.columns if c not in added]
@@ -185,29 +200,37 @@ def find_contamination(
         ]
     )
 
-    def passes(block: list) -> DataFrame:
+    def passes(block: list, rows: DataFrame, first: bool) -> DataFrame:
         phrases = phrases_of(block, window)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches_of(batches, text_col, shard_bytes):
-                rows = scan_shard(batch.column(text_col).to_pylist(), phrases)
+                found = scan_shard(batch.column(text_col).to_pylist(), phrases)
+                if not first:
+                    so_far = batch.select(["item_ids", "spans"]).to_pylist()
+                    found = [(n, *_united(x, y, z)) for (n, x, y), z in zip(found, so_far, strict=True)]
                 columns = [
-                    pa.array([r[0] for r in rows], arrow.field(0).type),
-                    pa.array([r[1] for r in rows], arrow.field(1).type),
+                    pa.array([r[0] for r in found], arrow.field(0).type),
+                    pa.array([r[1] for r in found], arrow.field(1).type),
                     pa.array(
-                        [[{"start": a, "end": b} for a, b in r[2]] for r in rows], arrow.field(2).type
+                        [[{"start": a, "end": b} for a, b in r[2]] for r in found], arrow.field(2).type
                     ),
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, *columns], names=[*batch.schema.names, *arrow.names]
-                )
-
-        return plain.mapInArrow(scan, schema)
-
-    frames = [passes(block) for block in _blocks(items, item_col, item_text_col, block_bytes)]
-    found = frames[0]
-    if len(frames) > 1:
-        found = _merge(frames, names)
+                kept = batch.columns[: len(names)]
+                yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*names, *arrow.names])
+
+        return rows.mapInArrow(scan, schema)
+
+    found, first, path = plain, True, None
+    for block, last in _blocks(items, item_col, item_text_col, block_bytes):
+        found = passes(block, found, first)
+        if not last:
+            before, path = path, scratch_path(docs.sparkSession, "decontaminated")
+            found.write.parquet(path)
+            found = docs.sparkSession.read.schema(schema).parquet(path)
+            if before:
+                remove_intermediate(docs.sparkSession, before)
+        first = False
     spans = F.col("spans")
     return (
         found.withColumn(
@@ -217,35 +240,3 @@ def find_contamination(
         .withColumn("n_items", F.size("item_ids").cast("long"))
         .withColumn("contaminated", F.col("n_hit") > 0)
     )
-
-
-def _merge(frames: list[DataFrame], names: list[str]) -> DataFrame:
-    """Results of several blocks of items, brought together by whole row."""
-    every = frames[0]
-    for frame in frames[1:]:
-        every = every.unionByName(frame)
-    keys = [F.col(f"`{c}`") for c in names]
-    copies = every.withColumn("__row", F.xxhash64(*keys))
-    grouped = copies.groupBy("__row", *keys).agg(
-        F.max("n_words").alias("n_words"),
-        F.count(F.lit(1)).alias("__seen"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("__spans"),
-    )
-    none = F.array().cast("array<struct<start:long,end:long>>")
-
-    def join(done, span):
-        last = F.element_at(done, -1)
-        grown = F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end")
-        )
-        apart = (F.size(done) == 0) | (F.try_element_at(done, F.lit(-1))["end"] < span["start"])
-        return F.when(apart, F.concat(done, F.array(span))).otherwise(
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))
-        )
-
-    merged = grouped.withColumn("spans", F.aggregate("__spans", none, join))
-    copies_of = F.sequence(F.lit(1), (F.col("__seen") / len(frames)).cast("int"))
-    return merged.withColumn("__copy", F.explode(copies_of)).select(
-        *[F.col(f"`{c}`") for c in names], "n_words", "item_ids", "spans"
-    )
