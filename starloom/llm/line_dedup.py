@@ -1,9 +1,9 @@
 """Removal of lines that many documents share, in DataFrame functions only.
 
-Lines are exploded and reduced to a 128-bit hash of their normalised form. What is
-shuffled for counting is one row of three numbers per distinct line of a document, never
-its text. A line in most documents is counted map-side, and its rows are spread by
-document before they meet the one row that says where the line stays.
+Lines are exploded with their position and reduced to a 128-bit hash of their normalised form;
+these rows of numbers are stored. What is shuffled for counting is one row of three numbers per
+distinct line of a document, never its text. The positions of lines that go meet the lines of
+their document again, and what stays is joined in order, in time linear in the lines.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ascii_lower
+from starloom.llm.common import ascii_lower, materialize
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -47,50 +47,43 @@ def dedup_lines(
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     lines = F.split(text, "\n", -1)
+    # Rows that share an id may differ in their text, which tells whose position it is.
     held = (
         docs.filter(F.col(f"`{id_col}`").isNotNull() & (F.length(text) >= min_chars))
-        .select(F.col(f"`{id_col}`").alias("id"), F.explode(lines).alias("line"))
+        .select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("row"), F.posexplode(lines).alias("pos", "line"))
         .filter(F.length("line") >= min_chars)
-        .select("id", line_key(F.col("line")).alias("key"))
+        .select("id", "row", "pos", line_key(F.col("line")).alias("key"))
         .filter(F.length("key") >= min_chars)
-        .select("id", _hash(F.col("key")).alias("h"))
-        .select("id", "h.a", "h.b")
-        .distinct()
+        .select("id", "row", "pos", _hash(F.col("key")).alias("h"))
+        .select("id", "row", "pos", "h.a", "h.b")
     )
+    held = materialize(held, "lines")
     shared = (
-        held.groupBy("a", "b")
+        held.select("id", "a", "b").distinct().groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
         .filter(F.col("n") >= min_docs)
         .select("a", "b", "keeper")
     )
+    # Repeated rows give a position more than once.
     gone = (
         held.join(shared, ["a", "b"])
         .filter(F.col("id") < F.col("keeper"))
-        .groupBy(F.col("id").alias("__id"))
-        .agg(F.collect_list(F.struct("a", "b")).alias("__gone"))
+        .groupBy(F.col("id").alias("__id"), F.col("row").alias("__same"))
+        .agg(F.array_distinct(F.collect_list("pos")).alias("__gone"))
     )
-    plain = docs.select(*[F.col(f"`{c}`") for c in names])
-    joined = plain.join(
-        gone.hint("shuffle_hash"), F.col(f"`{id_col}`") == F.col("__id"), "left"
+    others = [F.col(f"`{c}`") for c in names if c not in (text_col, id_col)]
+    plain = docs.select(
+        F.col(f"`{id_col}`").alias("__own"), *others, lines.alias("__lines"), F.xxhash64(text).alias("__text")
     )
-
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        short = F.length(key) < min_chars
-        return short | ~F.array_contains(F.col("__gone"), _hash(key))
-
-    kept = F.when(F.col("__gone").isNull(), lines).otherwise(F.filter(lines, stays))
-    cleaned = F.when(F.col("__gone").isNull(), text).otherwise(
-        F.array_join(F.col("__kept"), "\n")
+    joined = plain.join(
+        gone.hint("shuffle_hash"), (F.col("__own") == F.col("__id")) & (F.col("__text") == F.col("__same")), "left"
     )
-    return (
-        joined.withColumn("__kept", kept)
-        .withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn("n_dropped", F.col("n_lines") - F.size("__kept"))
-        .withColumn("__text", cleaned)
-        .select(
-            *[F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in names],
-            "n_lines",
-            "n_dropped",
-        )
+    every = F.sequence(F.lit(0), F.size("__lines") - 1)
+    kept = F.transform(F.array_except(every, "__gone"), lambda at: F.get(F.col("__lines"), at))
+    cleaned = F.array_join(F.when(F.col("__gone").isNull(), F.col("__lines")).otherwise(kept), "\n")
+    own = {id_col: F.col("__own").alias(id_col), text_col: cleaned.alias(text_col)}
+    return joined.select(
+        *[own.get(c, F.col(f"`{c}`")) for c in names],
+        F.size("__lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
