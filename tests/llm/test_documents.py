@@ -463,3 +463,60 @@ def test_digest_of_components_is_stable(docs):
     runs = [sorted(map(tuple, near_dup.near_duplicates(docs).collect())) for _ in range(2)]
     assert runs[0] == runs[1]
     assert hashlib.sha256(repr(runs[0]).encode()).hexdigest()
+
+
+# ---- many hits in one text ----------------------------------------------------------
+def test_lines_of_long_texts(spark):
+    """Thousands of shared lines in one text; rows that share an id but not their text."""
+    lines = [f"line {i:06d} that several documents hold in common" for i in range(8000)]
+    rows = [(k, "\n".join(lines)) for k in range(5)]
+    rows += [(2, "\n".join(["own", *lines[:3], "", lines[0]])), (2, rows[2][1])]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((x.doc_id, x.n_lines, x.n_dropped, x.text) for x in got)
+    whole = [(k, 8000, 8000, "") for k in (0, 1, 2, 2, 3)]
+    assert found == sorted([*whole, (2, 6, 4, "own\n"), (4, 8000, 0, rows[4][1])])
+
+
+def test_personal_data_of_long_texts(spark):
+    """Twenty thousand addresses in one text, and their places."""
+    n = 20000
+    text = " ".join(f"user{i}4567@mail.example.com" for i in range(n))
+    spans = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    base = spans.select("base").first()[0]
+    want, at = [], 0
+    for word in text.split(" "):
+        want.append((at, at + len(word), "email"))
+        at += len(word) + 1
+    assert [(s.start, s.end, s.kind) for s in base] == want
+
+
+def test_tokens_touch_base_spans(spark):
+    """Whether a token shares a sign with a base span, against all pairs; long and non-ASCII contexts."""
+    r = random.Random(9)
+    parts = ["AB12345", "x@y.example", "+49 (30) 1234567", "é", "日本語", "4111 1111 1111 1111", "10.2.3.4", "..ID-9876.", "=", '"', "\n"]
+    texts = ["".join(r.choice(parts) + r.choice(["", " ", " " * 40]) for _ in range(r.randint(0, 30))) for _ in range(150)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    read = frame.select("text", pii.base_spans(F.col("text")).alias("base"))
+    for x in read.select("text", "base", pii._candidates(F.col("text"), F.col("base")).alias("seen")).collect():
+        for b in x.base:
+            assert x.text[b.start : b.end] == b.text
+        for c in x.seen:
+            assert c.seed == any(b.start < c.end and c.start < b.end for b in x.base)
+
+
+def test_decontamination_in_blocks(spark):
+    """Many blocks of items, a map column, clashing names and repeated rows: as with one block."""
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 60))) for _ in range(30)]
+    items = [(i, " ".join(texts[i].split()[3:16])) for i in range(0, 30, 2)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, t, {"k": i}, "old", 1.5) for i, t in enumerate(texts)]
+    rows += [rows[4], (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, spans string, __row double")
+    one = decontaminate.find_contamination(docs, bench)
+    many = decontaminate.find_contamination(docs, bench, block_bytes=1, shard_bytes=500)
+    assert many.schema == one.schema
+    assert sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
+    assert one.filter("contaminated").count() > 10
+    assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
