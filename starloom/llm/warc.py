@@ -31,6 +31,8 @@ CHUNK_BYTES = 4 << 20
 SPREAD_BYTES = 32 << 20
 #: Records in a WARC file at most.
 FILE_RECORDS = 4096
+#: Digests with several copies that are broadcast at most, of about a hundred bytes each.
+BROADCAST_ROWS = 100_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -166,6 +168,8 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     records = headers(spark, folder)
     # Few payloads have several copies, so this table is mostly empty or small.
     several = records.filter("copies > 1").select("sha256", "copies").distinct()
+    if several.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # payloads stay where they are
+        several = F.broadcast(several)
     last = F.coalesce("copies", F.lit(1)) - 1
     spread = _stored(spark, folder).join(several, "sha256", "left").select(
         "sha256", "payload", F.explode(F.sequence(F.lit(0), last)).alias("copy")

@@ -352,8 +352,12 @@ def test_archive_of_bytes_through_files(spark, tmp_path, monkeypatch):
     folder, files = str(tmp_path / "archive"), str(tmp_path / "files")
     warc.write_archive(pages, folder)
     assert warc.headers(spark, folder).agg(F.max("copies")).first()[0] > 5
-    whole = warc.read_archive(spark, folder)
     raw = {p: b or b"" for p, _, b in rows}
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    shuffled = warc.read_archive(spark, folder)
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 100)
+    whole = warc.read_archive(spark, folder)
+    assert {(x.page_id, bytes(x.payload)) for x in shuffled.collect()} == set(raw.items())
     assert {(x.page_id, bytes(x.payload)) for x in whole.collect()} == set(raw.items())
     assert whole.count() == len(rows)
     warc.write_warc(whole, files)
