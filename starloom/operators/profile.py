@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from starloom import rules
@@ -131,3 +131,15 @@ def sample_rows(df: DataFrame, n: int, *order_by: str) -> DataFrame:
     """First ``n`` rows in an order that includes every column, so the sample is stable."""
     rest = [c for c in df.columns if c not in order_by]
     return df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in [*order_by, *rest]]).limit(n)
+
+
+def sample_per_group(df: DataFrame, groups: Sequence[str], n: int, by: Sequence[str], seed: str = "") -> DataFrame:
+    """``n`` rows of every group: those with the smallest hashes of ``by``, so the same ones in each run.
+
+    Equal hashes are told apart by all columns. The limit on the rank cuts every group down before the
+    shuffle, so a group of any size sends ``n`` rows a task.
+    """
+    mark = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in by]))
+    rest = [F.col(f"`{c}`").asc_nulls_first() for c in df.columns if c not in groups]
+    window = Window.partitionBy(*groups).orderBy(mark, *rest)
+    return df.withColumn("__rank", F.row_number().over(window)).filter(F.col("__rank") <= n).drop("__rank")

@@ -60,15 +60,18 @@ def dim_match(
     """Matches with the names of stadium and both teams.
 
     ``stadium_id`` is the stadium's own, so it is NULL where no stadium matches.
+    Whether a lookup is small is seen from its rows as stored, before they are made unique.
     """
+    few_venues = is_small(stadiums.select("stadium_id", "stadium_name"))
+    few_teams = is_small(teams.select("team_code", "team_name"))
     venue = one_per_key(stadiums, ["stadium_id"], ["stadium_name"], strict).withColumn(
         "venue_id", F.col("stadium_id")
     )
     team = one_per_key(teams, ["team_code"], ["team_name"], strict)
-    joined = lookup_join(matches, venue, {"stadium_id": F.col("stadium_id")})
+    joined = lookup_join(matches, venue, {"stadium_id": F.col("stadium_id")}, small=few_venues)
     for side in ("home", "away"):
         named = team.withColumnRenamed("team_name", f"{side}_team_name")
-        joined = lookup_join(joined, named, {"team_code": F.col(f"{side}_team_code")})
+        joined = lookup_join(joined, named, {"team_code": F.col(f"{side}_team_code")}, small=few_teams)
     return joined.select(
         F.col("match_id").alias("match_key"),
         "match_date",

@@ -675,6 +675,28 @@ ORACLES["rescued_cells"] = _sql(
     FROM scan_raw WHERE entry_time = '18:07'"""
 )
 
+ORACLES["distinct_tickets_rollup"] = _sql(
+    """SELECT stadium_key, scan_day, CAST(GROUPING_ID(stadium_key, scan_day) AS BIGINT) AS level,
+    count(DISTINCT ticket_id) AS tickets_sold FROM f_rows
+    GROUP BY GROUPING SETS ((stadium_key, scan_day), (stadium_key), ())""",
+    CHAIN, DIMS, FILLED, GOLD,
+)
+ORACLES["merged_files_roundtrip"] = ORACLES["config_ingest_csv"]
+ORACLES["audit_if_any"] = _sql(
+    f"SELECT {SCAN_LIST}, ticket_id_fixed FROM known_judged WHERE ticket_id_valide IS NOT TRUE", KNOWN
+)
+ORACLES["channel_samples"] = _sql(
+    """SELECT purchase_channel, ticket_id, match_id, ticket_price_mad FROM scan_raw
+    QUALIFY row_number() OVER (PARTITION BY purchase_channel ORDER BY
+        md5(concat_ws('|', 's1', ticket_id, match_id, ticket_price_mad)), ticket_id NULLS FIRST,
+        match_id NULLS FIRST, ticket_price_mad NULLS FIRST) <= 3"""
+)
+ORACLES["incremental_landing"] = _sql(
+    """SELECT ticket_id, match_id, entry_gate, ticket_price_mad,
+    CASE WHEN entry_gate = 'GATE_N' THEN 'first' ELSE 'second' END AS run_id FROM scan_raw"""
+)
+
 # Other physical paths to the same rows.
 ORACLES["ticket_duplicate_audit_split"] = ORACLES["ticket_duplicate_audit"]
 ORACLES["match_enrichment_salted"] = ORACLES["match_enrichment"]
+ORACLES["content_checked_roundtrip"] = ORACLES["partitioned_roundtrip"]

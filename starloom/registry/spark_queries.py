@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from starloom import contracts, rules
 from starloom.functions.numbers import percent
-from starloom.operators import profile
+from starloom.operators import distinct, profile
 from starloom.operators.lasting import LastingKeys
 from starloom.operators.lookup import duplicate_keys
 from starloom.operators.quarantine import stamp
@@ -24,7 +24,7 @@ from starloom.plans import run as full_run
 from starloom.plans import silver_scans as plan
 from starloom.plans.scenario import Scenario
 from starloom.session import materialize, scratch_path
-from starloom.sources import ingest, readers, writers
+from starloom.sources import ingest, ledger, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -796,3 +796,73 @@ def registered_star_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = materialize(counts, "counts")
     spark.sql(f"DROP DATABASE {database} CASCADE")
     return counts
+
+
+# ---- states, contents and files ---------------------------------------------------
+@query
+def distinct_tickets_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct tickets by stadium and day, by stadium and in all, from one stored state."""
+    fact = materialize(unkeyed_fact(spark, folder), "fact_rows")
+    by = ["stadium_key", "scan_day"]
+    numbers = distinct.number_members(fact, "ticket_id", by)
+    state = distinct.distinct_state(fact.join(numbers, "ticket_id", "left"), "member_no", by)
+    path = scratch_path(spark, "distinct")
+    writers.write_table(state, path)
+    stored = readers.read_table(spark, path, schema=state.schema)
+    levels = None
+    for level, keys in ((0, by), (1, by[:1]), (3, [])):
+        counted = distinct.count_states(stored, keys, "tickets_sold").withColumn("level", F.lit(level).cast("bigint"))
+        levels = counted if levels is None else levels.unionByName(counted, allowMissingColumns=True)
+    return levels
+
+
+@query
+def content_checked_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Fact rows stored by day, read back and compared with what the writing job saw."""
+    path = scratch_path(spark, "fact")
+    fact = materialize(unkeyed_fact(spark, folder), "fact_rows")
+    written = writers.write_checked(fact, path, partition_by=["scan_day"])
+    return writers.reconcile_content(readers.read_table(spark, path, schema=fact.schema), written)
+
+
+@query
+def merged_files_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Scans stored in many small files, merged to files of a megabyte and read back."""
+    small, merged = scratch_path(spark, "small"), scratch_path(spark, "merged")
+    rows = scans(spark, folder)
+    written = writers.write_table(rows.repartition(64), small)
+    if writers.merge_files(spark, small, merged, 1 << 20) != written:
+        raise writers.CountMismatch("rows were lost in merging files")
+    return zoneless(readers.read_table(spark, merged, schema=rows.schema), "scan_timestamp")
+
+
+@query
+def audit_if_any(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected tickets replace an audit, no rejections leave it as it is."""
+    path = scratch_path(spark, "audit")
+    rejected = plan.ticket_split(scans(spark, folder).filter(F.col("ticket_id").isNotNull())).rejected
+    columns = [*plan.SCAN, "ticket_id_fixed"]
+    written = writers.write_if_any(rejected.select(*columns), path)
+    writers.write_if_any(rejected.select(*columns).filter("ticket_id IS NULL"), path)
+    return writers.reconcile(readers.read_table(spark, path), written)
+
+
+@query
+def channel_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Three rows of every channel as typed, the same ones in each run."""
+    kept = lines(spark, folder).select("purchase_channel", "ticket_id", "match_id", "ticket_price_mad")
+    return profile.sample_per_group(kept, ["purchase_channel"], 3, ["ticket_id", "match_id", "ticket_price_mad"], "s1")
+
+
+@query
+def incremental_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """Scans of one gate land first, those of the others later; each run reads its new files alone."""
+    base = scratch_path(spark, "landing")
+    landing, target, taken = f"{base}/in", f"{base}/rows", f"{base}/ledger"
+    text = lines(spark, folder).select("ticket_id", "match_id", "entry_gate", "ticket_price_mad")
+    layout = {"header": "true", "escape": "\\", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    first = F.col("entry_gate") == "GATE_N"
+    for run, part in (("first", first), ("second", ~first)):
+        text.filter(part).write.mode("append").options(**layout).csv(landing)
+        ledger.land_new(spark, landing, target, taken, run, text.schema, options=layout, pattern="*.csv")
+    return ledger.read_landed(spark, target, taken, text.schema).drop("source_file")
