@@ -520,3 +520,31 @@ def test_decontamination_in_blocks(spark):
     assert sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
     assert one.filter("contaminated").count() > 10
     assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bootstrapping_by_hand(spark, seed):
+    """Scores of the pattern-instance graph against plain loops over dictionaries."""
+    r = random.Random(seed)
+    edges = {(p, r.randrange(p, p + 12)) for p in range(0, 60, 2) for _ in range(r.randint(1, 14))}
+    seeds = {i for i in range(72) if i < 8 or r.random() < 0.1}
+    members = {}
+    for p, i in edges:
+        members.setdefault(p, set()).add(i)
+    known, used, support, score = dict.fromkeys(seeds, 1.0), set(), 2, 0.55
+    while True:
+        new = {}
+        for p in members.keys() - used:
+            held = [known[i] for i in members[p] if i in known]
+            if len(held) >= support and sum(held) >= len(members[p]) * score - 1e-9:
+                used.add(p)
+                for i in members[p] - known.keys():
+                    new[i] = max(new.get(i, 0), sum(held) / len(members[p]))
+        if not new:
+            break
+        known |= new
+    frame = spark.createDataFrame(sorted(edges), "pattern long, instance long")
+    start = spark.createDataFrame([(i,) for i in sorted(seeds)], "instance long")
+    got = {x.instance: x.score for x in pii.score_instances(frame, start, None, support, score).collect()}
+    assert got.keys() == known.keys() - seeds
+    assert all(abs(got[i] - known[i]) < 1e-9 for i in got)
