@@ -145,7 +145,7 @@ def dense_key(
     last sort key, so even equal rows split over range boundaries instead of piling up
     in one partition. Without it the rows are stored once first to get one, which also
     spares the boundary sampling a second run of the upstream plan. ``row_id`` is dropped.
-    Rows known to be ``unique`` in ``order_by`` need neither.
+    Rows known to be ``unique`` as a whole need neither: no run of equal rows can fill a partition.
     """
     if row_id is None and not unique:
         row_id = "__row_id"

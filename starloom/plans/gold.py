@@ -209,9 +209,10 @@ def fact_ticket_scan(
     With ``lasting``, a ticket's scan keeps the key that an earlier run gave it, whatever
     has been added since, and new ones follow.
 
-    ``scans`` may carry the stored row id of ``materialize`` as ``__row_id``, which saves
-    storing them a second time. Oversize groups are looked for in them, not in what is
-    already joined.
+    ``scans`` may carry the stored row id of ``materialize`` as ``__row_id``. Without it they are
+    taken for distinct, as silver scans are: the joined rows are stored once, sorted, and equal
+    ones would be numbered side by side. Oversize groups are looked for in the scans, not in
+    what is already joined.
     """
     small_fans = is_small(fans.select("fan_id", "fan_key"))
     known = F.col("fan_id") != rules.ANONYMOUS_FAN
@@ -222,7 +223,7 @@ def fact_ticket_scan(
     row_id = ROW_ID if ROW_ID in rows.columns else None
     order, key = ["ticket_id", "scan_timestamp"], "ticket_scan_key"
     if lasting is None:
-        keyed = dense_key(rows, order, key, row_id)
+        keyed = dense_key(rows, order, key, row_id, unique=row_id is None)
     else:
         rows = rows.drop(ROW_ID)
         keyed = with_lasting_key(scans.sparkSession, rows, lasting.path("scan"), order, key, lasting.run)

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from starloom import contracts, rules
-from starloom.operators import profile
+from starloom.operators import profile, ranking
 from starloom.operators.lookup import AmbiguousLookup
 from starloom.plans import gold, measures
 from starloom.rules import ScanPolicy
@@ -110,6 +110,24 @@ def test_fact_keys_and_unknown_members(star):
     ]
 
 
+def test_fact_is_stored_once_to_be_numbered(spark, tables, star, monkeypatch):
+    """Distinct scans without a row id are sorted into one stored table, equal ones still get keys of their own."""
+    made, store = [], ranking.materialize
+
+    def watched(df, label="stage", **more):
+        made.append(label)
+        return store(df, label, **more)
+
+    monkeypatch.setattr(ranking, "materialize", watched)
+    twice = tables["scans"].unionByName(tables["scans"])
+    fact = gold.fact_ticket_scan(twice, tables["matches"], star["dim_fan"])
+    assert made == ["sorted"]
+    once = [r[1] for r in rows(star["fact_ticket_scan"], "ticket_scan_key", "ticket_id")]
+    assert rows(fact, "ticket_scan_key", "ticket_id") == sorted(
+        ((k + 1, once[k // 2]) for k in range(10)), key=lambda r: [(True, str(v)) for v in r]
+    )
+
+
 def test_checks_on_the_fact(star):
     fact = star["fact_ticket_scan"]
     assert rows(profile.key_uniqueness(fact, "ticket_scan_key")) == [(5, 5, 0, True)]
