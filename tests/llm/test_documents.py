@@ -1,6 +1,7 @@
 """Operators on documents against brute force, over texts of every awkward kind."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -8,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from starloom.llm import decontaminate, line_dedup, near_dup, packing, pii, quality
@@ -352,6 +354,45 @@ def test_quality_model_on_held_out_rows(spark, folder):
     assert np.mean([r.kept for r in rest if r.quality and not r.toxic]) > 0.95
 
 
+def verdict_by_hand(text, good, bad):
+    """Probabilities and verdict by plain loops over words, pairs and byte n-grams."""
+    odd, whole, half = 0x9E3779B97F4A7C15, (1 << 64) - 1, quality.BUCKETS // 2
+    h = [xxhash.xxh3_64_intdigest(w.encode()) for w in re.findall("[a-z\x80-\U0010ffff]+", lower(text))]
+    words = [x % half for x in h]
+    words += [((((a * odd & whole) ^ b) * odd & whole) >> 20) % half + half for a, b in zip(h, h[1:], strict=False)]
+    raw, chars = (text or "").encode(), []
+    for n in quality.CHARS:
+        for i in range(len(raw) - n + 1):
+            x = 0
+            for c in raw[i : i + n]:
+                x = (x * 0x01000193 & 0xFFFFFFFF) ^ c
+            chars.append(((x ^ (x >> 15)) * 0x85EBCA6B & 0xFFFFFFFF) >> 15)
+    score = sum(sum(float(w[i]) for i in at) / len(at) for w, at in ((good.words, words), (good.chars, chars)) if at)
+    toxic = sum(float(bad.words[i]) for i in set(words))
+    p_good, p_toxic = (1 / (1 + math.exp(-max(-30, min(30, m.a * x + m.b)))) for m, x in ((good, score), (bad, toxic)))
+    n, _, _, _, repeated = counts_by_hand(text)
+    failed = n < 50 or repeated * 100 > n * 50
+    return p_good, p_toxic, not failed and p_good >= quality.MIN_GOOD and p_toxic <= quality.MAX_TOXIC
+
+
+def test_quality_verdict_by_hand(spark, folder, corpus):
+    """Scores, calibration and verdict of labelled, unlabelled and odd texts against plain loops."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    good, bad = quality.train(docs, labels)
+    assert np.abs(good.chars).sum() > 0
+    odd = spark.createDataFrame([(-i - 1, t) for i, (_, t) in enumerate(corpus)], docs.schema)
+    seen = set()
+    for r in quality.judge(docs.unionByName(odd), (good, bad)).collect():
+        if len(r.text or "") > 3000:
+            continue
+        p_good, p_toxic, kept = verdict_by_hand(r.text, good, bad)
+        assert (r.p_good, r.p_toxic) == pytest.approx((p_good, p_toxic), rel=1e-6, abs=1e-9)
+        assert r.kept == kept
+        seen.add((r.base_failed, kept))
+    assert seen == {(True, False), (False, False), (False, True)}
+
+
 def test_quality_of_odd_tables(spark, docs, corpus, nothing):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = quality.quality_rules(docs, none)
