@@ -50,6 +50,18 @@ def test_states_beyond_one_bucket(spark):
     assert empty.count() == 0
 
 
+def test_states_of_small_groups_are_small(spark):
+    """A group of two members costs a word or two, not a bitmap of its whole bucket."""
+    visits = spark.range(5000).select(F.col("id").cast("string").alias("fan"), (F.col("id") % 2500).alias("site"))
+    numbers = distinct.number_members(visits, "fan", ["site"])
+    state = distinct.distinct_state(visits.join(numbers, "fan"), "member_no", ["site"])
+    merged = distinct.merge_states(state.unionByName(state), ["site"])
+    for held in (state, merged):
+        assert held.agg(F.max(F.octet_length(F.to_json("bits")))).first()[0] < 200
+        assert {x.n_distinct for x in distinct.count_states(held, ["site"]).collect()} == {2}
+        assert rows(distinct.count_states(held, [])) == [(5000,)]
+
+
 # ---- contents ----------------------------------------------------------------------
 def test_content_notices_one_cell(spark, tmp_path):
     data = [(i, None if i % 7 == 0 else f"v{i % 5}", i % 3, 0.5 * i) for i in range(200)]
