@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.ranking import keep_first
 from starloom.operators.skew import HASH, PIECES, SALT, HotKeys, hot_keys, is_small, key_hash
 
 
@@ -20,14 +19,17 @@ def one_per_key(
 ) -> DataFrame:
     """One row per non-NULL key: the smallest by ``values``.
 
-    A lookup with one row per key cannot multiply the rows it is joined to.
+    A lookup with one row per key cannot multiply the rows it is joined to. Copies meet map-side, and the
+    rows come out dealt by their keys, so a join by these alone does not shuffle them again.
     """
     usable = lookup.select(*keys, *values).dropna(subset=list(keys))
     if strict:
         repeated = duplicate_keys(usable, keys).first()
         if repeated is not None:
             raise AmbiguousLookup(f"{dict(repeated.asDict())}")
-    return keep_first(usable, keys, values)
+    # Structs compare field by field with NULLs first, as ``total_order`` does.
+    first = usable.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__first"))
+    return first.select(*keys, *[F.col(f"__first.{v}").alias(v) for v in values])
 
 
 def duplicate_keys(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,6 +44,7 @@ def lookup_join(
     needed: Column | None = None,
     small: bool | None = None,
     hot: HotKeys | None = None,
+    matchable: bool = False,
 ) -> DataFrame:
     """``left`` with the non-key columns of ``lookup``, NULL where nothing matches.
 
@@ -51,6 +54,7 @@ def lookup_join(
     A lookup proven small is broadcast and ``left`` is not shuffled. A larger one is
     joined by hash with a salt: rows that cannot match are spread by their own hash, and
     the rows of an oversize key are dealt over copies of that key's one lookup row.
+    ``matchable``: no row of ``left`` has a NULL key or no need, so without oversize keys there is no salt.
     """
     keys = list(on)
     taken = [c for c in lookup.columns if c not in keys]
@@ -68,11 +72,11 @@ def lookup_join(
         joined = probe.join(F.broadcast(side), match, "left")
     else:
         probe_keys = [F.col(f"__key_{k}") for k in keys]
-        matchable = F.lit(True)
+        found = F.lit(True)
         for k in probe_keys:
-            matchable = matchable & k.isNotNull()
+            found = found & k.isNotNull()
         if hot is None:
-            hot = hot_keys(probe, probe_keys, where=matchable)
+            hot = hot_keys(probe, probe_keys, where=found)
         own_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
         if hot:
             table = hot.table()
@@ -91,10 +95,11 @@ def lookup_join(
         else:
             piece = F.lit(0)
             side = side.withColumn(f"__side{SALT}", F.lit(0).cast("bigint"))
-        probe = probe.withColumn(
-            SALT, F.when(matchable, piece).otherwise(own_hash).cast("bigint")
-        )
-        match = [*match, F.col(SALT) == F.col(f"__side{SALT}")]
+        if hot or not matchable:
+            probe = probe.withColumn(
+                SALT, F.when(found, piece).otherwise(own_hash).cast("bigint")
+            )
+            match = [*match, F.col(SALT) == F.col(f"__side{SALT}")]
         joined = probe.join(side, match, "left")
     return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"`{c}`") for c in taken])
 
@@ -113,16 +118,23 @@ def fill_from_lookup(
 
     Only rows whose target is NULL look anything up; a value already there is kept even
     where the lookup says otherwise. Column order stays.
+
+    For a lookup too large to be sent to every executor, rows that lack the target and have the keys
+    are joined, and all others pass beside them without a shuffle. ``df`` is read for both, so it
+    should be stored.
     """
     source = one_per_key(lookup, list(on), [value], strict).withColumnRenamed(value, "__found")
     if small is None:
         small = is_small(lookup.select(*on, value))
-    joined = lookup_join(df, source, on, needed=F.col(target).isNull(), small=small, hot=hot)
-    return joined.select(
-        *[
-            F.coalesce(F.col(target), F.col("__found")).alias(target)
-            if c == target
-            else F.col(f"`{c}`")
-            for c in df.columns
-        ]
-    )
+    lacking = F.col(f"`{target}`").isNull()
+    filled = [
+        F.coalesce(F.col(target), F.col("__found")).alias(target) if c == target else F.col(f"`{c}`")
+        for c in df.columns
+    ]
+    if small:
+        return lookup_join(df, source, on, needed=lacking, small=True).select(*filled)
+    wanting = lacking
+    for key in on.values():
+        wanting = wanting & key.isNotNull()
+    joined = lookup_join(df.filter(wanting), source, on, small=False, hot=hot, matchable=True)
+    return joined.select(*filled).unionByName(df.filter(~wanting))

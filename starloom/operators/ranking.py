@@ -43,6 +43,7 @@ def keep_first(
     ties: Sequence[str] | None = None,
     only: Column | None = None,
     row_id: str | None = None,
+    hashed: str | None = None,
 ) -> DataFrame:
     """First row of each group; every row for which ``only`` is not true.
 
@@ -51,17 +52,25 @@ def keep_first(
 
     With ``only``, a column ``row_id`` unique among the other rows makes each of them a
     group of its own, and one pass does. Without it the rows are stored once to get one.
+
+    ``hashed`` names a column to add, with the hash of the keys that rows are dealt by. As long as it
+    is there, a later step over groups of it and the keys needs no further shuffle.
     """
+    if hashed is not None:
+        if only is not None:
+            raise ValueError("rows that are no group have no hash of it")
+        df = df.withColumn(hashed, F.xxhash64(*[F.col(k) for k in keys]))
     if only is not None and row_id is None:
         numbered = materialize(df, "numbered", row_id=_OWN)
         tied = df.columns if ties is None else ties
         return keep_first(numbered, keys, order_by, tied, only, _OWN).drop(_OWN)
     frame = df.select(*ties) if ties is not None else df
-    order = total_order(frame, order_by, without=keys)
+    order = total_order(frame, order_by, without=[*keys, *([hashed] if hashed else [])])
     groups = [F.col(k) for k in keys]
     if only is not None:
         groups.append(F.when(F.coalesce(only, F.lit(False)), None).otherwise(F.col(row_id)))
-    window = Window.partitionBy(*_groups(groups)).orderBy(*order)
+    lead = [F.col(hashed), *groups] if hashed else _groups(groups)
+    window = Window.partitionBy(*lead).orderBy(*order)
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 

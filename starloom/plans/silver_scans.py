@@ -21,12 +21,14 @@ from starloom.operators.quarantine import Split, id_reasons, outcome, split, sta
 from starloom.operators.ranking import keep_first, rank_rows
 from starloom.operators.skew import HotKeys, hot_keys, hot_keys_of, is_small
 from starloom.rules import ACCEPTED, ScanPolicy
+from starloom.session import materialize
 
 # A scan in its twelve columns: what ties between equal timestamps are decided on.
 SCAN = tuple(contracts.TICKET_SCANS.names)
 FIRST_SCAN = ["scan_timestamp"]
 TICKET = ["ticket_id"]
 FAN_AT_MATCH = ["match_id", "fan_id"]
+_TICKET_HASH = "__ticket_hash"
 
 
 @dataclass(frozen=True)
@@ -235,9 +237,10 @@ def is_identified() -> Column:
     return F.col("fan_id") != rules.ANONYMOUS_FAN
 
 
-def first_per_ticket(df: DataFrame) -> DataFrame:
+def first_per_ticket(df: DataFrame, hashed: str | None = None) -> DataFrame:
     """Earliest scan of each ticket id as typed."""
-    return keep_first(df.filter(F.col("ticket_id").isNotNull()), TICKET, FIRST_SCAN, ties=SCAN)
+    known = df.filter(F.col("ticket_id").isNotNull())
+    return keep_first(known, TICKET, FIRST_SCAN, ties=SCAN, hashed=hashed)
 
 
 def repeated_tickets(df: DataFrame, hot: HotKeys | None = None) -> DataFrame:
@@ -262,17 +265,22 @@ def repeated_fans(df: DataFrame, hot: HotKeys | None = None) -> DataFrame:
 def judged_scans(raw: DataFrame) -> DataFrame:
     """Rows up to the last quarantine but one: distinct, first per ticket, both ids valid.
 
-    ``ticket_id_raw``, the id as typed, is unique among them.
+    ``ticket_id_raw``, the id as typed, is unique among them. The first scans of tickets are taken before
+    copies: rows are dealt by ticket then, where copies meet as well, so both steps share a shuffle.
     """
-    first = first_per_ticket(profile.distinct_rows(raw))
-    kept = first.withColumn("ticket_id_raw", F.col("ticket_id"))
+    first = first_per_ticket(raw, hashed=_TICKET_HASH)
+    kept = profile.distinct_rows(first).drop(_TICKET_HASH).withColumn("ticket_id_raw", F.col("ticket_id"))
     return fan_split(ticket_split(kept).accepted).accepted
 
 
 def accepted_scans(raw: DataFrame, policy: ScanPolicy | None = None) -> DataFrame:
     """Accepted rows with every rule column."""
     policy = policy or ScanPolicy()
-    kept = first_per_fan_at_match(judged_scans(raw), "ticket_id_raw").drop("ticket_id_raw")
+    # What follows from the ids is left out of the shuffle, and so is the id as typed where fans are known.
+    alone = F.when(~is_identified(), F.col("ticket_id_raw")).alias("ticket_id_raw")
+    entered = judged_scans(raw).select(*SCAN, alone)
+    kept = first_per_fan_at_match(entered, "ticket_id_raw").drop("ticket_id_raw")
+    kept = _judge_fan(_judge_ticket(kept))
     if policy.dedup_after_repair:
         kept = keep_first(kept, ["ticket_id_fixed"], FIRST_SCAN, ties=[*SCAN, "ticket_id_fixed"])
     return with_business_rules(kept, policy)
@@ -498,6 +506,16 @@ def enrich_scans(
     return silver
 
 
+def kept_scans(raw: DataFrame, small: bool, policy: ScanPolicy | None = None) -> DataFrame:
+    """Cleaned scans; stored where the matches are too many to broadcast (not ``small``).
+
+    They are read several times then: by the look for oversize groups, and for the rows that look
+    something up and those that do not.
+    """
+    kept = cleaned_columns(accepted_scans(raw, policy))
+    return kept if small else materialize(kept, "cleaned")
+
+
 def silver_scans(
     raw: DataFrame,
     matches: DataFrame,
@@ -506,12 +524,10 @@ def silver_scans(
 ) -> DataFrame:
     """Raw scans and cleaned matches to the silver table, in one lineage.
 
-    Where the matches are too many to broadcast, oversize groups are looked for in the
-    raw scans: a scan of a few columns, instead of a second run of the steps before.
+    Where the matches are too many to broadcast, the cleaned scans are stored once, and oversize
+    groups are looked for there: a scan of a few columns, instead of a second run of the steps before.
     """
     policy = policy or ScanPolicy()
     if small is None:
         small = lookup_is_small(matches)
-    skew = None if small else fill_skew(raw)
-    cleaned = cleaned_columns(accepted_scans(raw, policy))
-    return enrich_scans(cleaned, matches, policy, small, skew)
+    return enrich_scans(kept_scans(raw, small, policy), matches, policy, small)

@@ -61,3 +61,22 @@ def test_repeated_keys_do_not_multiply_rows(left, right, spark):
     with pytest.raises(AmbiguousLookup):
         one_per_key(more, ["k"], ["v"], strict=True)
     assert one_per_key(right, ["k"], ["v"], strict=True).count() == right.count()
+
+
+def test_large_fills_shuffle_only_rows_that_lack_something(left, right, spark):
+    """Rows that have their value pass beside the join, and the lookup is dealt by its keys once."""
+    got = fill_from_lookup(left, right, {"k": F.col("k")}, "own", "v", small=False, hot=HotKeys())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Union" in plan and plan.count("Exchange hashpartitioning") == 2
+        assert rows(got) == rows(left.join(right, "k", "left").select("id", "k", F.coalesce("own", "v").alias("own")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_smallest_lookup_row_counts_nulls_first(spark):
+    data = [("a", "x", 2), ("a", "x", 1), ("a", None, 9), ("b", "y", None), ("b", "x", 3), (None, "z", 1), ("c", None, None)]
+    frame = spark.createDataFrame(data, "k string, v string, n int")
+    assert rows(one_per_key(frame, ["k"], ["v", "n"])) == [("a", None, 9), ("b", "x", 3), ("c", None, None)]

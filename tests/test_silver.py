@@ -137,3 +137,14 @@ def test_fans_may_be_deduplicated_after_enrichment(raw, scenario):
     assert later.filter(known).groupBy("match_id", "fan_id").count().filter("count > 1").isEmpty()
     assert later.count() < usual.count() and later.exceptAll(usual).isEmpty()
     assert later.filter(f"NOT ({known})").count() == usual.filter(f"NOT ({known})").count()
+
+
+def test_accepted_scans_are_shuffled_twice(raw):
+    """By ticket, where copies meet as well, and by fan and match; repaired ids stay out of both."""
+    plan_text = plan.accepted_scans(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan_text.count("Exchange hashpartitioning") == 2
+
+
+def test_copies_of_scans_count_once(raw):
+    twice = raw.unionByName(raw)
+    assert rows(plan.cleaned_columns(plan.accepted_scans(twice))) == rows(plan.cleaned_columns(plan.accepted_scans(raw)))
