@@ -19,6 +19,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -98,7 +99,9 @@ class WordEncoder:
             start = end + 1
 
     def __call__(self, text: str) -> bytes:
-        runs = SPACES.split(text)
+        # White space of plain texts is SPACES alone, which is what ``split`` takes them apart by.
+        plain = PLAIN.fullmatch(text) is not None
+        runs = text.split() if plain else SPACES.split(text)
         if len(self.memo) > REMEMBERED:
             self.memo = {"": b""}
         memo = self.memo
@@ -106,7 +109,7 @@ class WordEncoder:
             return b"".join([memo[run] for run in runs])
         except KeyError:
             missing = [run for run in set(runs) if run not in memo]
-        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+        if plain and not any(s in text for s in self.special):
             memo.update(zip(missing, self._plain(missing), strict=True))
         else:
             for run in missing:
@@ -114,6 +117,12 @@ class WordEncoder:
         return b"".join([memo[run] for run in runs])
 
 
+@lru_cache(maxsize=1)
+def encoder_of(vocabulary: str) -> WordEncoder:
+    """The encoder of a vocabulary, made once in a worker process and used by all of its tasks."""
+    return WordEncoder(vocabulary)
+
+
 def write_files(
     docs: DataFrame,
     path: str,
@@ -137,7 +146,7 @@ def write_files(
     kind = pa.schema([pa.field("key", _arrow(docs.schema[id_col].dataType)), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(vocabulary or public_tokenizers.path(VOCABULARY))
+        encode = encoder_of(vocabulary or public_tokenizers.path(VOCABULARY))
         part, piece = TaskContext.get().partitionId(), 0
         ids, held, keys, lengths, chunks = [], 0, [], [], 0
 

@@ -47,6 +47,15 @@ def test_encoder_equals_the_library(spark, folder, exact):
         assert np.frombuffer(encode(text), "<u2").tolist() == encoded(exact, text)[:-1], text[:50]
 
 
+def test_a_worker_makes_its_encoder_once(spark, exact):
+    """Tasks of one worker share an encoder, and what it remembers changes no ids."""
+    vocabulary = public_tokenizers.path(token_files.VOCABULARY)
+    encode = token_files.encoder_of(vocabulary)
+    assert token_files.encoder_of(vocabulary) is encode
+    for text in (" \t a\r\n\nb  c ", "a\x0bb\x1cc\x85d\u00a0e", "\n", "a \u3000 b") * 2:
+        assert np.frombuffer(encode(text), "<u2").tolist() == encoded(exact, text)[:-1], text
+
+
 @pytest.mark.parametrize("chunk", [token_files.CHUNK_BYTES, 3_000])
 def test_digests_by_key(spark, folder, exact, chunk):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
