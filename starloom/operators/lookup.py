@@ -37,10 +37,14 @@ def duplicate_keys(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
     return lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
+def _value(key: Column | str) -> Column:
+    return F.col(f"`{key}`") if isinstance(key, str) else key
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
-    on: Mapping[str, Column],
+    on: Mapping[str, Column | str],
     needed: Column | None = None,
     small: bool | None = None,
     hot: HotKeys | None = None,
@@ -48,8 +52,8 @@ def lookup_join(
 ) -> DataFrame:
     """``left`` with the non-key columns of ``lookup``, NULL where nothing matches.
 
-    ``on`` maps each key column of the lookup to the expression on ``left`` it must equal;
-    ``lookup`` has one row per key. Rows for which ``needed`` is not true match nothing.
+    ``on`` maps each key column of the lookup to the expression on ``left`` it must equal, or to the name of
+    a column, which is then not shuffled a second time as a key. ``lookup`` has one row per key. Rows for which ``needed`` is not true match nothing.
 
     A lookup proven small is broadcast and ``left`` is not shuffled. A larger one is
     joined by hash with a salt: rows that cannot match are spread by their own hash, and
@@ -63,15 +67,16 @@ def lookup_join(
     wanted = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
 
     # Key expressions are computed on the left before the join, where names are its own.
-    probe = left.withColumns({f"__key_{k}": F.when(wanted, e) for k, e in on.items()})
-    match = [F.col(f"__key_{k}") == F.col(renamed[k]) for k in keys]
+    plain = {k for k, e in on.items() if isinstance(e, str) and needed is None}
+    probe = left.withColumns({f"__key_{k}": F.when(wanted, _value(e)) for k, e in on.items() if k not in plain})
+    probe_keys = [_value(on[k]) if k in plain else F.col(f"__key_{k}") for k in keys]
+    match = [e == F.col(renamed[k]) for k, e in zip(keys, probe_keys, strict=True)]
 
     if small is None:
         small = is_small(lookup)
     if small:
         joined = probe.join(F.broadcast(side), match, "left")
     else:
-        probe_keys = [F.col(f"__key_{k}") for k in keys]
         found = F.lit(True)
         for k in probe_keys:
             found = found & k.isNotNull()
@@ -107,7 +112,7 @@ def lookup_join(
 def fill_from_lookup(
     df: DataFrame,
     lookup: DataFrame,
-    on: Mapping[str, Column],
+    on: Mapping[str, Column | str],
     target: str,
     value: str,
     small: bool | None = None,
@@ -135,6 +140,6 @@ def fill_from_lookup(
         return lookup_join(df, source, on, needed=lacking, small=True).select(*filled)
     wanting = lacking
     for key in on.values():
-        wanting = wanting & key.isNotNull()
+        wanting = wanting & _value(key).isNotNull()
     joined = lookup_join(df.filter(wanting), source, on, small=False, hot=hot, matchable=True)
     return joined.select(*filled).unionByName(df.filter(~wanting))

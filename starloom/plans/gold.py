@@ -14,6 +14,10 @@ from starloom.operators.skew import HotKeys, hot_keys, is_small
 from starloom.rules import ScanPolicy
 
 ROW_ID = "__row_id"
+#: Silver columns that the fact has, or derives its keys from.
+FACT_PLAIN = ("ticket_id", "ticket_category", "ticket_price_mad", "purchase_channel", "scan_status", "scan_timestamp", "entry_gate")
+FACT_SCANS = ("match_id", "stadium_id", *FACT_PLAIN)
+FAN = ("fan_id", "is_fan_id_valid")
 
 
 def _load_ts(at: Column | None) -> Column:
@@ -149,7 +153,7 @@ def link_teams(
     teams = ["home_team_code", "away_team_code"]
     mapping = one_per_key(matches, ["match_id"], teams, strict)
     return lookup_join(
-        scans, mapping, {"match_id": F.col("match_id")}, small=small, hot=hot
+        scans, mapping, {"match_id": "match_id"}, small=small, hot=hot
     )
 
 
@@ -169,29 +173,29 @@ def link_fans(
     return joined.withColumn("fan_key", F.coalesce("fan_key", anonymous))
 
 
+def _days() -> dict[str, Column]:
+    day = F.to_date("scan_timestamp")
+    return {"date_key": date_key(day), "scan_day": F.date_format(day, "yyyy-MM-dd")}
+
+
 def fact_rows(linked: DataFrame) -> DataFrame:
     """Fact columns that need no surrogate key, unknown members substituted.
 
-    Measures can be taken on these rows directly. Key columns already there stay.
+    Measures can be taken on these rows directly. Key columns already there stay. Scans that were read
+    without some of ``FACT_PLAIN`` give rows without them.
     """
     unknown = F.lit(rules.UNKNOWN_MEMBER)
-    day = F.to_date("scan_timestamp")
+    days = _days()
     keys = [c for c in ("fan_key", ROW_ID) if c in linked.columns]
     return linked.select(
         *keys,
         F.coalesce("match_id", unknown).alias("match_key"),
         F.coalesce("stadium_id", unknown).alias("stadium_key"),
-        date_key(day).alias("date_key"),
+        days["date_key"].alias("date_key"),
         F.coalesce("home_team_code", unknown).alias("home_team_key"),
         F.coalesce("away_team_code", unknown).alias("away_team_key"),
-        "ticket_id",
-        "ticket_category",
-        "ticket_price_mad",
-        "purchase_channel",
-        "scan_status",
-        "scan_timestamp",
-        "entry_gate",
-        F.date_format(day, "yyyy-MM-dd").alias("scan_day"),
+        *[c for c in FACT_PLAIN if c in linked.columns],
+        days["scan_day"].alias("scan_day"),
     )
 
 
@@ -203,6 +207,7 @@ def fact_ticket_scan(
     strict: bool = False,
     small_matches: bool | None = None,
     lasting: LastingKeys | None = None,
+    skew_of: DataFrame | None = None,
 ) -> DataFrame:
     """The fact: six foreign keys and a surrogate key 1..n by ticket and time.
 
@@ -212,14 +217,18 @@ def fact_ticket_scan(
     ``scans`` may carry the stored row id of ``materialize`` as ``__row_id``. Without it they are
     taken for distinct, as silver scans are: the joined rows are stored once, sorted, and equal
     ones would be numbered side by side. Oversize groups are looked for in the scans, not in
-    what is already joined.
+    what is already joined; ``skew_of`` names stored rows with the fans and matches of scans that are not.
     """
     small_fans = is_small(fans.select("fan_id", "fan_key"))
     known = F.col("fan_id") != rules.ANONYMOUS_FAN
-    hot_fans = HotKeys() if small_fans else hot_keys(scans, ["fan_id"], where=known)
-    teams = link_teams(scans, matches, strict, small_matches)
+    hot_fans = HotKeys() if small_fans else hot_keys(scans if skew_of is None else skew_of, ["fan_id"], where=known)
+    hot_matches = None
+    if skew_of is not None and not small_matches:
+        hot_matches = hot_keys(skew_of, ["match_id"], where=F.col("match_id").isNotNull())
+    teams = link_teams(scans, matches, strict, small_matches, hot_matches)
     linked = link_fans(teams, fans, small_fans, hot_fans)
-    rows = fact_rows(linked)
+    # Days follow from the time that rows are ordered by, so they are not sorted along with them.
+    rows = fact_rows(linked).drop("date_key", "scan_day")
     row_id = ROW_ID if ROW_ID in rows.columns else None
     order, key = ["ticket_id", "scan_timestamp"], "ticket_scan_key"
     if lasting is None:
@@ -227,7 +236,7 @@ def fact_ticket_scan(
     else:
         rows = rows.drop(ROW_ID)
         keyed = with_lasting_key(scans.sparkSession, rows, lasting.path("scan"), order, key, lasting.run)
-    return keyed.withColumn("load_ts", _load_ts(at)).select(*contracts.FACT_TICKET_SCAN.names)
+    return keyed.withColumns({**_days(), "load_ts": _load_ts(at)}).select(*contracts.FACT_TICKET_SCAN.names)
 
 
 def with_unknown_member(dim: DataFrame, key: str) -> DataFrame:

@@ -7,6 +7,7 @@ one outcome each, for a run that stores accepted rows and audits from a single p
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -401,7 +402,7 @@ def fill_match_ids(
     played = matches.select(
         "stadium_id", F.to_date("match_date").alias("match_day"), "match_id"
     )
-    on = {"stadium_id": F.col("stadium_id"), "match_day": F.to_date("scan_timestamp")}
+    on = {"stadium_id": "stadium_id", "match_day": F.to_date("scan_timestamp")}
     return fill_from_lookup(scans, played, on, "match_id", "match_id", small, hot, strict)
 
 
@@ -437,7 +438,7 @@ def fill_stadium_ids(
 ) -> DataFrame:
     """Fill a missing stadium id with the stadium of the scan's match."""
     venue = matches.select("match_id", "stadium_id")
-    on = {"match_id": F.col("match_id")}
+    on = {"match_id": "match_id"}
     return fill_from_lookup(scans, venue, on, "stadium_id", "stadium_id", small, hot, strict)
 
 
@@ -472,9 +473,12 @@ def enrich_scans(
     policy: ScanPolicy | None = None,
     small: bool | None = None,
     skew: FillSkew | None = None,
+    columns: Collection[str] | None = None,
 ) -> DataFrame:
-    """Missing references filled, columns and names of the silver contract."""
+    """Missing references filled, columns and names of the silver contract, or those of ``columns``."""
     policy = policy or ScanPolicy()
+    if columns is not None and policy.dedup_fans_after_enrichment:
+        raise ValueError("ties between the scans of a fan are decided on all columns")
     strict = policy.strict_lookups
     if policy.normalize_keys:
         keys = ("match_id", "stadium_id")
@@ -499,20 +503,44 @@ def enrich_scans(
             "fan_id_valide": "is_fan_id_valid",
         }
     ).withColumnsRenamed({"ticket_id_fixed": "ticket_id", "fan_id_fixed": "fan_id"})
-    silver = renamed.select(*contracts.TICKET_SCANS_CLEAN.names)
+    names = contracts.TICKET_SCANS_CLEAN.names
+    silver = renamed.select(*[c for c in names if columns is None or c in columns])
     if policy.dedup_fans_after_enrichment:
         known = is_identified() & F.col("match_id").isNotNull()
         silver = keep_first(silver, FAN_AT_MATCH, FIRST_SCAN, only=known)
     return silver
 
 
-def kept_scans(raw: DataFrame, small: bool, policy: ScanPolicy | None = None) -> DataFrame:
+#: Silver columns that cleaned scans have under another name.
+CLEANED_NAMES = {
+    "ticket_id_original": "ticket_id",
+    "fan_id_original": "fan_id",
+    "ticket_id": "ticket_id_fixed",
+    "fan_id": "fan_id_fixed",
+    "is_ticket_id_valid": "ticket_id_valide",
+    "is_fan_id_valid": "fan_id_valide",
+    "ticket_category": "ticket_category_fixed",
+    "purchase_channel": "purchase_channel_fixed",
+    "purchase_date": "purchase_date_fixed",
+}
+
+
+def kept_scans(
+    raw: DataFrame,
+    small: bool,
+    policy: ScanPolicy | None = None,
+    columns: Collection[str] | None = None,
+) -> DataFrame:
     """Cleaned scans; stored where the matches are too many to broadcast (not ``small``).
 
     They are read several times then: by the look for oversize groups, and for the rows that look
-    something up and those that do not.
+    something up and those that do not. ``columns`` names the silver columns that are read later; what
+    they and the fills do not come from is not stored.
     """
     kept = cleaned_columns(accepted_scans(raw, policy))
+    if columns is not None:
+        read = {"match_id", "stadium_id", "scan_timestamp", *(CLEANED_NAMES.get(c, c) for c in columns)}
+        kept = kept.select(*[c for c in kept.columns if c in read])
     return kept if small else materialize(kept, "cleaned")
 
 

@@ -80,3 +80,15 @@ def test_smallest_lookup_row_counts_nulls_first(spark):
     data = [("a", "x", 2), ("a", "x", 1), ("a", None, 9), ("b", "y", None), ("b", "x", 3), (None, "z", 1), ("c", None, None)]
     frame = spark.createDataFrame(data, "k string, v string, n int")
     assert rows(one_per_key(frame, ["k"], ["v", "n"])) == [("a", None, 9), ("b", "x", 3), ("c", None, None)]
+
+
+def test_a_named_key_is_not_carried_twice(spark):
+    """A key given by its column's name joins as the same expression does, without a second copy of it."""
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "c")], "n int, k string")
+    right = spark.createDataFrame([("a", 10), ("b", 20)], "k string, v int")
+    for small in (True, False):
+        named = lookup_join(left, right, {"k": "k"}, small=small)
+        assert sorted(map(tuple, named.collect())) == [(1, "a", 10), (2, None, None), (3, "b", 20), (4, "c", None)]
+        assert "__key_k" not in named._jdf.queryExecution().toString()
+    wanted = lookup_join(left, right, {"k": "k"}, needed=F.col("n") > 1, small=False)
+    assert sorted(map(tuple, wanted.collect()))[0] == (1, "a", None)
