@@ -31,9 +31,10 @@ def _groups(keys: Sequence[Column]) -> list[Column]:
     """Partition columns of a ranking, led by a hash of the keys.
 
     Rows are sorted by these first. A leading number settles almost every comparison on
-    the sort's eight-byte prefix; identifiers with a common beginning settle none there.
+    the sort's eight-byte prefix; identifiers with a common beginning settle none there. It
+    is shuffled with every row, so four bytes have to do: keys that share them are told apart by themselves.
     """
-    return [F.xxhash64(*keys), *keys]
+    return [F.hash(*keys), *keys]
 
 
 def keep_first(
@@ -59,7 +60,7 @@ def keep_first(
     if hashed is not None:
         if only is not None:
             raise ValueError("rows that are no group have no hash of it")
-        df = df.withColumn(hashed, F.xxhash64(*[F.col(k) for k in keys]))
+        df = df.withColumn(hashed, F.hash(*[F.col(k) for k in keys]))
     if only is not None and row_id is None:
         numbered = materialize(df, "numbered", row_id=_OWN)
         tied = df.columns if ties is None else ties

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.ranking import dense_key, keep_first, rank_rows, total_order
+from starloom.operators.ranking import _groups, dense_key, keep_first, rank_rows, total_order
 from starloom.operators.skew import HotKeys, gather, hot_keys, hot_keys_of, is_small
 
 
@@ -123,3 +123,13 @@ def test_gather_rebalances_by_key(skewed):
     assert rows(got) == rows(skewed)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_the_lead_of_a_ranking_takes_four_bytes(spark):
+    """Rows are dealt and sorted by an int; keys that share it are still groups of their own."""
+    rows = [(f"k{i % 5000}", i) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    assert df.select(_groups([F.col("k")])[0].alias("h")).dtypes == [("h", "int")]
+    kept = keep_first(df, ["k"], ["n"], hashed="h")
+    assert dict(kept.dtypes)["h"] == "int"
+    assert sorted((r.k, r.n) for r in kept.collect()) == sorted((f"k{i}", i) for i in range(5000))
