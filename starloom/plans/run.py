@@ -57,20 +57,20 @@ def run_scans(
 ) -> dict[str, int]:
     """Classify all scans in one pass, then store the audit and the silver scans from it.
 
-    The classified rows are stored once. Whatever is read from them afterwards agrees on
-    which of several rows was the first, and a lost executor costs a re-read. A named ``run``
+    The classified rows are stored once, without what follows from a row alone. Whatever is read from
+    them afterwards agrees on which of several rows was the first, and a lost executor costs a re-read. A named ``run``
     adds its audit to those of other runs, in place of what it added before.
     """
     policy = policy or ScanPolicy()
-    classified, seen = observed(
-        scans_plan.classify_scans(raw, scans_plan.scan_skew(raw, policy), policy),
+    placed, seen = observed(
+        scans_plan.place_scans(raw, scans_plan.scan_skew(raw, policy), policy),
         {
             "rows_in": F.sum("count"),
             "rows_distinct": F.count(F.lit(1)),
             "rows_accepted": F.count_if(F.col("audit_table") == ACCEPTED),
         },
     )
-    stored = materialize(classified, "classified")
+    stored = scans_plan.told_scans(materialize(placed, "classified"), policy)
     metrics = dict(seen.get)
     audit, kept = scans_plan.audit_of(stored, at), layout.path("audit", "rejected_scans")
     how = {"fmt": layout.fmt, "partition_by": ["audit_table"]}

@@ -287,19 +287,18 @@ def accepted_scans(raw: DataFrame, policy: ScanPolicy | None = None) -> DataFram
     return with_business_rules(kept, policy)
 
 
-def classify_scans(
+def place_scans(
     raw: DataFrame, skew: ScanSkew | None = None, policy: ScanPolicy | None = None
 ) -> DataFrame:
     """Every distinct row with its outcome, in ``audit_table``, and its copies, in ``count``.
 
     Three shuffles in all: distinct rows, rank per ticket, rank per fan and match. A row
-    already rejected takes no part in the later ranking.
+    already rejected takes no part in the later ranking. Rows hold what nothing else tells:
+    the scan with normalised ids, and ids as typed where these differ. ``told_scans`` adds the rest.
     """
     skew = skew or ScanSkew()
     policy = policy or ScanPolicy()
-    counted = profile.row_copies(raw).withColumns(
-        {"ticket_id_raw": F.col("ticket_id"), "fan_id_raw": F.col("fan_id")}
-    )
+    counted = profile.row_copies(raw)
     ranked = rank_rows(
         counted, TICKET, FIRST_SCAN, "row_num", F.col("ticket_id").isNotNull(), skew.ticket, SCAN
     )
@@ -311,9 +310,18 @@ def classify_scans(
             *id_reasons("fan_id", F.col("fan_id_valide")),
         ]
     )
-    judged = with_fan_id(with_ticket_id(ranked)).withColumn("__early", early)
+    typed = ranked.withColumns({"__ticket": F.col("ticket_id"), "__fan": F.col("fan_id")})
+    judged = with_fan_id(with_ticket_id(typed)).withColumn("__early", early)
+    # What follows from the normalised ids is left out of the next shuffle, and so are ids typed like that.
+    told = (F.col("fan_id") == F.col("__fan")) & is_identified()
+    narrow = judged.withColumns(
+        {
+            "__ticket": F.when(~F.col("ticket_id").eqNullSafe(F.col("__ticket")), F.col("__ticket")),
+            "__fan": F.when(~told, F.col("__fan")),
+        }
+    ).select(*SCAN, "count", "__ticket", "__fan", "row_num", "__early")
     entered = rank_rows(
-        judged,
+        narrow,
         FAN_AT_MATCH,
         FIRST_SCAN,
         "__entry",
@@ -324,13 +332,30 @@ def classify_scans(
     final = F.when(F.col("__entry") > 1, F.lit("fan_id_doublons")).otherwise(F.col("__early"))
     placed = entered.withColumn("audit_table", final)
     if policy.dedup_after_repair:
-        placed = _reject_repaired_copies(placed, skew.repaired_ticket)
-    placed = (
+        repaired = _judge_ticket(placed)
+        placed = _reject_repaired_copies(repaired, skew.repaired_ticket).drop("ticket_id_fixed", "ticket_id_valide")
+    return (
         placed
         .withColumn("row_num", F.when(F.col("audit_table") == "ticket_id_doublons", F.col("row_num")))
         .drop("__early", "__entry")
     )
-    return with_business_rules(placed, policy)
+
+
+def told_scans(placed: DataFrame, policy: ScanPolicy | None = None) -> DataFrame:
+    """Placed rows with ids as typed and repaired, and every rule column: all that follows from a row alone."""
+    fan = F.when(is_identified(), F.coalesce("__fan", "fan_id")).otherwise(F.col("__fan"))
+    typed = placed.withColumns({"ticket_id_raw": F.coalesce("__ticket", "ticket_id"), "fan_id_raw": fan})
+    names = [*SCAN, "count", "ticket_id_raw", "fan_id_raw", "row_num"]
+    judged = ["ticket_id_fixed", "ticket_id_valide", "fan_id_fixed", "fan_id_valide"]
+    told = _judge_fan(_judge_ticket(typed)).select(*names, *judged, "audit_table")
+    return with_business_rules(told, policy)
+
+
+def classify_scans(
+    raw: DataFrame, skew: ScanSkew | None = None, policy: ScanPolicy | None = None
+) -> DataFrame:
+    """Every distinct row with its outcome, copies, and every rule column."""
+    return told_scans(place_scans(raw, skew, policy), policy)
 
 
 def _reject_repaired_copies(placed: DataFrame, hot: HotKeys) -> DataFrame:

@@ -148,3 +148,25 @@ def test_accepted_scans_are_shuffled_twice(raw):
 def test_copies_of_scans_count_once(raw):
     twice = raw.unionByName(raw)
     assert rows(plan.cleaned_columns(plan.accepted_scans(twice))) == rows(plan.cleaned_columns(plan.accepted_scans(raw)))
+
+
+def test_rows_are_placed_without_what_follows_from_them(raw, classified):
+    """The last shuffle and the stored rows hold neither repaired ids nor rule columns."""
+    placed = plan.place_scans(raw)
+    kept = {*plan.SCAN, "count", "row_num", "audit_table", "__ticket", "__fan"}
+    assert set(placed.columns) == kept
+    last = placed._jdf.queryExecution().optimizedPlan().toString().split("Window [")[1]
+    assert "ticket_id_fixed" not in last and "ticket_id_raw" not in last
+    columns = classified.columns
+    assert rows(plan.told_scans(placed).select(*columns)) == rows(classified)
+
+
+def test_ids_as_typed_come_back(spark, raw):
+    """NULL, the anonymous mark itself, ids that change and ids that do not."""
+    typed = ["FAN_100001", " fan_100002 ", None, "N/A", " n/a ", "", "F#3"]
+    tickets = ["TICKET_1234567", " ticket_2 ", None, "", "XX-4", "TICKET_5", "tk_6"]
+    one = raw.limit(1).drop("fan_id", "ticket_id")
+    ids = spark.createDataFrame([(f, t) for f in typed for t in tickets], "fan_id string, ticket_id string")
+    made = materialize(one.crossJoin(ids).select(*plan.SCAN))
+    told = plan.classify_scans(made)
+    assert rows(told.select("fan_id_raw", "ticket_id_raw")) == rows(made.select("fan_id", "ticket_id"))
