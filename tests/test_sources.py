@@ -291,3 +291,22 @@ def test_landing_jobs_do_not_grow_with_entries(spark, tmp_path):
 
     few, many = jobs(2), jobs(12)
     assert many <= few + 2
+
+
+def test_landing_lists_many_folders_in_few_tasks(spark, tmp_path):
+    """Spark alone would list the files, and then the folders of bronze, with a task for each of them."""
+    entries = readers.LISTING_TASKS + 16
+    for i in range(entries):
+        land(tmp_path / f"landing/scans/s{i}", "1.csv", "ticket_id", f"T{i}")
+    land(tmp_path, "config.csv", "folder_name,file_name", *[f"scans,s{i}" for i in range(entries)])
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    ingest.land_csv(spark, str(tmp_path / "config.csv"), str(tmp_path / "landing"), str(tmp_path / "bronze"))
+    assert readers.read_scans(spark, str(tmp_path / "bronze")).count() == entries
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert max(tasks) <= max(readers.LISTING_TASKS, 4 * spark.sparkContext.defaultParallelism)
+    assert spark.conf.get(name) == before
