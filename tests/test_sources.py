@@ -310,3 +310,21 @@ def test_landing_lists_many_folders_in_few_tasks(spark, tmp_path):
     tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
     assert max(tasks) <= max(readers.LISTING_TASKS, 4 * spark.sparkContext.defaultParallelism)
     assert spark.conf.get(name) == before
+
+
+def test_landing_takes_the_files_of_a_folder_and_none_below(spark, tmp_path):
+    """Folders are listed by tasks, whatever they are called, and files deeper or higher belong to no entry."""
+    files = {"_h/1.csv": "T1", ".d/1.csv": "T2", "b/1.csv": "T3", "scans/b/1.csv": "no", "b/deep/1.csv": "no", "1.csv": "no",
+             "b/1.txt": "no", "p=1/1.csv": "T4", "p=1/q=2/1.csv": "no"}
+    for name, ticket in files.items():
+        path = tmp_path / "landing/scans" / name
+        land(path.parent, path.name, "ticket_id", ticket)
+    land(tmp_path, "config.csv", "folder_name,file_name", *[f"scans,{n}" for n in ("_h", ".d", "b", "p=1", "deep", "scans")])
+    report = ingest.land_csv(
+        spark, str(tmp_path / "config.csv"), str(tmp_path / "landing"), str(tmp_path / "bronze"), raise_on_failure=False
+    )
+    assert rows(report, "entry", "n_rows") == [
+        ("scans/.d", 1), ("scans/_h", 1), ("scans/b", 1), ("scans/deep", None), ("scans/p=1", 1), ("scans/scans", None)
+    ]
+    groups = readers.files_by_header(spark, [f"{tmp_path}/landing/scans/*"], "*.csv")
+    assert len(groups) == 1 and sorted(f.rsplit("/", 2)[-2] for f in groups[0]) == [".d", "_h", "b", "p=1"]
