@@ -182,3 +182,19 @@ def test_policy_reaches_the_star(tables, star):
         contracts.assert_contract(known[name], contracts.GOLD[name])
         assert known[name].count() == star[name].count() + 1
         assert known[name].filter(F.col(key) == rules.UNKNOWN_MEMBER).count() == 1
+
+
+def test_joins_of_the_stored_star_carry_days(spark, folder, monkeypatch):
+    """Facts without a time of day are joined without one, and fall on the same days."""
+    seen, real = {}, gold.link_teams
+
+    def note(scans, *args, **how):
+        seen.update(scans.dtypes)
+        return real(scans, *args, **how)
+
+    plain = spark_queries.unkeyed_fact(spark, folder, plain=spark_queries.COUNTED)
+    monkeypatch.setattr(gold, "link_teams", note)
+    fact = spark_queries.stored_star(spark, folder)["fact"]
+    assert seen["scan_timestamp"] == "date"
+    columns = ["match_key", "stadium_key", "date_key", "away_team_key", "scan_status"]
+    assert rows(fact, *columns) == rows(plain, *columns)
