@@ -10,6 +10,7 @@ from starloom import contracts, rules
 from starloom.operators import profile, ranking
 from starloom.operators.lookup import AmbiguousLookup
 from starloom.plans import gold, measures
+from starloom.registry import spark_queries
 from starloom.rules import ScanPolicy
 
 AT = datetime(2026, 1, 1)
