@@ -20,6 +20,21 @@ def row_copies(df: DataFrame, name: str = "count") -> DataFrame:
     return df.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias(name))
 
 
+def sorted_copies(df: DataFrame, order: Sequence[str], name: str = "count") -> DataFrame:
+    """As ``row_copies``, for rows that were dealt by some of their columns, so that copies are in one task.
+
+    ``order`` names all columns, as a ranking that follows sorts by them: copies are next to each other there, so
+    the one sort does for both and no table of all rows is held. Rows are held that differ in the last column alone.
+    """
+    if sorted(order) != sorted(df.columns):
+        raise ValueError("copies are equal in all columns")
+    columns = [F.col(f"`{c}`") for c in order]
+    window = Window.partitionBy(*columns[:-1]).orderBy(columns[-1].asc_nulls_first())
+    copies = F.count(F.lit(1)).over(window.rangeBetween(Window.currentRow, Window.currentRow))
+    numbered = df.withColumns({name: copies, "__copy": F.row_number().over(window) - F.rank().over(window)})
+    return numbered.filter("__copy = 0").drop("__copy")
+
+
 def duplicate_rows(df: DataFrame, name: str = "count") -> DataFrame:
     """One row per group of fully equal rows, with the group's size."""
     return row_copies(df, name).filter(F.col(name) > 1)

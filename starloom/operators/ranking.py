@@ -78,6 +78,14 @@ def keep_first(
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
+def deal(df: DataFrame, keys: Sequence[str], hashed: str) -> DataFrame:
+    """``df`` shuffled by ``keys``; their lead (see ``_groups``) is added after that, as the column ``hashed``.
+
+    Steps over groups of it and the keys need no further shuffle, and the lead takes no bytes in this one.
+    """
+    return df.repartition(*keys).withColumn(hashed, _groups([F.col(k) for k in keys])[0])
+
+
 def rank_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -86,6 +94,7 @@ def rank_rows(
     eligible: Column | None = None,
     hot: HotKeys | None = None,
     ties: Sequence[str] | None = None,
+    hashed: str | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1, as bigint; NULL for rows that are not eligible.
 
@@ -93,7 +102,15 @@ def rank_rows(
     not meet in one task. Groups in ``hot`` are numbered by one distributed sort over all
     of them (:func:`dense_key`) less the number before their first row. The input is stored
     once then, as it is read for both kinds of groups.
+
+    ``hashed`` names the column that :func:`deal` dealt the rows by; they are not shuffled again then.
     """
+    if hashed is not None:
+        if hot or eligible is not None:
+            raise ValueError("rows dealt by their groups are ranked there, all of them")
+        frame = df.select(*ties) if ties is not None else df
+        window = Window.partitionBy(hashed, *keys).orderBy(*total_order(frame, order_by, without=[*keys, hashed]))
+        return df.withColumn(name, _position(window))
     take_part = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     if not hot:
         return _window_rank(df, keys, order_by, name, take_part, eligible is not None, ties)

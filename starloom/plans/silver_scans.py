@@ -19,7 +19,7 @@ from starloom.operators import profile
 from starloom.operators.asof import asof_join
 from starloom.operators.lookup import fill_from_lookup
 from starloom.operators.quarantine import Split, id_reasons, outcome, split, stamp
-from starloom.operators.ranking import keep_first, rank_rows
+from starloom.operators.ranking import deal, keep_first, rank_rows
 from starloom.operators.skew import HotKeys, hot_keys, hot_keys_of, is_small
 from starloom.rules import ACCEPTED, ScanPolicy
 from starloom.session import materialize
@@ -30,6 +30,7 @@ FIRST_SCAN = ["scan_timestamp"]
 TICKET = ["ticket_id"]
 FAN_AT_MATCH = ["match_id", "fan_id"]
 _TICKET_HASH = "__ticket_hash"
+_ENTRY_HASH = "__entry_hash"
 
 
 @dataclass(frozen=True)
@@ -287,21 +288,56 @@ def accepted_scans(raw: DataFrame, policy: ScanPolicy | None = None) -> DataFram
     return with_business_rules(kept, policy)
 
 
+def _ranked_copies(raw: DataFrame, hot: HotKeys) -> DataFrame:
+    """Every distinct row with its copies, in ``count``, and its place among the scans of its ticket, in ``row_num``.
+
+    Rows are dealt by ticket before copies are counted, so both steps share a shuffle. Rows without a ticket are
+    counted apart, before their shuffle; they have no place. With oversize tickets, which copies of one row
+    may make, all rows are counted like that, and ranked in a shuffle of their own.
+    """
+    known = F.col("ticket_id").isNotNull()
+    if hot:
+        return rank_rows(profile.row_copies(raw), TICKET, FIRST_SCAN, "row_num", known, hot, SCAN)
+    dealt = deal(raw.filter(known), TICKET, _TICKET_HASH)
+    order = list(dict.fromkeys([_TICKET_HASH, *TICKET, *FIRST_SCAN, *SCAN, *raw.columns]))
+    counted = profile.sorted_copies(dealt, order)
+    ranked = rank_rows(counted, TICKET, FIRST_SCAN, "row_num", ties=SCAN, hashed=_TICKET_HASH).drop(_TICKET_HASH)
+    without = profile.row_copies(raw.filter(~known)).withColumn("row_num", F.lit(None).cast("bigint"))
+    return ranked.unionByName(without)
+
+
+def _ranked_entries(judged: DataFrame, hot: HotKeys, store: bool) -> DataFrame:
+    """Rows that nothing rejects so far, with their place among the entries of their fan at their match, and all others."""
+    taking = (F.col("__early") == ACCEPTED) & is_identified()
+    if not store:
+        return rank_rows(judged, FAN_AT_MATCH, FIRST_SCAN, "__entry", taking, hot, SCAN)
+    judged = materialize(judged, "judged")
+    # What is the same for all rows that take part is left out of their shuffle.
+    alone = judged.filter(taking).drop("row_num", "__early")
+    if hot:
+        ranked = rank_rows(alone, FAN_AT_MATCH, FIRST_SCAN, "__entry", hot=hot, ties=SCAN)
+    else:
+        dealt = deal(alone, FAN_AT_MATCH, _ENTRY_HASH)
+        ranked = rank_rows(dealt, FAN_AT_MATCH, FIRST_SCAN, "__entry", ties=SCAN, hashed=_ENTRY_HASH).drop(_ENTRY_HASH)
+    ranked = ranked.withColumns({"row_num": F.lit(1).cast("bigint"), "__early": F.lit(ACCEPTED)})
+    others = judged.filter(~taking).withColumn("__entry", F.lit(None).cast("bigint"))
+    return ranked.unionByName(others)
+
+
 def place_scans(
-    raw: DataFrame, skew: ScanSkew | None = None, policy: ScanPolicy | None = None
+    raw: DataFrame, skew: ScanSkew | None = None, policy: ScanPolicy | None = None, store: bool = False
 ) -> DataFrame:
     """Every distinct row with its outcome, in ``audit_table``, and its copies, in ``count``.
 
-    Three shuffles in all: distinct rows, rank per ticket, rank per fan and match. A row
-    already rejected takes no part in the later ranking. Rows hold what nothing else tells:
-    the scan with normalised ids, and ids as typed where these differ. ``told_scans`` adds the rest.
+    Three shuffles in all: by ticket, for copies and ranks, by the whole row for those without a ticket, and by
+    fan and match. A row already rejected takes no part in the last ranking. With ``store`` the rows are stored
+    before it, and only those that take part are shuffled again. The raw scans are read twice, so they should
+    be stored as well. Rows hold what nothing else tells: the scan with normalised ids, and ids as typed where
+    these differ. ``told_scans`` adds the rest.
     """
     skew = skew or ScanSkew()
     policy = policy or ScanPolicy()
-    counted = profile.row_copies(raw)
-    ranked = rank_rows(
-        counted, TICKET, FIRST_SCAN, "row_num", F.col("ticket_id").isNotNull(), skew.ticket, SCAN
-    )
+    ranked = _ranked_copies(raw, skew.ticket)
     early = outcome(
         [
             ("ticket_id_null", F.col("ticket_id").isNull()),
@@ -320,15 +356,7 @@ def place_scans(
             "__fan": F.when(~told, F.col("__fan")),
         }
     ).select(*SCAN, "count", "__ticket", "__fan", "row_num", "__early")
-    entered = rank_rows(
-        narrow,
-        FAN_AT_MATCH,
-        FIRST_SCAN,
-        "__entry",
-        (F.col("__early") == ACCEPTED) & is_identified(),
-        skew.fan_at_match,
-        SCAN,
-    )
+    entered = _ranked_entries(narrow, skew.fan_at_match, store)
     final = F.when(F.col("__entry") > 1, F.lit("fan_id_doublons")).otherwise(F.col("__early"))
     placed = entered.withColumn("audit_table", final)
     if policy.dedup_after_repair:
@@ -352,10 +380,10 @@ def told_scans(placed: DataFrame, policy: ScanPolicy | None = None) -> DataFrame
 
 
 def classify_scans(
-    raw: DataFrame, skew: ScanSkew | None = None, policy: ScanPolicy | None = None
+    raw: DataFrame, skew: ScanSkew | None = None, policy: ScanPolicy | None = None, store: bool = False
 ) -> DataFrame:
     """Every distinct row with its outcome, copies, and every rule column."""
-    return told_scans(place_scans(raw, skew, policy), policy)
+    return told_scans(place_scans(raw, skew, policy, store), policy)
 
 
 def _reject_repaired_copies(placed: DataFrame, hot: HotKeys) -> DataFrame:

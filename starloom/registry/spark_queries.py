@@ -291,7 +291,7 @@ def fan_match_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def classified_scans(spark: SparkSession, folder: str) -> DataFrame:
     raw = bronze(copied_scans(spark, folder))
-    classified = plan.classify_scans(raw, plan.scan_skew(raw))
+    classified = plan.classify_scans(raw, plan.scan_skew(raw), store=True)
     return classified.groupBy("audit_table").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("count").alias("n_input_rows")
     )

@@ -1,5 +1,8 @@
 """The silver plans on the scenario: stage counts, conservation, determinism."""
 
+import re
+from datetime import datetime
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -170,3 +173,43 @@ def test_ids_as_typed_come_back(spark, raw):
     made = materialize(one.crossJoin(ids).select(*plan.SCAN))
     told = plan.classify_scans(made)
     assert rows(told.select("fan_id_raw", "ticket_id_raw")) == rows(made.select("fan_id", "ticket_id"))
+
+
+def odd_copies(spark):
+    """Scans that differ in one column, NULLs among them, some of them twice or three times, some without a ticket."""
+    at = [datetime(2025, 12, 21, 18, n % 3) for n in range(6)]
+    first = ("TICKET_1234567", "M1", "S1", "FAN_100001", "VIP", 80, "WEB", at[0].date(), "18:00", "A", "SCANNED", at[0])
+    made = [first]
+    for n, value in enumerate((" ticket_1234567 ", None, None, "fan100001", None, None, None, None, None, None, None, at[1])):
+        made += [(*first[:n], value, *first[n + 1:])] * (1 + n % 3)
+    made += [(None, *row[1:]) for row in made]
+    return materialize(spark.createDataFrame(made, plan.contracts.TICKET_SCANS))
+
+
+def test_copies_are_counted_by_the_sort_of_their_ranking(spark):
+    raw = odd_copies(spark)
+    order = ["ticket_id", "scan_timestamp", *[c for c in plan.SCAN if c not in ("ticket_id", "scan_timestamp")]]
+    counted = profile.sorted_copies(raw.repartition("ticket_id"), order)
+    assert rows(counted, *plan.SCAN, "count") == rows(profile.row_copies(raw), *plan.SCAN, "count")
+    with pytest.raises(ValueError):
+        profile.sorted_copies(raw, order[:-1])
+
+
+def test_copies_and_ranks_of_tickets_share_a_shuffle(raw):
+    text = plan.place_scans(raw)._jdf.queryExecution().executedPlan().toString()
+    dealt, = re.findall(r"Exchange hashpartitioning\((.*?), \d+\), REPARTITION_BY_COL", text)
+    assert dealt.startswith("ticket_id#") and "," not in dealt
+    assert text.count("Exchange hashpartitioning") == 3 and text.count(" Sort [") == 2
+
+
+@pytest.mark.parametrize("limits", [None, {"group_rows": 3, "sample": 1.0}])
+@pytest.mark.parametrize("policy", [None, ScanPolicy(dedup_after_repair=True)])
+def test_rejected_rows_are_stored_before_fans_are_ranked(spark, raw, limits, policy):
+    for scans in (raw, odd_copies(spark)):
+        skew = limits and plan.scan_skew(scans, policy, **limits)
+        whole = plan.place_scans(scans, skew, policy)
+        stored = plan.place_scans(scans, skew, policy, store=True)
+        assert rows(stored, *whole.columns) == rows(whole)
+    if limits is None and policy is None:
+        text = stored._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 1 and "hashpartitioning(match_id" in text
