@@ -395,7 +395,7 @@ def observed_metrics(spark: SparkSession, folder: str) -> DataFrame:
     wanted = {"rows_in": F.sum("count"), "rows_distinct": F.count(F.lit(1))}
     for name in ("ticket_id_null", "ticket_id_doublons", "fan_id_doublons", rules.ACCEPTED):
         wanted[f"rows_{name}"] = F.count_if(table == name)
-    watched, seen = profile.observed(plan.classify_scans(raw, plan.scan_skew(raw)), wanted)
+    watched, seen = profile.observed(plan.classify_scans(raw, plan.scan_skew(raw), store=True), wanted)
     materialize(watched, "watched")
     values = seen.get
     schema = T.StructType([T.StructField(name, T.LongType()) for name in wanted])

@@ -117,3 +117,16 @@ def test_days_are_not_sorted_along_with_the_fact(spark, monkeypatch):
     assert not {"scan_day", "date_key"} & set(stored["sorted"])
     got = sorted((r.ticket_scan_key, r.ticket_id, r.date_key, r.scan_day, r.fan_key, r.away_team_key) for r in fact.collect())
     assert got == [(n, f"TICKET_{n}", 19970501, "1997-05-01", 1, "T2") for n in (1, 2)]
+
+
+@pytest.mark.parametrize("name", ["classified_scans", "observed_metrics"])
+def test_rejected_rows_are_stored_before_the_last_shuffle(spark, folder, monkeypatch, name):
+    stored, real = [], plan.materialize
+
+    def note(df, label="stage", **how):
+        stored.append(label)
+        return real(df, label, **how)
+
+    monkeypatch.setattr(plan, "materialize", note)
+    queries()[name](spark, folder)
+    assert stored == ["judged"]
