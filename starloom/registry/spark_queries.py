@@ -301,7 +301,7 @@ def classified_scans(spark: SparkSession, folder: str) -> DataFrame:
 def audit_rows(spark: SparkSession, folder: str) -> DataFrame:
     raw = bronze(copied_scans(spark, folder))
     # Read twice, for rejected rows and for copies, so it is stored once.
-    stored = plan.told_scans(materialize(plan.place_scans(raw, plan.scan_skew(raw)), "classified"))
+    stored = plan.told_scans(materialize(plan.place_scans(raw, plan.scan_skew(raw), store=True), "classified"))
     return plan.audit_of(stored).drop("audit_date")
 
 

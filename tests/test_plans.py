@@ -119,7 +119,7 @@ def test_days_are_not_sorted_along_with_the_fact(spark, monkeypatch):
     assert got == [(n, f"TICKET_{n}", 19970501, "1997-05-01", 1, "T2") for n in (1, 2)]
 
 
-@pytest.mark.parametrize("name", ["classified_scans", "observed_metrics"])
+@pytest.mark.parametrize("name", ["classified_scans", "observed_metrics", "audit_rows"])
 def test_rejected_rows_are_stored_before_the_last_shuffle(spark, folder, monkeypatch, name):
     stored, real = [], plan.materialize
 
