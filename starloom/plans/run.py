@@ -57,13 +57,13 @@ def run_scans(
 ) -> dict[str, int]:
     """Classify all scans in one pass, then store the audit and the silver scans from it.
 
-    The classified rows are stored once, without what follows from a row alone. Whatever is read from
+    The raw scans are read more than once, so they should be stored, as bronze is. The classified rows are stored once, without what follows from a row alone. Whatever is read from
     them afterwards agrees on which of several rows was the first, and a lost executor costs a re-read. A named ``run``
     adds its audit to those of other runs, in place of what it added before.
     """
     policy = policy or ScanPolicy()
     placed, seen = observed(
-        scans_plan.place_scans(raw, scans_plan.scan_skew(raw, policy), policy),
+        scans_plan.place_scans(raw, scans_plan.scan_skew(raw, policy), policy, store=True),
         {
             "rows_in": F.sum("count"),
             "rows_distinct": F.count(F.lit(1)),
@@ -73,7 +73,7 @@ def run_scans(
     stored = scans_plan.told_scans(materialize(placed, "classified"), policy)
     metrics = dict(seen.get)
     audit, kept = scans_plan.audit_of(stored, at), layout.path("audit", "rejected_scans")
-    how = {"fmt": layout.fmt, "partition_by": ["audit_table"]}
+    how = {"fmt": layout.fmt, "partition_by": ["audit_table"], "few": True}
     metrics["audit"] = write_table(audit, kept, **how) if run is None else append_run(audit, kept, run, **how)
     accepted = scans_plan.accepted_of(stored)
     metrics["scan_quality"] = write_table(

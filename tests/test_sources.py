@@ -328,3 +328,39 @@ def test_landing_takes_the_files_of_a_folder_and_none_below(spark, tmp_path):
     ]
     groups = readers.files_by_header(spark, [f"{tmp_path}/landing/scans/*"], "*.csv")
     assert len(groups) == 1 and sorted(f.rsplit("/", 2)[-2] for f in groups[0]) == [".d", "_h", "b", "p=1"]
+
+
+@pytest.mark.parametrize("values", [3, 2 * writers.OPEN_FILES + 1])
+def test_few_partitions_are_written_where_their_rows_are(spark, tmp_path, values):
+    path = str(tmp_path / "few")
+    made = spark.range(0, 400, numPartitions=4).selectExpr("id", f"IF(id % {values} = 0, NULL, concat('v', id % {values})) AS kind")
+    assert writers.write_table(made, path, partition_by=["kind"], few=True) == 400
+    assert rows(spark.read.parquet(path), "id", "kind") == rows(made)
+    files = {f.name: len(list(f.glob("*.parquet"))) for f in Path(path).iterdir() if f.is_dir()}
+    assert len(files) == values and set(files.values()) == {4}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_a_run_shuffles_neither_its_audit_nor_rejected_rows(spark, folder, tmp_path, monkeypatch):
+    audits, labels, real, kept = [], [], full_run.write_table, silver_scans.materialize
+
+    def note(df, path, **how):
+        if path.endswith("rejected_scans"):
+            audits.append(how)
+        return real(df, path, **how)
+
+    def noted(df, label="stage", **how):
+        labels.append(label)
+        return kept(df, label, **how)
+
+    monkeypatch.setattr(full_run, "write_table", note)
+    monkeypatch.setattr(silver_scans, "materialize", noted)
+    source = Scenario(spark, folder)
+    layout = full_run.Layout(str(tmp_path / "run"))
+    raw = kept(source.scans_with_copies())
+    counts = full_run.run_scans(raw, full_run.CLEANERS["matches"](source.matches()), layout)
+    assert [a["few"] for a in audits] == [True] and "judged" in labels
+    stored = spark.read.parquet(layout.path("audit", "rejected_scans"))
+    wanted = silver_scans.audit_of(silver_scans.classify_scans(raw))
+    columns = [c for c in contracts.AUDIT.names if c != "audit_date"]
+    assert counts["audit"] == wanted.count() and rows(stored, *columns) == rows(wanted, *columns)
