@@ -364,3 +364,34 @@ def test_a_run_shuffles_neither_its_audit_nor_rejected_rows(spark, folder, tmp_p
     wanted = silver_scans.audit_of(silver_scans.classify_scans(raw))
     columns = [c for c in contracts.AUDIT.names if c != "audit_date"]
     assert counts["audit"] == wanted.count() and rows(stored, *columns) == rows(wanted, *columns)
+
+
+def test_landing_reads_the_files_of_its_entries_and_joins_no_rows(spark, tmp_path, monkeypatch):
+    for site in ("s1", "s2", "s3"):
+        land(tmp_path / f"landing/scans/{site}", "1.csv", "ticket_id", f"T-{site}")
+        land(tmp_path / f"landing/scans/{site}", "2.csv", "fan_id,ticket_id", f"F,U-{site}")
+    land(tmp_path, "config.csv", "folder_name,file_name", "scans,s1", "scans,s3", "scans,s1")
+    read, plans, real, written = [], [], readers.read_csv, ingest.write_table
+
+    def note(session, paths, schema, **how):
+        read.extend(f for group in how.get("by_header") or [] for f in group)
+        return real(session, paths, schema, **how)
+
+    def noted(df, path, **how):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, path, **how)
+
+    monkeypatch.setattr(readers, "read_csv", note)
+    monkeypatch.setattr(ingest, "write_table", noted)
+    report = ingest.land_csv(spark, str(tmp_path / "config.csv"), str(tmp_path / "landing"), str(tmp_path / "bronze"))
+    assert rows(report, "entry", "n_rows") == [("scans/s1", 2), ("scans/s3", 2)]
+    assert sorted(f.rsplit("/", 2)[1] for f in read) == ["s1", "s1", "s3", "s3"]
+    assert len(plans) == 1 and "Join" not in plans[0]
+    stored = readers.read_scans(spark, str(tmp_path / "bronze"))
+    assert rows(stored, "ticket_id") == [("T-s1",), ("T-s3",), ("U-s1",), ("U-s3",)]
+    none = tmp_path / "none"
+    land(none, "config.csv", "folder_name,file_name", "scans,s9")
+    report = ingest.land_csv(
+        spark, str(none / "config.csv"), str(tmp_path / "landing"), str(none / "bronze"), raise_on_failure=False
+    )
+    assert rows(report, "entry", "status", "n_rows") == [("scans/s9", "failed", None)]
